@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerflow.functions.keyed import attach_stats, join_series
-from ledgerflow.operators.forecast import naive_forecast
+from ledgerflow.operators.forecast import apply_base, fit_base, naive_forecast
 
 
 def _error() -> Column:
@@ -182,3 +182,12 @@ def metrics_by_month(pairs: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     )
 
 
+
+
+def cross_validate(folds: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """Fit the base model on each fold's training rows and score its test rows, all folds in one job."""
+    scope = [*keys, "fold"]
+    model = fit_base(folds.where("is_train"), scope)
+    test = folds.where("NOT is_train").select(*scope, "ds", "y")
+    scored = apply_base(attach_stats(test, model, scope), scope, keep=["y"])
+    return evaluate(scored, scope)

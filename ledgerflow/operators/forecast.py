@@ -132,6 +132,18 @@ def forecast_days(model: DataFrame, horizon: int, include_history: bool = True)
     return model.withColumn("ds", F.explode(F.sequence(start, F.date_add("last_day", horizon))))
 
 
+def apply_base(days: DataFrame, keys: Sequence[str] = (), interval_level: float = 0.80, keep: Sequence[str] = ()) -> DataFrame:
+    """Forecast columns for days that carry the model columns."""
+    parts = days.withColumns(
+        {
+            "trend": F.col("intercept") + F.col("slope") * F.datediff("ds", "origin"),
+            "weekly": F.coalesce(F.col("weekly_effect")[F.weekday("ds")], F.lit(0.0)),
+            "yearly": F.coalesce(F.col("yearly_effect")[F.month("ds")], F.lit(0.0)),
+        }
+    )
+    return _with_band(parts.withColumn("yhat", _yhat()), interval_level).select(*keys, *keep, *FORECAST_COLUMNS)
+
+
 def predict_base(
     model: DataFrame,
     keys: Sequence[str] = (),
@@ -139,14 +151,7 @@ def predict_base(
     include_history: bool = True,
     interval_level: float = 0.80,
 ) -> DataFrame:
-    days = forecast_days(model, horizon, include_history).withColumns(
-        {
-            "trend": F.col("intercept") + F.col("slope") * F.datediff("ds", "origin"),
-            "weekly": F.coalesce(F.col("weekly_effect")[F.weekday("ds")], F.lit(0.0)),
-            "yearly": F.coalesce(F.col("yearly_effect")[F.month("ds")], F.lit(0.0)),
-        }
-    )
-    return _with_band(days.withColumn("yhat", _yhat()), interval_level).select(*keys, *FORECAST_COLUMNS)
+    return apply_base(forecast_days(model, horizon, include_history), keys, interval_level)
 
 
 def future_frame(history: DataFrame, keys: Sequence[str] = (), horizon: int = 90) -> DataFrame:
