@@ -56,14 +56,13 @@ def _schema_sql() -> str:
             f"""SELECT '{name}' AS dataset, count(*) FILTER (WHERE column_name IN ({required})) = {len(REQUIRED[name])} AS valid,
              {len(REQUIRED[name])} - count(*) FILTER (WHERE column_name IN ({required})) AS missing, count(*) FILTER (WHERE column_name NOT IN ({known})) AS extra,
              count(*) AS total_columns, (SELECT count(*) FROM {view}) AS total_rows
-            FROM (SELECT unnest(list_filter([{', '.join("'" + c + "'" for c in _columns(name))}], x -> x <> 'load_seq')) AS column_name) c"""
+            FROM (SELECT unnest([{', '.join("'" + c + "'" for c in _data_columns(name))}]) AS column_name) c"""
         )
     return " UNION ALL ".join(parts)
 
 
-def _columns(name: str) -> list[str]:
-    extra = {"invoices": ["load_seq"], "bank_movements": ["load_seq"]}
-    return [*REQUIRED[name], *OPTIONAL[name], *extra.get(name, [])]
+def _data_columns(name: str) -> list[str]:
+    return [*REQUIRED[name], *OPTIONAL[name]]
 
 
 CHECKS = "dataset:s valid:b missing:i extra:i total_columns:i total_rows:i"
@@ -102,8 +101,7 @@ def _(fx):
 def _null_sql(name: str) -> str:
     parts = [
         f"SELECT '{c}' AS \"column\", count(*) - count({c}) AS null_count, count(*) AS total FROM {RAW_VIEWS[name]}"
-        for c in _columns(name)
-        if c != "load_seq"
+        for c in _data_columns(name)
     ]
     return f"SELECT \"column\", null_count, null_count * 100.0 / total AS null_pct FROM ({' UNION ALL '.join(parts)}) x WHERE null_count > 0"
 
@@ -124,21 +122,25 @@ def _outlier_sql(view: str, columns: list[str]) -> str:
          FROM (SELECT CAST({c} AS DOUBLE) AS v FROM {view}) a, (SELECT quantile_cont(CAST({c} AS DOUBLE), 0.25) AS q25, quantile_cont(CAST({c} AS DOUBLE), 0.75) AS q75 FROM {view}) b"""
         for c in columns
     ]
-    return f"SELECT * FROM ({' UNION ALL '.join(parts)}) x WHERE outliers > 0"
+    return " UNION ALL ".join(parts)
+
 
+OUTLIERS = "column:s q25:f4 q75:f4 outliers:i"
 
-@query("s06_outliers", "column:s q25:f2 q75:f2 outliers:i", _outlier_sql("fx_bank", ["amount", "balance_after"]))
+
+@query("s06_outliers", OUTLIERS, f"SELECT * FROM ({_outlier_sql('events', ['value'])}) x WHERE outliers > 0")
 def _(fx):
-    return quality.outlier_counts(fx.bank(), ["amount", "balance_after"])
+    return quality.outlier_counts(fx.table("events"), ["value"])
 
 
-@query(
-    "s06_outliers_lineitem",
-    "column:s q25:f2 q75:f2 outliers:i",
-    _outlier_sql("lineitem", ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]),
-)
+@query("s06_outliers_bank", OUTLIERS, _outlier_sql("fx_bank", ["amount", "balance_after"]))
+def _(fx):
+    return quality.outlier_counts(fx.bank(), ["amount", "balance_after"], keep_zero=True)
+
+
+@query("s06_outliers_lineitem", OUTLIERS, _outlier_sql("lineitem", ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]))
 def _(fx):
-    return quality.outlier_counts(fx.table("lineitem"), ["l_quantity", "l_extendedprice", "l_discount", "l_tax"])
+    return quality.outlier_counts(fx.table("lineitem"), ["l_quantity", "l_extendedprice", "l_discount", "l_tax"], keep_zero=True)
 
 
 def _cleaned(fx):

@@ -90,17 +90,19 @@ def outlier_bounds(df: DataFrame, columns: Sequence[str], method: str = "exact")
     )
 
 
-def outlier_counts(df: DataFrame, columns: Sequence[str] | None = None, method: str = "exact") -> DataFrame:
-    """Rows outside the IQR limits per numeric column; columns without outliers are left out."""
+def outlier_counts(
+    df: DataFrame, columns: Sequence[str] | None = None, method: str = "exact", keep_zero: bool = False
+) -> DataFrame:
+    """Rows outside the IQR limits per numeric column; columns without outliers are left out by default."""
     columns = list(columns or numeric_columns(df))
     bounds = outlier_bounds(df, columns, method)
     outside = (F.col("value") < F.col("low")) | (F.col("value") > F.col("high"))
-    return (
+    counts = (
         attach_stats(_long(df, columns), bounds, ["column"])
         .groupBy("column", "q25", "q75")
         .agg(F.count_if(outside).alias("outliers"))
-        .where(F.col("outliers") > 0)
     )
+    return counts if keep_zero else counts.where(F.col("outliers") > 0)
 
 
 def duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
