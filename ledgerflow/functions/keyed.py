@@ -28,8 +28,10 @@ def join_series(left: DataFrame, right: DataFrame, on: Sequence[str], how: str =
 def attach_stats(df: DataFrame, stats: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Add per-series figures to every row.
 
-    With keys: an equi-join on the series. Without keys ``stats`` is one row and enters the
-    plan as a scalar subquery, so the large side is neither shuffled nor cross-joined.
+    With keys: an equi-join on the series, left to Catalyst and AQE. Where ``df`` is a whole ledger,
+    pass stored ``stats``: its file size then tells the planner, before any shuffle, whether it may
+    be broadcast. Without keys ``stats`` is one row and enters the plan as a scalar subquery, so the
+    large side is neither shuffled nor cross-joined.
     """
     names = [c for c in stats.columns if c not in keys]
     if keys:

@@ -10,6 +10,7 @@ from ledgerflow.config import Thresholds
 from ledgerflow.functions.keyed import attach_stats, by_series
 from ledgerflow.functions.measures import share
 from ledgerflow.functions.text import euros, percent
+from ledgerflow.sources.shared import store
 
 ALERT_COLUMNS = ["code", "severity", "message", "triggered"]
 
@@ -98,14 +99,14 @@ def anomalous_movements(
     """A5: movements above three times the mean absolute amount of their account (or category).
 
     The mean is aggregated and joined back instead of windowed, so the ledger of a large account
-    is not gathered in one task.
+    is not gathered in one task; stored, its size decides between broadcast and sort-merge.
     """
     scope = [*keys, "category"] if by_category else list(keys)
     size = F.abs("amount")
     mean = bank.groupBy(*scope).agg(
         F.try_divide(F.sum(size).cast("double"), F.count("amount").cast("double")).alias("mean_abs_amount")
     )
-    odd = attach_stats(bank, mean, scope)
+    odd = attach_stats(bank, store(mean, "mean_abs_amount") if scope else mean, scope)
     return odd.where(size.cast("double") > limits.anomaly_multiplier * F.col("mean_abs_amount"))
 
 

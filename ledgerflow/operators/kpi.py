@@ -29,11 +29,13 @@ def flows_last_days(daily: DataFrame, keys: Sequence[str] = (), days: int = 30)
 
 
 def gross_flows_last_days(bank: DataFrame, keys: Sequence[str] = (), days: int = 30) -> DataFrame:
+    """From movements; they are summed per day before the recent days are picked."""
     amount = F.col("amount")
-    return last_days(bank, days, keys).groupBy(*keys).agg(
-        F.coalesce(F.sum(F.when(amount > 0, amount)), F.lit(0)).alias("cash_inflow_30d"),
-        F.coalesce(F.sum(F.when(amount < 0, -amount)), F.lit(0)).alias("cash_outflow_30d"),
+    per_day = bank.groupBy(*keys, "date").agg(
+        F.coalesce(F.sum(F.when(amount > 0, amount)), F.lit(0)).alias("cash_inflow"),
+        F.coalesce(F.sum(F.when(amount < 0, -amount)), F.lit(0)).alias("cash_outflow"),
     )
+    return flows_last_days(per_day, keys, days)
 
 
 def net_last_days(daily: DataFrame, keys: Sequence[str] = (), days: int = 30) -> DataFrame:

@@ -29,9 +29,9 @@ DESCRIPTIONS = {
 }
 
 
-def _result(df: DataFrame, rule: str, status: Column, metrics: dict[str, Column], pct: Column | None = None) -> DataFrame:
+def _result(rule: str, status: Column, metrics: dict[str, Column], pct: Column | None = None) -> Column:
     pairs = [part for name, c in metrics.items() for part in (F.lit(name), c.cast("double"))]
-    return df.select(
+    return F.struct(
         F.lit(rule).alias("rule"),
         F.lit(DESCRIPTIONS[rule]).alias("description"),
         (F.round(pct, 2) if pct is not None else F.lit(None).cast("double")).alias("coherence_pct"),
@@ -40,6 +40,11 @@ def _result(df: DataFrame, rule: str, status: Column, metrics: dict[str, Column]
     )
 
 
+def _rows(figures: DataFrame, *results: Column) -> DataFrame:
+    """One row per rule result from a single row of figures."""
+    return figures.select(F.inline(F.array(*results)))
+
+
 def _grade(pct: Column, above: float, otherwise: str) -> Column:
     return F.when(pct > above, "PASS").otherwise(otherwise)
 
@@ -68,7 +73,7 @@ def r1_invoices_to_bank(invoices: DataFrame, bank: DataFrame) -> DataFrame:
     ratio = F.least(share(F.col("__received"), F.col("__invoiced")) * 100, F.lit(100.0))
     pct = F.when(F.col("__invoiced") > 0, ratio).otherwise(0.0)
     names = ["total_paid_invoices", "invoice_total_amount", "bank_inflow_total", "matched_dates"]
-    return _result(figures, "R1", _grade(pct, 90, "FAIL"), {n: F.col(n) for n in names}, pct)
+    return _rows(figures, _result("R1", _grade(pct, 90, "FAIL"), {n: F.col(n) for n in names}, pct))
 
 
 def r2_deals_to_invoices(deals: DataFrame, invoices: DataFrame) -> DataFrame:
@@ -78,53 +83,82 @@ def r2_deals_to_invoices(deals: DataFrame, invoices: DataFrame) -> DataFrame:
     ratio = F.col("total_invoices").cast("double") / F.greatest(F.col("total_won_deals"), F.lit(1))
     pct = F.least(ratio * 10, F.lit(100.0))
     names = ["total_won_deals", "total_invoices"]
-    return _result(both, "R2", _grade(pct, 70, "WARNING"), {n: F.col(n) for n in names}, pct)
+    return _rows(both, _result("R2", _grade(pct, 70, "WARNING"), {n: F.col(n) for n in names}, pct))
 
 
-def r3_balance(bank: DataFrame, limits: Thresholds = Thresholds(), first_rows: int = 100) -> DataFrame:
-    """First balance plus all movements against the last balance; early drops in the first rows."""
+def bank_figures(bank: DataFrame, limits: Thresholds = Thresholds(), first_rows: int = 100) -> DataFrame:
+    """Everything the ledger-only rules need, in one pass; the period sets are bounded by the calendar."""
     order = F.struct("date", "movement_id")
+
+    def periods(category: str, unit: str) -> Column:
+        return F.size(F.collect_set(F.when(F.col("category") == category, F.trunc("date", unit))))
+
     figures = bank.agg(
         F.min_by("balance_after", order).alias("initial_balance"),
         F.max_by("balance_after", order).alias("final_balance_actual"),
-        F.sum("amount").alias("__moved"),
-    ).withColumn("final_balance_expected", F.col("initial_balance") + F.col("__moved"))
+        F.sum("amount").alias("moved"),
+        F.count_if(F.col("category") == "salary").alias("salary_movements"),
+        periods("salary", "month").alias("months_with_salary"),
+        F.count_if(F.col("category") == "tax").alias("tax_movements"),
+        periods("tax", "quarter").alias("quarters_with_tax"),
+        F.count_if(F.col("category") == "supplier").alias("supplier_movements"),
+        F.datediff(F.max("date"), F.min("date")).alias("span_days"),
+    )
     start = bank.select("date", "movement_id", "balance_after").orderBy("date", "movement_id").limit(first_rows)
     fall = F.lag("balance_after").over(Window.orderBy("date", "movement_id")) - F.col("balance_after")
     falls = start.withColumn("__fall", fall).agg(
         (F.count_if(F.col("__fall") > limits.drop_tolerance) == 0).cast("int").alias("balance_monotonic")
     )
-    both = attach_stats(figures, falls, [])
-    gap = F.abs(F.col("final_balance_expected") - F.col("final_balance_actual"))
-    names = ["initial_balance", "final_balance_actual", "final_balance_expected", "balance_monotonic"]
-    metrics = {n: F.col(n) for n in names} | {"difference": gap}
-    return _result(both, "R3", F.when(gap < limits.balance_tolerance, "PASS").otherwise("FAIL"), metrics)
+    return attach_stats(figures, falls, [])
+
+
+def _balance(limits: Thresholds = Thresholds()) -> Column:
+    expected = F.col("initial_balance") + F.col("moved")
+    gap = F.abs(expected - F.col("final_balance_actual"))
+    metrics = {
+        "initial_balance": F.col("initial_balance"),
+        "final_balance_actual": F.col("final_balance_actual"),
+        "final_balance_expected": expected,
+        "difference": gap,
+        "balance_monotonic": F.col("balance_monotonic"),
+    }
+    return _result("R3", F.when(gap < limits.balance_tolerance, "PASS").otherwise("FAIL"), metrics)
 
 
-def _periodic(bank: DataFrame, rule: str, category: str, unit: str, days: int, above: float, counted: str, periods: str) -> DataFrame:
-    mine = F.col("category") == category
-    figures = bank.agg(
-        F.count_if(mine).alias(counted),
-        F.count_distinct(F.when(mine, F.date_trunc(unit, "date"))).alias(periods),
-        F.floor(F.datediff(F.max("date"), F.min("date")) / days).alias("__expected"),
-    )
-    ratio = F.least(share(F.col(periods), F.col("__expected")) * 100, F.lit(100.0))
-    known = F.when((F.col(counted) > 0) & (F.col("__expected") > 0), ratio)
-    pct = F.coalesce(known, F.lit(0.0))
-    return _result(figures, rule, _grade(pct, above, "WARNING"), {n: F.col(n) for n in (counted, periods)}, pct)
+def _periodic(rule: str, counted: str, periods: str, days: int, above: float) -> Column:
+    expected = F.floor(F.col("span_days") / days)
+    ratio = F.least(share(F.col(periods), expected) * 100, F.lit(100.0))
+    pct = F.coalesce(F.when((F.col(counted) > 0) & (expected > 0), ratio), F.lit(0.0))
+    return _result(rule, _grade(pct, above, "WARNING"), {n: F.col(n) for n in (counted, periods)}, pct)
+
+
+def _payroll() -> Column:
+    return _periodic("R4", "salary_movements", "months_with_salary", 30, 80)
+
+
+def _tax() -> Column:
+    return _periodic("R5", "tax_movements", "quarters_with_tax", 90, 70)
+
+
+def _suppliers() -> Column:
+    return _result("R6", F.lit("PASS"), {"supplier_movements": F.col("supplier_movements")})
+
+
+def r3_balance(bank: DataFrame, limits: Thresholds = Thresholds()) -> DataFrame:
+    """First balance plus all movements against the last balance; early drops in the first rows."""
+    return _rows(bank_figures(bank, limits), _balance(limits))
 
 
 def r4_payroll(bank: DataFrame) -> DataFrame:
-    return _periodic(bank, "R4", "salary", "month", 30, 80, "salary_movements", "months_with_salary")
+    return _rows(bank_figures(bank), _payroll())
 
 
 def r5_tax(bank: DataFrame) -> DataFrame:
-    return _periodic(bank, "R5", "tax", "quarter", 90, 70, "tax_movements", "quarters_with_tax")
+    return _rows(bank_figures(bank), _tax())
 
 
 def r6_suppliers(bank: DataFrame) -> DataFrame:
-    figures = bank.agg(F.count_if(F.col("category") == "supplier").alias("supplier_movements"))
-    return _result(figures, "R6", F.lit("PASS"), {"supplier_movements": F.col("supplier_movements")})
+    return _rows(bank_figures(bank), _suppliers())
 
 
 def all_rules(datasets: dict[str, DataFrame]) -> DataFrame:
@@ -136,9 +170,8 @@ def all_rules(datasets: dict[str, DataFrame]) -> DataFrame:
     if deals is not None and invoices is not None:
         results.append(r2_deals_to_invoices(deals, invoices))
     if bank is not None:
-        results += [r3_balance(bank), r4_payroll(bank), r5_tax(bank)]
-    if bank is not None and invoices is not None:
-        results.append(r6_suppliers(bank))
+        ledger_rules = [_balance(), _payroll(), _tax()] + ([_suppliers()] if invoices is not None else [])
+        results.append(_rows(bank_figures(bank), *ledger_rules))
     if not results:
         raise ValueError("no dataset that any rule applies to")
     table = results[0]

@@ -125,7 +125,29 @@ def _(fx):
     return rules.rules_summary(rules.all_rules(datasets(fx)))
 
 
-@query("v08_report_lines", "section:s line:i text:s")
+def _report_sql() -> str:
+    metrics = {
+        "R1": (R1, ["bank_inflow_total", "invoice_total_amount", "matched_dates", "total_paid_invoices"], True),
+        "R2": (R2, ["total_invoices", "total_won_deals"], True),
+        "R3": (R3, ["balance_monotonic", "difference", "final_balance_actual", "final_balance_expected", "initial_balance"], False),
+        "R4": (R4, ["months_with_salary", "salary_movements"], True),
+        "R5": (R5, ["quarters_with_tax", "tax_movements"], True),
+        "R6": (R6, ["supplier_movements"], False),
+    }
+    parts = []
+    for rule, (sql, names, graded) in metrics.items():
+        lines = ["rule || ': ' || description", "'  Status: ' || status"]
+        if graded:
+            lines.append("'  Coherencia: ' || format('{:.1f}', round(coherence_pct, 2)) || '%'")
+        lines += [f"'  {n}: ' || CAST(CAST({n} AS DECIMAL(28,2)) AS VARCHAR)" for n in names]
+        parts += [f"SELECT '{rule}' AS section, {i} AS line, {text} AS text FROM ({sql}) r" for i, text in enumerate(lines)]
+    ends = ["'RESULTADO: ' || CASE WHEN f = 0 THEN 'PASS' ELSE 'FAIL' END", "'  Passed: ' || p", "'  Warnings: ' || w", "'  Failed: ' || f"]
+    counts = f"SELECT count(*) FILTER (WHERE status = 'PASS') AS p, count(*) FILTER (WHERE status = 'WARNING') AS w, count(*) FILTER (WHERE status = 'FAIL') AS f FROM ({ALL_RULES}) a"
+    parts += [f"SELECT '~', {i}, {text} FROM ({counts}) c" for i, text in enumerate(ends)]
+    return " UNION ALL ".join(parts)
+
+
+@query("v08_report_lines", "section:s line:i text:s", _report_sql())
 def _(fx):
     return rules.report_lines(rules.all_rules(datasets(fx)))
 

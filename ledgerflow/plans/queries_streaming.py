@@ -1 +1,51 @@
-"""To come."""
+"""Structured Streaming queries over the event ledger; each replays the events to completion."""
+
+from ledgerflow.plans.registry import query
+from ledgerflow.sources.shared import fresh_path
+from ledgerflow.streaming import alerting
+from ledgerflow.streaming.daily import daily_flows, read_events, run_daily
+
+DAYS = """SELECT bank_account, CAST(ts AS DATE) AS date, sum(amount) AS net_cash, coalesce(sum(amount) FILTER (WHERE amount > 0), 0) AS cash_inflow,
+ coalesce(-sum(amount) FILTER (WHERE amount < 0), 0) AS cash_outflow, count(*) AS transaction_count FROM fx_event_ledger GROUP BY 1, 2"""
+FLOWS = "bank_account:s date:d net_cash:m cash_inflow:m cash_outflow:m transaction_count:i"
+
+
+def movements(fx):
+    return read_events(fx.spark, fx.folder, fx.table("events").schema, "events.parquet")
+
+
+@query(
+    "x01_stream_daily_flows",
+    FLOWS,
+    f"SELECT * FROM ({DAYS}) d WHERE CAST(date AS TIMESTAMP) + INTERVAL 1 DAY <= (SELECT max(ts) FROM fx_event_ledger) - INTERVAL 1 DAY",
+)
+def _(fx):
+    return run_daily(movements(fx), fresh_path(fx.spark, "days"), fresh_path(fx.spark, "state"))
+
+
+@query("x01_batch_daily_flows", FLOWS, DAYS)
+def _(fx):
+    return daily_flows(fx.event_ledger())
+
+
+SPARSE = "SELECT bank_account, CAST(ts AS DATE) AS date, sum(amount) AS net FROM fx_event_ledger GROUP BY 1, 2"
+SPINE = "SELECT bank_account, CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS date FROM (SELECT bank_account, min(date) AS lo, max(date) AS hi FROM sparse GROUP BY 1) b"
+BALANCE = """SELECT s.bank_account, s.date, CAST(1000 + sum(coalesce(p.net, 0)) OVER (PARTITION BY s.bank_account ORDER BY s.date) AS DOUBLE) AS balance
+ FROM spine s LEFT JOIN sparse p ON s.bank_account = p.bank_account AND s.date = p.date"""
+LAST = """SELECT bank_account, max_by(balance, date) AS cur, max_by(old, date) AS old FROM
+ (SELECT *, coalesce(lag(balance, 6) OVER (PARTITION BY bank_account ORDER BY date), 0) AS old FROM balance) b GROUP BY 1"""
+
+
+@query(
+    "x02_stream_alerts",
+    "bank_account:s alert_code:s severity:s resolved:i",
+    """SELECT bank_account, 'A1' AS alert_code, 'CRITICAL' AS severity, 0 AS resolved FROM latest WHERE cur < 50000
+     UNION ALL SELECT bank_account, 'A2', 'HIGH', 0 FROM latest WHERE (cur - old) / nullif(old, 0) < -0.15""",
+    sparse=SPARSE,
+    spine=SPINE,
+    balance=BALANCE,
+    latest=LAST,
+)
+def _(fx):
+    unique = movements(fx).withWatermark("ts", "1 day").dropDuplicatesWithinWatermark(["movement_id"])
+    return alerting.run_alerts(unique, fresh_path(fx.spark, "alerting"), fresh_path(fx.spark, "state"), opening=1000)

@@ -15,8 +15,6 @@ from ledgerflow.sources.shared import store
 
 @dataclass(frozen=True)
 class TreasuryRun:
-    schema_checks: DataFrame
-    clean: dict[str, DataFrame]
     daily: DataFrame
     rules: DataFrame
     model: DataFrame
@@ -26,13 +24,12 @@ class TreasuryRun:
     alerts: DataFrame
 
 
-def plan(datasets: dict[str, DataFrame], as_of: date, limits: Thresholds = Thresholds()) -> TreasuryRun:
-    """Everything from the raw frames on.
+def plan(cleaned: dict[str, DataFrame], limits: Thresholds = Thresholds()) -> TreasuryRun:
+    """Everything from the clean tables on.
 
     The daily series feeds every later step, so it alone is stored (one small row per day); the rest
     is lazy. KPIs and alerts use a fit on the whole series, the report a fit on its training part.
     """
-    cleaned = clean.clean_all(datasets, as_of)
     daily = store(series.cash_flow_daily(cleaned["bank_clean"]), "cash_flow_daily")
     parts = series.prepare_forecasting(daily, cleaned.get("external_factors_clean"))
     model = forecast.fit_base(parts["full"])
@@ -41,8 +38,6 @@ def plan(datasets: dict[str, DataFrame], as_of: date, limits: Thresholds = Thres
     latest = kpi.current_balance(daily)
     horizon = forecast.forecast_at(ahead, as_of=series.latest_day(daily))
     return TreasuryRun(
-        schema_checks=quality.check_all_schemas(datasets),
-        clean=cleaned,
         daily=daily,
         rules=rules.all_rules(cleaned),
         model=model,
@@ -54,13 +49,20 @@ def plan(datasets: dict[str, DataFrame], as_of: date, limits: Thresholds = Thres
 
 
 def run(spark: SparkSession, raw_folder: str, out: str, as_of: date, limits: Thresholds = Thresholds()) -> TreasuryRun:
-    """Read the raw CSV folder, write every result under ``out``."""
-    result = plan(catalog.read_catalog(spark, raw_folder), as_of, limits)
-    sinks.save_processed(result.clean | {"cash_flow_daily": result.daily}, f"{out}/processed")
+    """Read the raw CSV folder, write every result under ``out``.
+
+    The clean tables are written first and read back: cleaning and its deduplication run once, and
+    the rules and series scan only the columns they use.
+    """
+    raw = catalog.read_catalog(spark, raw_folder)
+    sinks.save_processed({"schema_checks": quality.check_all_schemas(raw)}, f"{out}/quality")
+    sinks.save_processed(clean.clean_all(raw, as_of), f"{out}/processed")
+    result = plan(catalog.read_catalog(spark, f"{out}/processed", "parquet"), limits)
+    sinks.save_processed({"cash_flow_daily": result.daily}, f"{out}/processed")
     forecast.save_model(result.model, f"{out}/models/base")
     sinks.save_json(sinks.metrics_document(result.report), f"{out}/models/model_metrics.json")
     sinks.export_for_bi(result.daily, result.forecast, result.kpis, f"{out}/bi")
-    sinks.save_processed({"rules": result.rules, "schema_checks": result.schema_checks}, f"{out}/quality")
+    sinks.save_processed({"rules": result.rules}, f"{out}/quality")
     sinks.save_alerts(spark, result.alerts, f"{out}/log")
     return result
 

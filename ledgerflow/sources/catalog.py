@@ -2,25 +2,31 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerflow.schemas import OPTIONAL, REQUIRED, TABLES, raw_schema
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    filesystem = jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return filesystem.globStatus(jvm_path) is not None and bool(list(filesystem.globStatus(jvm_path)))
-
-
 def list_datasets(spark: SparkSession, folder: str, suffix: str = ".csv") -> list[str]:
-    """Stems of the files (or part-file folders) directly under the folder."""
-    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/*{suffix}")
-    filesystem = jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found = filesystem.globStatus(jvm_path) or []
-    return sorted(status.getPath().getName()[: -len(suffix)] for status in found)
+    """Stems of the files (or part-file folders) directly under the folder.
+
+    Only file names are read; what reaches the driver is one name per dataset.
+    """
+    files = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", f"*{suffix}")
+        .load(folder)
+        .select("path")
+    )
+    last = folder.rstrip("/").rsplit("/", 1)[-1]
+    below = F.regexp_extract("path", f"/{re.escape(last)}/([^/]+){re.escape(suffix)}(/[^/]+)?$", 1)
+    names = files.select(below.alias("name")).where(F.col("name") != "").distinct()
+    return sorted(row.name for row in names.collect())
 
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -51,8 +57,11 @@ def read_dataset(spark: SparkSession, name: str, *folders: str, fmt: str = "csv"
     """The dataset from the first folder that has it; ``None`` when no folder does."""
     for folder in folders:
         path = f"{folder.rstrip('/')}/{name}.{fmt}"
-        if path_exists(spark, path):
+        try:
             return read_csv(spark, path) if fmt == "csv" else spark.read.format(fmt).load(path)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
     return None
 
 

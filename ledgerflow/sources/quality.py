@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from ledgerflow.functions.keyed import attach_stats
+from ledgerflow.functions.keyed import join_series
 from ledgerflow.operators.ordered import exact_quantiles
 from ledgerflow.schemas import OPTIONAL, REQUIRED
 
@@ -98,7 +98,7 @@ def outlier_counts(
     bounds = outlier_bounds(df, columns, method)
     outside = (F.col("value") < F.col("low")) | (F.col("value") > F.col("high"))
     counts = (
-        attach_stats(_long(df, columns), bounds, ["column"])
+        join_series(_long(df, columns), F.broadcast(bounds), ["column"], "left")  # one row per column
         .groupBy("column", "q25", "q75")
         .agg(F.count_if(outside).alias("outliers"))
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerflow.config import TOTAL
+from ledgerflow.operators.clean import first_per_key
 from ledgerflow.sources.events import event_ledger
 
 
@@ -19,11 +20,14 @@ def read_events(spark: SparkSession, folder: str, schema, pattern: str = "*.parq
 def daily_flows(movements: DataFrame, lateness: str = "1 day") -> DataFrame:
     """Net, gross and count per account and day, each movement once, late rows up to the watermark.
 
-    The movement id and its time form the deduplication key; both aggregations reduce within each
-    input partition before their shuffle.
+    The same plan serves a stream and a batch of movements. The daily aggregation reduces within
+    each input partition before its shuffle.
     """
     amount = F.col("amount")
-    unique = movements.withWatermark("ts", lateness).dropDuplicatesWithinWatermark(["movement_id"])
+    if movements.isStreaming:
+        unique = movements.withWatermark("ts", lateness).dropDuplicatesWithinWatermark(["movement_id"])
+    else:
+        unique = first_per_key(movements, ["movement_id"], "ts")
     days = unique.groupBy(F.window("ts", "1 day").alias("w"), "bank_account").agg(
         F.sum("amount").cast(TOTAL).alias("net_cash"),
         F.coalesce(F.sum(F.when(amount > 0, amount)).cast(TOTAL), F.lit(0).cast(TOTAL)).alias("cash_inflow"),
