@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from ledgerflow.config import Thresholds
 from ledgerflow.operators import alerts, forecast, kpi, series
-from ledgerflow.plans.queries_kpi import account_forecast, daily, daily_acc
+from ledgerflow.plans.queries_kpi import daily, daily_acc, forecast_of, stored_daily_acc
 from ledgerflow.plans.registry import query
 
 ACCOUNT = ["bank_account"]
@@ -41,8 +41,17 @@ def latest(fx):
     return kpi.current_balance(daily_acc(fx), ACCOUNT)
 
 
+def horizon(days):
+    return forecast.forecast_at(forecast_of(days, ACCOUNT), ACCOUNT, as_of=series.latest_day(days, ACCOUNT))
+
+
 def ahead(fx):
-    return forecast.forecast_at(account_forecast(fx), ACCOUNT, as_of=series.latest_day(daily_acc(fx), ACCOUNT))
+    return horizon(stored_daily_acc(fx))
+
+
+def checked(fx):
+    days = stored_daily_acc(fx)
+    return alerts.check_all(days, kpi.current_balance(days, ACCOUNT), horizon(days), ACCOUNT, STRICT)
 
 
 @query("l01_balance_alert", ALERT, a1(50000), latest=LATEST)
@@ -74,8 +83,9 @@ def _(fx):
     latest=LATEST,
 )
 def _(fx):
-    actual = latest(fx).select("bank_account", F.col("report_date").alias("ds"), F.col("current_cash_balance").alias("actual"))
-    predicted = account_forecast(fx).select("bank_account", "ds", F.col("yhat").alias("forecast"))
+    days = stored_daily_acc(fx)
+    actual = kpi.current_balance(days, ACCOUNT).select("bank_account", F.col("report_date").alias("ds"), F.col("current_cash_balance").alias("actual"))
+    predicted = forecast_of(days, ACCOUNT).select("bank_account", "ds", F.col("yhat").alias("forecast"))
     return alerts.deviation_alert(actual.join(predicted, ["bank_account", "ds"]), ACCOUNT)
 
 
@@ -90,12 +100,12 @@ PARTS = {"latest": LATEST, "week": WEEK, "ahead": AHEAD}
 
 @query("l05_check_all", ALERT, CHECKED, **PARTS)
 def _(fx):
-    return alerts.check_all(daily_acc(fx), latest(fx), ahead(fx), ACCOUNT, STRICT)
+    return checked(fx)
 
 
 @query("l06_alert_messages", "bank_account:s message:s", f"SELECT bank_account, message FROM ({CHECKED}) c", **PARTS)
 def _(fx):
-    return alerts.check_all(daily_acc(fx), latest(fx), ahead(fx), ACCOUNT, STRICT).select("bank_account", "message")
+    return checked(fx).select("bank_account", "message")
 
 
 def _block(level: str) -> str:
@@ -112,8 +122,7 @@ def _block(level: str) -> str:
     **PARTS,
 )
 def _(fx):
-    found = alerts.check_all(daily_acc(fx), latest(fx), ahead(fx), ACCOUNT, STRICT)
-    return alerts.digest(found, latest(fx), ACCOUNT)
+    return alerts.digest(checked(fx), latest(fx), ACCOUNT)
 
 
 @query(
@@ -143,7 +152,7 @@ def _(fx):
     f"SELECT bank_account, 'A6' AS code, 'HIGH' AS severity, 'PREDICCION BAJO FLOOR: ' || {euros('min(yhat)')} || ' (floor: 25,000€)' AS message, min(yhat) < 25000 AS triggered FROM v_fc_acc GROUP BY bank_account",
 )
 def _(fx):
-    return alerts.floor_alert(account_forecast(fx), ACCOUNT)
+    return alerts.floor_alert(forecast_of(daily_acc(fx), ACCOUNT), ACCOUNT)
 
 
 def _odd(scope: str, source: str, times: float = 3) -> str:

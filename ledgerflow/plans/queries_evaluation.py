@@ -3,19 +3,22 @@
 from pyspark.sql import functions as F
 
 from ledgerflow.functions.measures import mape_grade
-from ledgerflow.operators import evaluate, series
-from ledgerflow.plans.queries_forecast import account_history, full_forecast, split, train_forecast
+from ledgerflow.operators import evaluate, forecast
+from ledgerflow.plans.queries_forecast import account_history, evaluation_parts, split
+from ledgerflow.plans.queries_kpi import forecast_of, stored_daily
 from ledgerflow.plans.registry import query
 
 ACCOUNT = ["bank_account"]
 
 
 def pairs(fx):
-    return evaluate.pair_up(split(fx)[1], train_forecast(fx))
+    _, test, ahead = evaluation_parts(fx)
+    return evaluate.pair_up(test, ahead)
 
 
 def shown(fx, limit=500):
-    return evaluate.forecast_vs_real(full_forecast(fx), series.cash_flow_daily(fx.bank()), limit=limit)
+    days = stored_daily(fx)
+    return evaluate.forecast_vs_real(forecast_of(days), days, limit=limit)
 
 
 MAE = "avg(abs(y - yhat))"
@@ -68,8 +71,6 @@ def _(fx):
      (SELECT h.bank_account, h.y, f.yhat FROM v_hist_acc h JOIN v_fc_acc f ON h.bank_account = f.bank_account AND h.ds = f.ds) p GROUP BY bank_account""",
 )
 def _(fx):
-    from ledgerflow.operators import forecast
-
     real = account_history(fx)
     ahead = forecast.predict_base(forecast.fit_base(real, ACCOUNT), ACCOUNT)
     return evaluate.evaluate(evaluate.pair_up(real, ahead, ACCOUNT), ACCOUNT)
@@ -103,7 +104,8 @@ def _(fx):
       (SELECT round({MAE}, 2) AS mae, round({MAPE}, 2) AS mape FROM ({STEPS}) s) n""",
 )
 def _(fx):
-    return evaluate.evaluation_report(split(fx)[1], train_forecast(fx))
+    _, test, ahead = evaluation_parts(fx)
+    return evaluate.evaluation_report(test, ahead)
 
 
 @query(
@@ -113,8 +115,8 @@ def _(fx):
       (SELECT round({MAE}, 2) AS mae FROM (SELECT y, (SELECT y FROM v_train ORDER BY ds DESC LIMIT 1) AS yhat FROM v_pairs) s) n""",
 )
 def _(fx):
-    train, test = split(fx)
-    return evaluate.evaluation_report(test, train_forecast(fx), naive="last_train_value", train=train)
+    train, test, ahead = evaluation_parts(fx)
+    return evaluate.evaluation_report(test, ahead, naive="last_train_value", train=train)
 
 
 SHOWN = "ds:d y:m yhat:f0 error:f0 abs_error:f0 pct_error:f2"
@@ -167,7 +169,8 @@ def _(fx):
     "SELECT ds, y, yhat, (y - yhat) / nullif(abs(yhat), 0) * 100 AS deviation_pct FROM v_shown_all WHERE ds >= (SELECT max(date) FROM v_cash) - 30",
 )
 def _(fx):
-    return evaluate.deviation_by_day(full_forecast(fx), series.cash_flow_daily(fx.bank()))
+    days = stored_daily(fx)
+    return evaluate.deviation_by_day(forecast_of(days), days)
 
 
 @query("e15_metrics_by_month", "month:s mae:f0 rmse:f0 mape:f2 smape:f2 n:i", f"SELECT strftime(ds, '%Y-%m') AS month, {ALL}, count(*) AS n FROM v_pairs GROUP BY 1")

@@ -9,7 +9,7 @@ from ledgerflow.operators import evaluate, forecast, series
 from ledgerflow.operators.clean import clean_external_factors
 from ledgerflow.plans.oracle_derived import base_forecast
 from ledgerflow.plans.registry import query
-from ledgerflow.sources.shared import fresh_path
+from ledgerflow.sources.shared import fresh_path, store
 
 ACCOUNT = ["bank_account"]
 AHEAD = "ds:d yhat:f0 yhat_lower:f0 yhat_upper:f0 trend:f0 yearly:f6 weekly:f6"
@@ -24,7 +24,8 @@ def account_history(fx):
 
 
 def split(fx):
-    flagged = series.split_train_test(history(fx))
+    """Training and test part; stored, because evaluations use both."""
+    flagged = store(series.split_train_test(history(fx)), "split")
     return flagged.where("is_train").drop("is_train"), flagged.where("NOT is_train").drop("is_train")
 
 
@@ -35,7 +36,13 @@ def full_forecast(fx):
 
 def train_forecast(fx):
     """Origin at the end of the training part: the input of the evaluation."""
-    return forecast.predict_base(forecast.fit_base(split(fx)[0]))
+    return evaluation_parts(fx)[2]
+
+
+def evaluation_parts(fx):
+    """Training part, test part, forecast from the training part."""
+    train, test = split(fx)
+    return train, test, forecast.predict_base(forecast.fit_base(train))
 
 
 @query("f01_linear_trend", "origin:d last_day:d n:i slope:f4 intercept:f0", "SELECT min(origin) AS origin, max(last_day) AS last_day, count(*) AS n, min(slope) AS slope, min(intercept) AS intercept FROM v_fit_full")
@@ -174,7 +181,9 @@ def _(fx):
     "SELECT yhat AS forecast_90d FROM v_fc ORDER BY abs(date_diff('day', ds, (SELECT max(date) FROM v_cash) + 90)), ds LIMIT 1",
 )
 def _(fx):
-    return forecast.forecast_at(full_forecast(fx), as_of=series.latest_day(series.cash_flow_daily(fx.bank())))
+    days = store(series.cash_flow_daily(fx.bank()), "daily")
+    ahead = forecast.predict_base(forecast.fit_base(series.target_series(days)))
+    return forecast.forecast_at(ahead, as_of=series.latest_day(days))
 
 
 @query("f12_forecast_nearest_to_date", "forecast_90d:f0", "SELECT yhat AS forecast_90d FROM v_fc ORDER BY abs(date_diff('day', ds, DATE '1998-03-01' + 90)), ds LIMIT 1")

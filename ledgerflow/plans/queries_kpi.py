@@ -5,11 +5,11 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from ledgerflow.functions.measures import code_risk_band, spec_risk_band
-from ledgerflow.operators import clean, kpi, series
+from ledgerflow.operators import clean, forecast, kpi, series
 from ledgerflow.plans.queries_cleaning import AS_OF
-from ledgerflow.plans.queries_forecast import account_history, full_forecast
+from ledgerflow.plans.queries_forecast import full_forecast
 from ledgerflow.plans.registry import query
-from ledgerflow.sources.shared import fresh_path
+from ledgerflow.sources.shared import fresh_path, store
 
 ACCOUNT = ["bank_account"]
 START, END = date(1997, 1, 1), date(1999, 12, 31)
@@ -23,10 +23,17 @@ def daily_acc(fx):
     return series.cash_flow_daily(fx.bank_multi(), ACCOUNT)
 
 
-def account_forecast(fx):
-    from ledgerflow.operators import forecast
+def stored_daily(fx):
+    """For queries that use the daily series in several branches; one small row per day."""
+    return store(daily(fx), "daily")
 
-    return forecast.predict_base(forecast.fit_base(account_history(fx), ACCOUNT), ACCOUNT)
+
+def stored_daily_acc(fx):
+    return store(daily_acc(fx), "daily_acc")
+
+
+def forecast_of(days, keys=()):
+    return forecast.predict_base(forecast.fit_base(series.target_series(days, keys=keys), keys), keys)
 
 
 RECENT = "date >= (SELECT max(date) FROM v_cash) - 30"
@@ -91,7 +98,8 @@ FROM (SELECT yhat FROM v_fc ORDER BY abs(date_diff('day', ds, (SELECT max(date)
 
 @query("k06_kpi_row", KPI, KPI_SQL)
 def _(fx):
-    return kpi.kpi_row(daily(fx), full_forecast(fx))
+    days = stored_daily(fx)
+    return kpi.kpi_row(days, forecast_of(days))
 
 
 @query(
@@ -103,7 +111,8 @@ def _(fx):
      JOIN v_fc_acc f ON f.bank_account = t.bank_account GROUP BY t.bank_account, t.today, t.balance""",
 )
 def _(fx):
-    return kpi.kpi_row(daily_acc(fx), account_forecast(fx), ACCOUNT)
+    days = stored_daily_acc(fx)
+    return kpi.kpi_row(days, forecast_of(days, ACCOUNT), ACCOUNT)
 
 
 @query(
@@ -122,7 +131,8 @@ def _(fx):
      CASE liquidity_risk WHEN 'BAJO' THEN 'Saludable' WHEN 'MEDIO' THEN 'Monitoreo' ELSE 'Crítico' END AS risk_text FROM ({KPI_SQL}) k""",
 )
 def _(fx):
-    return kpi.risk_gauge(kpi.kpi_row(daily(fx), full_forecast(fx)))
+    days = stored_daily(fx)
+    return kpi.risk_gauge(kpi.kpi_row(days, forecast_of(days)))
 
 
 @query("a01_monthly_flows", "month:s cash_inflow:m cash_outflow:m", "SELECT strftime(date, '%Y-%m') AS month, sum(cash_inflow) AS cash_inflow, sum(cash_outflow) AS cash_outflow FROM v_cash GROUP BY 1")
@@ -237,5 +247,6 @@ def _(fx):
     from ledgerflow.sources import catalog, quality
 
     folder = fresh_path(fx.spark, "dashboard")
-    write_dashboard(daily(fx), full_forecast(fx), invoices(fx), deals(fx), START, END, folder)
+    days = stored_daily(fx)
+    write_dashboard(days, forecast_of(days), invoices(fx), deals(fx), START, END, folder)
     return quality.row_counts(catalog.read_catalog(fx.spark, folder, "parquet"))

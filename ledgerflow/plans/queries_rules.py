@@ -8,22 +8,32 @@ from ledgerflow.operators import clean, rules, series
 from ledgerflow.plans.queries_cleaning import AS_OF
 from ledgerflow.plans.queries_series import BOUNDS, MONTHS, PAYROLL
 from ledgerflow.plans.registry import query
+from ledgerflow.sources.shared import store
 
 ACCOUNT = ["bank_account"]
 
 
+def invoices(fx):
+    return clean.clean_invoices(fx.invoices_raw(), AS_OF)
+
+
+def bank(fx):
+    return clean.clean_bank_movements(fx.bank_raw())
+
+
+def deals(fx):
+    return clean.clean_crm_deals(fx.deals_raw())
+
+
 def datasets(fx):
+    """The clean tables as written by the cleaning step: the rules read them several times."""
     return {
-        "invoices_clean": clean.clean_invoices(fx.invoices_raw(), AS_OF),
-        "bank_clean": clean.clean_bank_movements(fx.bank_raw()),
-        "crm_deals_clean": clean.clean_crm_deals(fx.deals_raw()),
+        "invoices_clean": store(invoices(fx), "invoices_clean"),
+        "bank_clean": store(bank(fx), "bank_clean"),
+        "crm_deals_clean": store(deals(fx), "crm_deals_clean"),
     }
 
 
-def invoices(fx):
-    return datasets(fx)["invoices_clean"]
-
-
 def flat(result, *metrics):
     return result.select("rule", "description", "coherence_pct", "status", *[F.col("metrics")[m].alias(m) for m in metrics])
 
@@ -79,35 +89,33 @@ ALL_RULES = " UNION ALL ".join(f"SELECT rule, description, coherence_pct, status
 
 @query("v01_r1_invoices_to_bank", HEAD + "total_paid_invoices:i invoice_total_amount:m bank_inflow_total:m matched_dates:i", R1)
 def _(fx):
-    d = datasets(fx)
-    return flat(rules.r1_invoices_to_bank(d["invoices_clean"], d["bank_clean"]), "total_paid_invoices", "invoice_total_amount", "bank_inflow_total", "matched_dates")
+    return flat(rules.r1_invoices_to_bank(invoices(fx), bank(fx)), "total_paid_invoices", "invoice_total_amount", "bank_inflow_total", "matched_dates")
 
 
 @query("v02_r2_deals_to_invoices", HEAD + "total_won_deals:i total_invoices:i", R2)
 def _(fx):
-    d = datasets(fx)
-    return flat(rules.r2_deals_to_invoices(d["crm_deals_clean"], d["invoices_clean"]), "total_won_deals", "total_invoices")
+    return flat(rules.r2_deals_to_invoices(deals(fx), invoices(fx)), "total_won_deals", "total_invoices")
 
 
 @query("v03_r3_balance", HEAD + "initial_balance:m final_balance_actual:m final_balance_expected:m difference:m balance_monotonic:i", R3)
 def _(fx):
     names = ["initial_balance", "final_balance_actual", "final_balance_expected", "difference", "balance_monotonic"]
-    return flat(rules.r3_balance(datasets(fx)["bank_clean"]), *names)
+    return flat(rules.r3_balance(bank(fx)), *names)
 
 
 @query("v04_r4_payroll", HEAD + "salary_movements:i months_with_salary:i", R4)
 def _(fx):
-    return flat(rules.r4_payroll(datasets(fx)["bank_clean"]), "salary_movements", "months_with_salary")
+    return flat(rules.r4_payroll(bank(fx)), "salary_movements", "months_with_salary")
 
 
 @query("v05_r5_tax", HEAD + "tax_movements:i quarters_with_tax:i", R5)
 def _(fx):
-    return flat(rules.r5_tax(datasets(fx)["bank_clean"]), "tax_movements", "quarters_with_tax")
+    return flat(rules.r5_tax(bank(fx)), "tax_movements", "quarters_with_tax")
 
 
 @query("v06_r6_suppliers", HEAD + "supplier_movements:i", R6)
 def _(fx):
-    return flat(rules.r6_suppliers(datasets(fx)["bank_clean"]), "supplier_movements")
+    return flat(rules.r6_suppliers(bank(fx)), "supplier_movements")
 
 
 @query("v07_all_rules", HEAD.strip(), ALL_RULES)
@@ -187,7 +195,7 @@ def _(fx):
      WHERE pm IS NOT NULL AND (balance_after - p) IS DISTINCT FROM amount""",
 )
 def _(fx):
-    return rules.balance_breaks(datasets(fx)["bank_clean"])
+    return rules.balance_breaks(bank(fx))
 
 
 @query(

@@ -78,9 +78,10 @@ def write_dashboard(
 ) -> list[str]:
     """Every dashboard view as a table under one folder.
 
-    The daily series, the forecast and the paired days are stored first: each feeds several views.
+    The forecast and the paired days are stored first, as each feeds several views; pass a stored
+    daily series for the same reason.
     """
-    daily, ahead = store(daily, "daily"), store(ahead, "forecast")
+    ahead = store(ahead, "forecast")
     shown = store(evaluate.forecast_vs_real(ahead, daily), "shown")
     return sinks.save_processed(
         {

@@ -19,6 +19,7 @@ def local_session(app: str = "ledgerflow", cpus: int | None = None) -> SparkSess
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")  # no call-site capture per column
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
