@@ -14,15 +14,19 @@ def by_series(keys: Sequence[str], *order: str | Column) -> WindowSpec:
     return Window.partitionBy(*keys).orderBy(*order)
 
 
-def join_series(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
-    """Equi-join that also matches null keys, keeping the left copy of the key columns.
+def join_series(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner", plain: Sequence[str] = ()
+) -> DataFrame:
+    """Equi-join on the series keys, null keys included, and on ``plain`` columns that are never null.
 
-    No broadcast is forced: Catalyst and AQE look at the size of the right side.
+    The left copy of the columns is kept. No broadcast is forced: Catalyst and AQE look at the size
+    of the right side.
     """
-    renamed = right.withColumnsRenamed({k: f"__r_{k}" for k in on})
-    condition = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__r_{k}")) for k in on])
-    joined = left.join(renamed, condition, how)
-    return joined.drop(*[f"__r_{k}" for k in on])
+    names = [*keys, *plain]
+    renamed = right.withColumnsRenamed({k: f"__r_{k}" for k in names})
+    matches = [F.col(k).eqNullSafe(F.col(f"__r_{k}")) for k in keys] + [F.col(k) == F.col(f"__r_{k}") for k in plain]
+    joined = left.join(renamed, reduce(lambda a, b: a & b, matches), how)
+    return joined.drop(*[f"__r_{k}" for k in names])
 
 
 def attach_stats(df: DataFrame, stats: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -124,7 +125,13 @@ def check_all(
     return found.where("triggered")
 
 
-def digest(alerts: DataFrame, series: DataFrame | None = None, keys: Sequence[str] = (), title: str = TITLE) -> DataFrame:
+def digest(
+    alerts: DataFrame,
+    series: DataFrame | None = None,
+    keys: Sequence[str] = (),
+    title: str = TITLE,
+    at: datetime | None = None,
+) -> DataFrame:
     """One text per series, alerts grouped by severity; the all-clear text where there are none.
 
     A series has a handful of alert codes, so the collected list is small. ``series`` lists the
@@ -139,7 +146,8 @@ def digest(alerts: DataFrame, series: DataFrame | None = None, keys: Sequence[st
     blocks = [
         F.when(F.size(level) > 0, F.concat(F.lit(f"{level}:\n"), F.array_join(level, "\n"), F.lit("\n"))) for level in levels
     ]
-    text = F.concat_ws("\n", rule, F.lit(title), rule, *blocks, rule)
+    dated = [F.lit(f"Fecha: {at:%Y-%m-%d %H:%M:%S}"), F.lit("")] if at else []
+    text = F.concat_ws("\n", rule, F.lit(title), rule, *dated, *blocks, rule)
     some = F.coalesce(F.size("CRITICAL") + F.size("HIGH") + F.size("MEDIUM") > 0, F.lit(False))
     if series is not None and keys:
         found = attach_stats(series.select(*keys).distinct(), found, keys)

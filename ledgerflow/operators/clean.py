@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerflow.config import DEFAULT_DESCRIPTION, DEFAULT_PAYMENT_CYCLE, MONEY, VAT_RATE
 from ledgerflow.functions.measures import literal_map
@@ -15,12 +15,12 @@ from ledgerflow.functions.parsing import lenient_date, number, number_or, strict
 def first_per_key(df: DataFrame, keys: Sequence[str], order: str = "load_seq") -> DataFrame:
     """Keep the earliest row of each key.
 
-    An aggregate rather than a numbered window: copies of one key are reduced before the shuffle,
-    so a key with very many copies never gathers in one task.
+    The filter on the row number becomes a group limit that runs before the shuffle too: each input
+    partition sends on at most one row per key, so a key with very many copies never gathers in one
+    task. Columns a later step does not use are still pruned at the scan.
     """
-    rest = [c for c in df.columns if c not in keys]
-    earliest = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.col(order)).alias("__row"))
-    return earliest.select(*[F.col(c) if c in keys else F.col(f"__row.{c}").alias(c) for c in df.columns])
+    earliest = F.row_number().over(Window.partitionBy(*keys).orderBy(order))
+    return df.withColumn("__nth", earliest).where(F.col("__nth") == 1).drop("__nth")
 
 
 def days_to_pay(paid: Column, issued: Column) -> Column:

@@ -45,7 +45,7 @@ def bias() -> Column:
 def pair_up(test: DataFrame, forecast: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Real and forecast values of the days present in both."""
     return join_series(
-        test.select(*keys, "ds", "y"), forecast.select(*keys, "ds", "yhat", "yhat_lower", "yhat_upper"), [*keys, "ds"]
+        test.select(*keys, "ds", "y"), forecast.select(*keys, "ds", "yhat", "yhat_lower", "yhat_upper"), keys, plain=["ds"]
     )
 
 
@@ -99,7 +99,7 @@ def evaluation_report(
 ) -> DataFrame:
     """Model and naive metrics, and the improvement computed from the rounded figures."""
     if naive == "last_train_value":
-        test = join_series(test, forecast.select(*keys, "ds"), [*keys, "ds"], "left_semi")
+        test = join_series(test, forecast.select(*keys, "ds"), keys, "left_semi", ["ds"])
     model = evaluate(pair_up(test, forecast, keys), keys)
     both = attach_stats(model, naive_metrics(test, keys, naive, train), keys)
 
@@ -114,7 +114,7 @@ def forecast_vs_real(
 ) -> DataFrame:
     """Forecast days with a real balance; the dashboard shows the first 500 by date."""
     real = daily.select(*keys, F.col("date").alias("ds"), F.col("cash_balance").cast("double").alias("y"))
-    joined = join_series(forecast, real, [*keys, "ds"], "left").where(F.col("y").isNotNull())
+    joined = join_series(forecast, real, keys, "left", ["ds"]).where(F.col("y").isNotNull())
     error = _error()
     shown = joined.withColumns(
         {

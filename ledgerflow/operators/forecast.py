@@ -314,7 +314,7 @@ def predict_full(
     """Apply the coefficients on the JVM side; regressors come from ``regressor_days`` by (series, ds)."""
     days = forecast_days(model, config.horizon_days if horizon is None else horizon)
     if regressors:
-        days = join_series(days, regressor_days.select(*keys, "ds", *regressors), [*keys, "ds"], "left")
+        days = join_series(days, regressor_days.select(*keys, "ds", *regressors), keys, "left", ["ds"])
     parts = design(days, config, regressors).withColumns(
         {
             "trend": _dot("trend_x", "trend_w"),

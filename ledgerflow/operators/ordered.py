@@ -30,7 +30,7 @@ def chunked(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFra
 def _carried(df: DataFrame, carry: DataFrame, keys: Sequence[str]) -> DataFrame:
     # At most one series continues into any chunk, so ``carry`` has at most one row per chunk:
     # its size is bounded by the partition count, whatever the data.
-    return join_series(df, F.broadcast(carry), [*keys, CHUNK], "left")
+    return join_series(df, F.broadcast(carry), keys, "left", [CHUNK])
 
 
 def running_totals(

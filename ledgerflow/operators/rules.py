@@ -272,7 +272,7 @@ def won_deal_followups(deals: DataFrame, invoices: DataFrame, after: int = 30, u
         .where(F.col("__deal") == 0)
         .select("customer_id", F.col("day").alias("actual_close"), "has_invoice")
     )
-    return join_series(won, answered, ["customer_id", "actual_close"], "left").select(
+    return join_series(won, answered, ["customer_id"], "left", ["actual_close"]).select(
         "deal_id", "customer_id", "actual_close", "has_invoice"
     )
 
@@ -289,7 +289,7 @@ def months_without_payroll(bank: DataFrame, keys: Sequence[str] = ()) -> DataFra
     """Months whose first weekday has no salary movement."""
     expected = payroll_calendar(date_bounds(bank, "date", keys), keys)
     paid = bank.where(F.col("category") == "salary").select(*keys, F.col("date").alias("payroll_date")).distinct()
-    return join_series(expected, paid, [*keys, "payroll_date"], "left_anti")
+    return join_series(expected, paid, keys, "left_anti", ["payroll_date"])
 
 
 def quarters_without_tax(bank: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
@@ -299,7 +299,7 @@ def quarters_without_tax(bank: DataFrame, keys: Sequence[str] = ()) -> DataFrame
         F.explode(F.sequence(F.trunc("first_day", "quarter"), F.col("last_day"), F.expr("INTERVAL 3 MONTH"))).alias("quarter_start"),
     )
     paid = bank.where(F.col("category") == "tax").select(*keys, F.trunc("date", "quarter").alias("quarter_start")).distinct()
-    return join_series(quarters, paid, [*keys, "quarter_start"], "left_anti")
+    return join_series(quarters, paid, keys, "left_anti", ["quarter_start"])
 
 
 def payments_after_due(bank: DataFrame, invoices: DataFrame) -> DataFrame:

@@ -152,7 +152,7 @@ def calendar_features(df: DataFrame, day: str = "ds") -> DataFrame:
 
 def attach_flows(df: DataFrame, daily: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     flows = daily.select(*keys, F.col("date").alias("ds"), "cash_inflow", "cash_outflow", "net_cash")
-    return join_series(df, flows, [*keys, "ds"], "left")
+    return join_series(df, flows, keys, "left", ["ds"])
 
 
 def factors_wide(factors: DataFrame, indicators: Sequence[str] = tuple(INDICATORS)) -> DataFrame:
@@ -166,7 +166,7 @@ def merge_factors(
     """Left-join the factors on the day and fill their gaps; without factors, pass through."""
     if wide is None:
         return df
-    joined = join_series(df, wide.withColumnRenamed("date", "ds"), ["ds"], "left")
+    joined = join_series(df, wide.withColumnRenamed("date", "ds"), [], "left", ["ds"])
     return interpolate_linear(joined, indicators, keys, "ds")
 
 

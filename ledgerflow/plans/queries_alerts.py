@@ -1,5 +1,7 @@
 """Alert queries."""
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from ledgerflow.config import Thresholds
@@ -117,12 +119,12 @@ def _block(level: str) -> str:
     "l07_digest",
     "bank_account:s message:s",
     f"""SELECT t.bank_account, coalesce(d.message, '{alerts.NO_ALERTS}') AS message FROM latest t LEFT JOIN
-     (SELECT bank_account, repeat('=', 50) || chr(10) || '{alerts.TITLE}' || chr(10) || repeat('=', 50) || chr(10) || {_block('CRITICAL')} || {_block('HIGH')} || {_block('MEDIUM')} || repeat('=', 50) AS message
+     (SELECT bank_account, repeat('=', 50) || chr(10) || '{alerts.TITLE}' || chr(10) || repeat('=', 50) || chr(10) || 'Fecha: 2003-01-31 06:00:00' || chr(10) || chr(10) || {_block('CRITICAL')} || {_block('HIGH')} || {_block('MEDIUM')} || repeat('=', 50) AS message
       FROM ({CHECKED}) c GROUP BY bank_account) d ON d.bank_account = t.bank_account""",
     **PARTS,
 )
 def _(fx):
-    return alerts.digest(checked(fx), latest(fx), ACCOUNT)
+    return alerts.digest(checked(fx), latest(fx), ACCOUNT, at=datetime(2003, 1, 31, 6))
 
 
 @query(

@@ -98,7 +98,7 @@ def outlier_counts(
     bounds = outlier_bounds(df, columns, method)
     outside = (F.col("value") < F.col("low")) | (F.col("value") > F.col("high"))
     counts = (
-        join_series(_long(df, columns), F.broadcast(bounds), ["column"], "left")  # one row per column
+        join_series(_long(df, columns), F.broadcast(bounds), [], "left", ["column"])  # one row per column
         .groupBy("column", "q25", "q75")
         .agg(F.count_if(outside).alias("outliers"))
     )

@@ -16,7 +16,10 @@ def db(small):
 @pytest.mark.parametrize("name", [n for n, q in QUERIES.items() if q.sql])
 def test_equals_sql(name, spark, small, db):
     query = QUERIES[name]
-    problem = difference(query.run(spark, small), db, query.sql)
+    df = query.run(spark, small)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    problem = difference(df, db, query.sql)
     assert problem is None or problem.startswith("EMPTY"), problem
 
 
@@ -30,3 +33,13 @@ def test_entry_points(spark):
 
     assert contract.entry(spark).count() > 0
     assert set(contract.oracle_sql()) <= set(contract.queries())
+
+
+def test_deduplication_limits_groups_before_the_shuffle(spark, small):
+    plan = QUERIES["c06_keep_first"].run(spark, small)._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Final") < plan.index("Exchange") < plan.index("Partial")
+
+
+def test_unused_columns_are_pruned_through_cleaning(spark, small):
+    plan = QUERIES["v10_won_deal_followups"].run(spark, small)._jdf.queryExecution().executedPlan().toString()
+    assert "o_totalprice" not in plan

@@ -64,6 +64,14 @@ def test_rows_append(spark, tmp_path):
     assert sinks.append_rows(spark, rows[:1], "model_metrics", str(tmp_path)).count() == 3
 
 
+def test_model_config_document(spark, tmp_path):
+    from ledgerflow.config import ModelConfig
+
+    sinks.save_json(sinks.config_document(spark, ModelConfig()), f"{tmp_path}/config.json")
+    row = spark.read.json(f"{tmp_path}/config.json").first()
+    assert (row.growth, row.seasonality_mode, row.changepoint_prior_scale) == ("linear", "multiplicative", 0.05)
+
+
 def test_end_to_end_run(spark, fx, tmp_path):
     raw, out = str(tmp_path / "raw"), str(tmp_path / "out")
     sinks.save_processed({n: d.drop("load_seq") for n, d in fx.raw().items()}, raw, "csv")
