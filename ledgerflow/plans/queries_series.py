@@ -7,6 +7,7 @@ from ledgerflow.operators import series
 from ledgerflow.operators.clean import clean_external_factors
 from ledgerflow.plans.oracle_derived import _gap_fill
 from ledgerflow.plans.registry import query
+from ledgerflow.sources.shared import store
 
 ACCOUNT = ["bank_account"]
 CASH = "date:d cash_balance:m cash_inflow:m cash_outflow:m net_cash:m transaction_count:i"
@@ -95,7 +96,7 @@ def _(fx):
 
 @query("t10_attach_flows", "ds:d y:m cash_inflow:m cash_outflow:m net_cash:m", "SELECT f.ds, f.y, c.cash_inflow, c.cash_outflow, c.net_cash FROM v_full f LEFT JOIN v_cash c ON f.ds = c.date")
 def _(fx):
-    daily = series.cash_flow_daily(fx.bank())
+    daily = store(series.cash_flow_daily(fx.bank()), "daily")
     return series.attach_flows(series.target_series(daily), daily)
 
 
@@ -140,7 +141,7 @@ def _(fx):
     filled=FILLED,
 )
 def _(fx):
-    daily = series.cash_flow_daily(fx.bank())
+    daily = store(series.cash_flow_daily(fx.bank()), "daily")
     return series.prepare_forecasting(daily, clean_external_factors(fx.factors()))["flagged"]
 
 

@@ -86,3 +86,25 @@ def test_exact_quantiles_equal_numpy(spark, size):
     row = exact_quantiles(df, ["column"], "value", [0.25, 0.5, 0.75]).first()
     want = np.quantile([v for _, v in values], [0.25, 0.5, 0.75])
     assert np.allclose([row.q0, row.q1, row.q2], want)
+
+
+@pytest.mark.parametrize("size", [1, 2, 5, 1000, 30000])
+def test_bracketed_column_quantiles_equal_numpy(spark, size):
+    from ledgerflow.sources.quality import column_quantiles
+
+    draw = random.Random(size)
+    rows = [(draw.gauss(0, 50), draw.choice([1, 2, 2, 2, 9]), None) for _ in range(size)]
+    df = spark.createDataFrame(rows, "a double, b int, c double").repartition(6)
+    got = {r.column: [r.q0, r.q1] for r in column_quantiles(df, ["a", "b", "c"], [0.25, 0.75]).collect()}
+    assert set(got) == {"a", "b"}
+    for i, c in enumerate("ab"):
+        assert np.allclose(got[c], np.quantile([r[i] for r in rows], [0.25, 0.75]))
+
+
+def test_missed_bracket_falls_back_to_ranking_all_values(spark, monkeypatch):
+    from ledgerflow.sources import quality
+
+    monkeypatch.setattr(quality.F, "percentile_approx", lambda c, p, a: quality.F.array(*[quality.F.lit(-1.0)] * len(p)))
+    df = spark.range(1, 101).select(F.col("id").cast("double").alias("a"))
+    row = quality.column_quantiles(df, ["a"], [0.25, 0.75]).first()
+    assert (row.q0, row.q1) == (25.75, 75.25)
