@@ -3,7 +3,7 @@
 AS_OF = "1998-06-01"
 
 
-def _gap_fill(source: str, columns: dict[str, str], carry: str, part: str = "", day: str = "date") -> str:
+def gap_fill(source: str, columns: dict[str, str], carry: str, part: str = "", day: str = "date") -> str:
     """Linear fill by row position of the named columns of ``source``."""
     over = f"{'PARTITION BY ' + part if part else ''} ORDER BY {day}"
     back = f"{'PARTITION BY ' + part if part else ''} ORDER BY {day} DESC"
@@ -54,7 +54,7 @@ LEFT JOIN {daily} v ON {same}s.date = v.date"""
 def _cash_flow(dense: str, part: str = "") -> str:
     lead = f"{part}, " if part else ""
     carry = f"{lead}date, net_cash, transaction_count"
-    filled = _gap_fill(dense, {"cash_balance": "cash_balance"}, carry, part)
+    filled = gap_fill(dense, {"cash_balance": "cash_balance"}, carry, part)
     return f"""
 SELECT {lead}date, cash_balance, greatest(coalesce(net_cash, 0), 0) AS cash_inflow, greatest(-coalesce(net_cash, 0), 0) AS cash_outflow,
  coalesce(net_cash, 0) AS net_cash, coalesce(transaction_count, 0) AS transaction_count FROM ({filled}) f"""

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from ledgerflow.config import INITIAL_BALANCE, INDICATORS, SEASONAL_FACTOR
 from ledgerflow.operators import series
 from ledgerflow.operators.clean import clean_external_factors
-from ledgerflow.plans.oracle_derived import _gap_fill
+from ledgerflow.plans.oracle_derived import gap_fill
 from ledgerflow.plans.registry import query
 from ledgerflow.sources.shared import store
 
@@ -102,7 +102,7 @@ def _(fx):
 
 WIDE = "SELECT date, " + ", ".join(f"max(value) FILTER (WHERE indicator = '{i}') AS {i}" for i in INDICATORS) + " FROM fx_factors GROUP BY date"
 JOINED = "SELECT f.ds, f.y, f.rn, f.n, w.interest_rate, w.inflation, w.sector_growth FROM v_full f LEFT JOIN wide w ON f.ds = w.date"
-FILLED = _gap_fill("joined", {i: i for i in INDICATORS}, "ds, y, rn, n", day="ds")
+FILLED = gap_fill("joined", {i: i for i in INDICATORS}, "ds, y, rn, n", day="ds")
 
 
 @query("t11_factors_wide", "date:d interest_rate:f4 inflation:f4 sector_growth:f4", WIDE)

@@ -16,13 +16,13 @@ def list_datasets(spark: SparkSession, folder: str, suffix: str = ".csv") -> lis
 
     Only file names are read; what reaches the driver is one name per dataset.
     """
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", f"*{suffix}")
-        .load(folder)
-        .select("path")
-    )
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", f"*{suffix}")
+    try:
+        files = reader.load(folder).select("path")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
     last = folder.rstrip("/").rsplit("/", 1)[-1]
     below = F.regexp_extract("path", f"/{re.escape(last)}/([^/]+){re.escape(suffix)}(/[^/]+)?$", 1)
     names = files.select(below.alias("name")).where(F.col("name") != "").distinct()

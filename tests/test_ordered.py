@@ -10,12 +10,26 @@ from pyspark.sql import functions as F
 from ledgerflow.operators.ordered import exact_quantiles, previous_values, row_numbers, running_totals
 
 
-@pytest.fixture
-def many_chunks(spark):
-    """Force range partitions to stay apart, so that a series spans chunks."""
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+SPLITS = {
+    "range partitions as they are": {"spark.sql.adaptive.coalescePartitions.enabled": "false"},
+    "partitions merged at run time": {
+        "spark.sql.shuffle.partitions": "40",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k",
+    },
+}
+
+
+@pytest.fixture(params=SPLITS)
+def many_chunks(request, spark):
+    """Keep small data in several range partitions, so that a series spans chunks."""
+    before = {name: spark.conf.get(name) for name in SPLITS[request.param]}
+    for name, value in SPLITS[request.param].items():
+        spark.conf.set(name, value)
     yield
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    for name, value in before.items():
+        spark.conf.set(name, value)
 
 
 def ledger(n=2000, hot=0.6, seed=1):

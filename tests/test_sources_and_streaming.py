@@ -6,7 +6,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerflow.operators import clean, series
+from ledgerflow.operators import clean
 from ledgerflow.plans import treasury
 from ledgerflow.sources import catalog, quality, sinks
 from ledgerflow.sources.events import event_ledger
@@ -31,6 +31,7 @@ def test_csv_order_decides_which_copy_survives(spark, tmp_path):
 
 def test_missing_dataset_is_an_empty_typed_frame(spark, tmp_path):
     assert catalog.read_dataset(spark, "invoices", str(tmp_path)) is None
+    assert catalog.read_catalog(spark, f"{tmp_path}/absent") == {}
     empty = catalog.read_or_empty(spark, "cash_flow_daily", str(tmp_path), fmt="parquet")
     assert empty.count() == 0 and empty.schema["date"].dataType.simpleString() == "date"
     assert catalog.read_or_empty(spark, "employees", str(tmp_path)).columns[0] == "employee_id"
