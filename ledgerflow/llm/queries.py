@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerflow.llm.op5_language import op5_language
+from ledgerflow.llm.op7_decontaminate import op7_decontaminate
 from ledgerflow.llm.op9_sentencepiece import op9_sentencepiece
 
 Run = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Run]:
-    found = [op9_sentencepiece]
+    found = [op5_language, op7_decontaminate, op9_sentencepiece]
     return {f.__name__: f for f in found}
 
 
