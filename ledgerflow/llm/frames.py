@@ -8,6 +8,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from ledgerflow.shipping import ship_package
+
 Added = Callable[[pa.RecordBatch], Iterator[tuple[pa.RecordBatch, dict[str, pa.Array]]]]
 
 
@@ -31,4 +33,5 @@ def with_arrow(df: DataFrame, added: Added, columns: str) -> DataFrame:
                     [*(part.column(n) for n in names), *values.values()], names=[*names, *values]
                 )
 
+    ship_package(df.sparkSession)
     return df.mapInArrow(run, StructType([*kept, *new.fields]))

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ledgerflow.llm import arrays
 from ledgerflow.llm.frames import documents, with_arrow
+from ledgerflow.shipping import ship_package
 
 DIMENSIONS = 1024
 UNKNOWN = "und"
@@ -128,6 +129,7 @@ def prototypes(train: DataFrame, text: str = "text", label: str = "lang") -> tup
                 names=["label", "place", "total"],
             )
 
+    ship_package(train.sparkSession)
     labelled = train.where(F.col(label).isNotNull() & F.col(text).isNotNull()).select(text, F.col(label).cast("string").alias(label))
     rows = (
         labelled.mapInArrow(sums, "label string, place int, total bigint")
