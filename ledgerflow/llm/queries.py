@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerflow.llm.op1_secrets import op1_secrets
 from ledgerflow.llm.op3_hilbert import op3_hilbert
+from ledgerflow.llm.op4_ngram_jaccard import op4_ngram_jaccard
 from ledgerflow.llm.op5_language import op5_language
 from ledgerflow.llm.op6_url_ratio import op6_url_ratio
 from ledgerflow.llm.op7_decontaminate import op7_decontaminate
@@ -17,7 +18,7 @@ Run = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Run]:
-    found = [op1_secrets, op3_hilbert, op5_language, op6_url_ratio, op7_decontaminate, op9_sentencepiece]
+    found = [op1_secrets, op3_hilbert, op4_ngram_jaccard, op5_language, op6_url_ratio, op7_decontaminate, op9_sentencepiece]
     return {f.__name__: f for f in found}
 
 
