@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerflow.llm.op10_suffix_dedup import op10_suffix_dedup
 from ledgerflow.llm.op1_secrets import op1_secrets
 from ledgerflow.llm.op3_hilbert import op3_hilbert
 from ledgerflow.llm.op4_ngram_jaccard import op4_ngram_jaccard
@@ -18,7 +19,7 @@ Run = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Run]:
-    found = [op1_secrets, op3_hilbert, op4_ngram_jaccard, op5_language, op6_url_ratio, op7_decontaminate, op9_sentencepiece]
+    found = [op1_secrets, op3_hilbert, op4_ngram_jaccard, op5_language, op6_url_ratio, op7_decontaminate, op9_sentencepiece, op10_suffix_dedup]
     return {f.__name__: f for f in found}
 
 
