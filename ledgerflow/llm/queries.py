@@ -13,13 +13,14 @@ from ledgerflow.llm.op4_ngram_jaccard import op4_ngram_jaccard
 from ledgerflow.llm.op5_language import op5_language
 from ledgerflow.llm.op6_url_ratio import op6_url_ratio
 from ledgerflow.llm.op7_decontaminate import op7_decontaminate
+from ledgerflow.llm.op8_ngram_trie import op8_ngram_trie
 from ledgerflow.llm.op9_sentencepiece import op9_sentencepiece
 
 Run = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Run]:
-    found = [op1_secrets, op3_hilbert, op4_ngram_jaccard, op5_language, op6_url_ratio, op7_decontaminate, op9_sentencepiece, op10_suffix_dedup]
+    found = [op1_secrets, op3_hilbert, op4_ngram_jaccard, op5_language, op6_url_ratio, op7_decontaminate, op8_ngram_trie, op9_sentencepiece, op10_suffix_dedup]
     return {f.__name__: f for f in found}
 
 
