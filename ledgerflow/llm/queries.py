@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerflow.llm.op10_suffix_dedup import op10_suffix_dedup
 from ledgerflow.llm.op1_secrets import op1_secrets
+from ledgerflow.llm.op2_topk import ORACLE_SQL as TOPK_SQL, op2_topk
 from ledgerflow.llm.op3_hilbert import op3_hilbert
 from ledgerflow.llm.op4_ngram_jaccard import op4_ngram_jaccard
 from ledgerflow.llm.op5_language import op5_language
@@ -20,9 +21,9 @@ Run = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Run]:
-    found = [op1_secrets, op3_hilbert, op4_ngram_jaccard, op5_language, op6_url_ratio, op7_decontaminate, op8_ngram_trie, op9_sentencepiece, op10_suffix_dedup]
+    found = [op1_secrets, op2_topk, op3_hilbert, op4_ngram_jaccard, op5_language, op6_url_ratio, op7_decontaminate, op8_ngram_trie, op9_sentencepiece, op10_suffix_dedup]
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_topk": TOPK_SQL}
