@@ -206,8 +206,11 @@ def spelled(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", names[s["kind"]], s["start"].cast("string"), s["stop"].cast("string"))), ",")
 
 
-def redact(docs: DataFrame, text: str = "text", mark: str = "<secret>", level: float = LEVEL) -> DataFrame:
-    """Replace every span by ``mark``; overlapping spans are one. Own columns only; other texts stay as they are."""
+def redact(docs: DataFrame, text: str = "text", mark: str = "<secret>", level: float = LEVEL, size: str = "n_chars") -> DataFrame:
+    """Replace every span by ``mark``; overlapping spans are one. Own columns only; other texts stay as they are.
+
+    A column ``size`` of changed texts is set to the new number of characters.
+    """
     found = find_secrets(docs.select(F.struct(*docs.columns).alias("__row"), F.col(text).alias("__body")), "__body", level)
     joined = F.expr("""aggregate(secrets, cast(array() as array<struct<start:bigint,stop:bigint>>), (a, s) ->
         IF(size(a) > 0 AND s.start < element_at(a, -1).stop,
@@ -218,7 +221,16 @@ def redact(docs: DataFrame, text: str = "text", mark: str = "<secret>", level: f
         cast(IF(i = 0, 0, __spans[i - 1].stop) + 1 as int),
         cast(IF(i = size(__spans), length(__body), __spans[i].start) - IF(i = 0, 0, __spans[i - 1].stop) as int))), '{mark}')""")
     masked = found.withColumn("__spans", joined).withColumn("__clean", F.when(F.size("__spans") > 0, clean).otherwise(F.col("__body")))
-    return masked.select(*[F.col("__clean").alias(c) if c == text else F.col("__row")[c].alias(c) for c in docs.columns])
+    kinds = dict(docs.dtypes)
+
+    def column(c: str) -> Column:
+        if c == text:
+            return F.col("__clean").alias(c)
+        if c == size:
+            return F.when(F.size("__spans") > 0, F.length("__clean").cast(kinds[c])).otherwise(F.col("__row")[c]).alias(c)
+        return F.col("__row")[c].alias(c)
+
+    return masked.select(*map(column, docs.columns))
 
 
 def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
