@@ -134,12 +134,16 @@ def digest(
 ) -> DataFrame:
     """One text per series, alerts grouped by severity; the all-clear text where there are none.
 
-    A series has a handful of alert codes, so the collected list is small. ``series`` lists the
-    series that must appear even without alerts; it is not needed for a single series.
+    Alerts of one code and severity are one entry: the first message and how many more there are, so the
+    collected list has at most one entry per code however many rows fired (the log has them all). Other severities are
+    listed last. ``series`` lists the series that must appear even without alerts; it is not needed for a single series.
     """
-    levels = ["CRITICAL", "HIGH", "MEDIUM"]
-    entry = F.concat(F.lit("  ["), "code", F.lit("] "), "message")
-    found = alerts.groupBy(*keys).agg(
+    levels = ["CRITICAL", "HIGH", "MEDIUM", "OTHER"]
+    level_of = F.when(F.col("severity").isin(levels[:3]), F.col("severity")).otherwise("OTHER")
+    per_code = alerts.groupBy(*keys, level_of.alias("severity"), "code").agg(F.min("message").alias("message"), F.count("*").alias("n"))
+    more = F.when(F.col("n") > 1, F.format_string(" (+%d)", F.col("n") - 1)).otherwise("")
+    entry = F.concat(F.lit("  ["), "code", F.lit("] "), "message", more)
+    found = per_code.groupBy(*keys).agg(
         *[F.array_sort(F.collect_list(F.when(F.col("severity") == level, entry))).alias(level) for level in levels]
     )
     rule = F.lit("=" * 50)
@@ -148,7 +152,7 @@ def digest(
     ]
     dated = [F.lit(f"Fecha: {at:%Y-%m-%d %H:%M:%S}"), F.lit("")] if at else []
     text = F.concat_ws("\n", rule, F.lit(title), rule, *dated, *blocks, rule)
-    some = F.coalesce(F.size("CRITICAL") + F.size("HIGH") + F.size("MEDIUM") > 0, F.lit(False))
+    some = F.coalesce(F.size("CRITICAL") + F.size("HIGH") + F.size("MEDIUM") + F.size("OTHER") > 0, F.lit(False))
     if series is not None and keys:
         found = attach_stats(series.select(*keys).distinct(), found, keys)
     return found.select(*keys, F.when(some, text).otherwise(F.lit(NO_ALERTS)).alias("message"))

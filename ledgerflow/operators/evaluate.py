@@ -109,21 +109,18 @@ def evaluation_report(
     return both.withColumns({"mae_improvement": gain("mae"), "mape_improvement": gain("mape")})
 
 
-def forecast_vs_real(
-    forecast: DataFrame, daily: DataFrame, keys: Sequence[str] = (), limit: int | None = 500
-) -> DataFrame:
-    """Forecast days with a real balance; the dashboard shows the first 500 by date."""
+def forecast_vs_real(forecast: DataFrame, daily: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """Every forecast day with a real balance, per series."""
     real = daily.select(*keys, F.col("date").alias("ds"), F.col("cash_balance").cast("double").alias("y"))
     joined = join_series(forecast, real, keys, "left", ["ds"]).where(F.col("y").isNotNull())
     error = _error()
-    shown = joined.withColumns(
+    return joined.withColumns(
         {
             "error": error,
             "abs_error": F.abs(error),
             "pct_error": F.abs(F.try_divide(error, F.col("y"))) * 100,
         }
     )
-    return shown.orderBy(*keys, "ds").limit(limit) if limit else shown
 
 
 def error_summary(shown: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
@@ -161,7 +158,7 @@ def deviation_by_day(
     forecast: DataFrame, daily: DataFrame, last_days: int = 30, keys: Sequence[str] = ()
 ) -> DataFrame:
     """Signed deviation in percent of the forecast, for the last days of the real series."""
-    shown = forecast_vs_real(forecast, daily, keys, limit=None)
+    shown = forecast_vs_real(forecast, daily, keys)
     last = daily.groupBy(*keys).agg(F.max("date").alias("__last"))
     recent = attach_stats(shown, last, keys).where(F.col("ds") >= F.date_sub("__last", last_days))
     return recent.select(

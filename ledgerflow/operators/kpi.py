@@ -89,9 +89,18 @@ def weekday_pattern(daily: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     return means.withColumn("day_name", labels[F.col("day_of_week")])
 
 
-def year_month_matrix(daily: DataFrame, years: Sequence[int], keys: Sequence[str] = (), thousands: bool = False) -> DataFrame:
-    """Net cash by month (rows) and year (columns). The years are given, so no pre-scan runs."""
+def year_month_matrix(daily: DataFrame, years: Sequence[int] | None = None, keys: Sequence[str] = (), thousands: bool = False) -> DataFrame:
+    """Net cash by month (rows) and year (columns).
+
+    Without ``years`` they are those of the data, from one small aggregate. Given years fix the columns; a year of
+    the data that is not among them raises when the result is computed, as its sums would be lost.
+    """
     dated = daily.select(*keys, F.year("date").alias("year"), F.month("date").alias("month"), "net_cash")
+    if years is None:
+        years = sorted(r.year for r in dated.where(F.col("year").isNotNull()).select("year").distinct().collect())
+    else:
+        outside = F.concat(F.lit("year outside the given list: "), F.col("year"))
+        dated = dated.where(F.when(F.col("year").isin(list(years)) | F.col("year").isNull(), True).otherwise(F.raise_error(outside).cast("boolean")))
     sums = dated.groupBy(*keys, "month").pivot("year", list(years))
     matrix = sums.agg(F.sum("net_cash"))
     if thousands:

@@ -40,9 +40,9 @@ def _result(rule: str, status: Column, metrics: dict[str, Column], pct: Column |
     )
 
 
-def _rows(figures: DataFrame, *results: Column) -> DataFrame:
-    """One row per rule result from a single row of figures."""
-    return figures.select(F.inline(F.array(*results)))
+def _rows(figures: DataFrame, *results: Column, keys: Sequence[str] = ()) -> DataFrame:
+    """One row per rule result (and series) from one row of figures (per series)."""
+    return figures.select(*keys, F.inline(F.array(*results)))
 
 
 def _grade(pct: Column, above: float, otherwise: str) -> Column:
@@ -86,14 +86,17 @@ def r2_deals_to_invoices(deals: DataFrame, invoices: DataFrame) -> DataFrame:
     return _rows(both, _result("R2", _grade(pct, 70, "WARNING"), {n: F.col(n) for n in names}, pct))
 
 
-def bank_figures(bank: DataFrame, limits: Thresholds = Thresholds(), first_rows: int = 100) -> DataFrame:
-    """Everything the ledger-only rules need, in one pass; the period sets are bounded by the calendar."""
+def bank_figures(bank: DataFrame, limits: Thresholds = Thresholds(), keys: Sequence[str] = (), falls: bool = True) -> DataFrame:
+    """Everything the ledger-only rules need, per series; the period sets are bounded by the calendar.
+
+    The drop check looks at each row and the one before, over the whole ledger, on narrow columns in chunks.
+    """
     order = F.struct("date", "movement_id")
 
     def periods(category: str, unit: str) -> Column:
         return F.size(F.collect_set(F.when(F.col("category") == category, F.trunc("date", unit))))
 
-    figures = bank.agg(
+    figures = bank.groupBy(*keys).agg(
         F.min_by("balance_after", order).alias("initial_balance"),
         F.max_by("balance_after", order).alias("final_balance_actual"),
         F.sum("amount").alias("moved"),
@@ -104,12 +107,13 @@ def bank_figures(bank: DataFrame, limits: Thresholds = Thresholds(), first_rows:
         F.count_if(F.col("category") == "supplier").alias("supplier_movements"),
         F.datediff(F.max("date"), F.min("date")).alias("span_days"),
     )
-    start = bank.select("date", "movement_id", "balance_after").orderBy("date", "movement_id").limit(first_rows)
-    fall = F.lag("balance_after").over(Window.orderBy("date", "movement_id")) - F.col("balance_after")
-    falls = start.withColumn("__fall", fall).agg(
-        (F.count_if(F.col("__fall") > limits.drop_tolerance) == 0).cast("int").alias("balance_monotonic")
-    )
-    return attach_stats(figures, falls, [])
+    if not falls:
+        return figures
+    narrow = bank.select(*keys, "date", "movement_id", "balance_after")
+    steps = previous_values(narrow, keys, ["date", "movement_id"], ["balance_after"])
+    fall = F.col("prev_balance_after") - F.col("balance_after")
+    steady = steps.groupBy(*keys).agg((F.count_if(fall > limits.drop_tolerance) == 0).cast("int").alias("balance_monotonic"))
+    return attach_stats(figures, steady, keys)
 
 
 def _balance(limits: Thresholds = Thresholds()) -> Column:
@@ -144,25 +148,25 @@ def _suppliers() -> Column:
     return _result("R6", F.lit("PASS"), {"supplier_movements": F.col("supplier_movements")})
 
 
-def r3_balance(bank: DataFrame, limits: Thresholds = Thresholds()) -> DataFrame:
-    """First balance plus all movements against the last balance; early drops in the first rows."""
-    return _rows(bank_figures(bank, limits), _balance(limits))
+def r3_balance(bank: DataFrame, limits: Thresholds = Thresholds(), keys: Sequence[str] = ()) -> DataFrame:
+    """First balance plus all movements against the last balance, and whether any row falls by more than the tolerance."""
+    return _rows(bank_figures(bank, limits, keys), _balance(limits), keys=keys)
 
 
-def r4_payroll(bank: DataFrame) -> DataFrame:
-    return _rows(bank_figures(bank), _payroll())
+def r4_payroll(bank: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    return _rows(bank_figures(bank, keys=keys, falls=False), _payroll(), keys=keys)
 
 
-def r5_tax(bank: DataFrame) -> DataFrame:
-    return _rows(bank_figures(bank), _tax())
+def r5_tax(bank: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    return _rows(bank_figures(bank, keys=keys, falls=False), _tax(), keys=keys)
 
 
-def r6_suppliers(bank: DataFrame) -> DataFrame:
-    return _rows(bank_figures(bank), _suppliers())
+def r6_suppliers(bank: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    return _rows(bank_figures(bank, keys=keys, falls=False), _suppliers(), keys=keys)
 
 
-def all_rules(datasets: dict[str, DataFrame]) -> DataFrame:
-    """Every rule whose inputs are present, as one table."""
+def all_rules(datasets: dict[str, DataFrame], keys: Sequence[str] = ()) -> DataFrame:
+    """Every rule whose inputs are present, as one table; R3 to R6 per series, R1 and R2 for the company (null keys)."""
     invoices, bank, deals = (datasets.get(n) for n in ("invoices_clean", "bank_clean", "crm_deals_clean"))
     results = []
     if invoices is not None and bank is not None:
@@ -171,13 +175,13 @@ def all_rules(datasets: dict[str, DataFrame]) -> DataFrame:
         results.append(r2_deals_to_invoices(deals, invoices))
     if bank is not None:
         ledger_rules = [_balance(), _payroll(), _tax()] + ([_suppliers()] if invoices is not None else [])
-        results.append(_rows(bank_figures(bank), *ledger_rules))
+        results.append(_rows(bank_figures(bank, keys=keys), *ledger_rules, keys=keys))
     if not results:
         raise ValueError("no dataset that any rule applies to")
     table = results[0]
     for result in results[1:]:
-        table = table.unionByName(result)
-    return table
+        table = table.unionByName(result, allowMissingColumns=True)
+    return table.select(*[k for k in keys if k in table.columns], *[c for c in table.columns if c not in keys])
 
 
 def rules_summary(results: DataFrame) -> DataFrame:

@@ -20,12 +20,23 @@ from ledgerflow.operators.ordered import running_totals
 FLOWS = ["net_cash", "cash_inflow", "cash_outflow", "transaction_count"]
 
 
-def daily_totals(bank: DataFrame, keys: Sequence[str] = (), order: str = "movement_id") -> DataFrame:
+def closing_order(bank: DataFrame) -> str:
+    """The load sequence where the ledger has a numeric one, else the movement id.
+
+    A fixed-width order keeps the daily aggregation a hash aggregation; text would sort every input row.
+    """
+    kinds = dict(bank.dtypes)
+    numeric = kinds.get("load_seq", "").startswith(("bigint", "int", "decimal"))
+    return "load_seq" if numeric else "movement_id"
+
+
+def daily_totals(bank: DataFrame, keys: Sequence[str] = (), order: str | None = None) -> DataFrame:
     """Per series and day: net amount, closing balance (last non-null in order), movement count.
 
     Gross sums ride along in the same aggregate.
     """
     amount = F.col("amount")
+    order = order or closing_order(bank)
     nothing = F.lit(0).cast(TOTAL)
     return bank.groupBy(*keys, "date").agg(
         F.coalesce(F.sum("amount").cast(TOTAL), nothing).alias("net_cash"),
@@ -106,7 +117,7 @@ def zero_fill(df: DataFrame, columns: Sequence[str] = FLOWS) -> DataFrame:
 
 
 def cash_flow_daily(
-    bank: DataFrame, keys: Sequence[str] = (), basis: str = "net", order: str = "movement_id"
+    bank: DataFrame, keys: Sequence[str] = (), basis: str = "net", order: str | None = None
 ) -> DataFrame:
     """The dense daily cash-flow series of each account."""
     daily = split_flows(daily_totals(bank, keys, order), basis)

@@ -89,11 +89,11 @@ class Fixtures:
         )
         key = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
         kind = F.col("l_suppkey") % 10
+        price = F.col("l_extendedprice")
         payments = (
             self.table("lineitem")
-            .where("l_returnflag = 'A' AND l_quantity <= 10")
-            .groupBy(*key, "l_shipdate")
-            .agg(F.sum("l_extendedprice").alias("paid"))
+            .groupBy(*key)
+            .agg(F.min("l_shipdate").alias("l_shipdate"), F.sum(F.when(F.col("l_returnflag") == "R", -price).otherwise(price)).alias("paid"))
             .select(
                 F.concat_ws("-", F.lit("S"), *[_str(c) for c in key]).alias("movement_id"),
                 F.col("l_shipdate").cast("date").alias("date"),
@@ -131,6 +131,7 @@ class Fixtures:
             "amount",
             "category",
             "reference",
+            "load_seq",
             F.concat(F.lit("ACC-"), F.right("movement_id", F.lit(1))).alias("bank_account"),
         )
         return running_balance(split, ["bank_account"], opening=INITIAL_BALANCE // 10)
@@ -166,7 +167,6 @@ class Fixtures:
         stage = reduce(lambda e, i: e.when(turn == i, stages[i]), range(1, 5), F.when(turn == 0, stages[0])).otherwise(stages[5])
         base = (
             self.invoices_base()
-            .where(k % 5 == 0)
             .select(
                 k.alias("k"),
                 F.concat(F.lit("DEAL-"), _str(k)).alias("deal_id"),

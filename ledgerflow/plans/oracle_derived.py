@@ -33,7 +33,7 @@ def _daily(bank: str, part: str = "") -> str:
     lead = f"{part}, " if part else ""
     return f"""
 SELECT {lead}date, CAST(coalesce(sum(amount), 0) AS DECIMAL(28,2)) AS net_cash,
- max_by(balance_after, movement_id) FILTER (WHERE balance_after IS NOT NULL) AS cash_balance, count(movement_id) AS transaction_count,
+ max_by(balance_after, load_seq) FILTER (WHERE balance_after IS NOT NULL) AS cash_balance, count(movement_id) AS transaction_count,
  CAST(coalesce(sum(amount) FILTER (WHERE amount > 0), 0) AS DECIMAL(28,2)) AS gross_inflow,
  CAST(coalesce(-sum(amount) FILTER (WHERE amount < 0), 0) AS DECIMAL(28,2)) AS gross_outflow
 FROM {bank} GROUP BY {lead}date"""
@@ -158,5 +158,5 @@ FROM (SELECT deal_id, deal_name, customer_id, customer_name, coalesce(stage, 'un
 SELECT f.ds, f.yhat, f.yhat_lower, f.yhat_upper, c.cash_balance AS y, c.cash_balance - f.yhat AS error, abs(c.cash_balance - f.yhat) AS abs_error,
  abs((c.cash_balance - f.yhat) / nullif(c.cash_balance, 0)) * 100 AS pct_error
 FROM v_fc f LEFT JOIN v_cash c ON f.ds = c.date WHERE c.cash_balance IS NOT NULL""",
-    "v_shown": "SELECT * FROM v_shown_all ORDER BY ds LIMIT 500",
+    "v_shown": "SELECT * FROM v_shown_all",
 }

@@ -27,9 +27,9 @@ SELECT 'INV-' || CAST(o_orderkey AS STRING) AS invoice_id, CAST(d AS STRING) AS
     "fx_bank_base": """
 SELECT 'I' || CAST(o_orderkey AS STRING) AS movement_id, d + CAST(o_orderkey % cyc AS INT) + CASE WHEN o_orderkey % 71 = 0 THEN 100 ELSE 0 END AS dt, total AS amount, 'invoice_payment' AS category,
  'INV-' || CAST(o_orderkey AS STRING) AS reference FROM fx_invoices_base WHERE status = 'paid' AND o_orderkey % 67 <> 0
-UNION ALL SELECT concat_ws('-', 'S', CAST(l_orderkey AS STRING), CAST(l_linenumber AS STRING), CAST(l_partkey AS STRING), CAST(l_suppkey AS STRING)), CAST(l_shipdate AS DATE),
- -CAST(sum(l_extendedprice) AS DECIMAL(18,2)), CASE WHEN l_suppkey % 10 = 0 THEN 'salary' WHEN l_suppkey % 10 = 1 THEN 'tax' WHEN l_suppkey % 10 = 2 THEN 'utility' ELSE 'supplier' END, NULL
- FROM lineitem WHERE l_returnflag = 'A' AND l_quantity <= 10 GROUP BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate
+UNION ALL SELECT concat_ws('-', 'S', CAST(l_orderkey AS STRING), CAST(l_linenumber AS STRING), CAST(l_partkey AS STRING), CAST(l_suppkey AS STRING)), CAST(min(l_shipdate) AS DATE),
+ -CAST(sum(CASE WHEN l_returnflag = 'R' THEN -l_extendedprice ELSE l_extendedprice END) AS DECIMAL(18,2)), CASE WHEN l_suppkey % 10 = 0 THEN 'salary' WHEN l_suppkey % 10 = 1 THEN 'tax' WHEN l_suppkey % 10 = 2 THEN 'utility' ELSE 'supplier' END, NULL
+ FROM lineitem GROUP BY l_orderkey, l_linenumber, l_partkey, l_suppkey
 """,
     "fx_bank": """
 SELECT movement_id, dt AS date, dt AS value_date, CASE WHEN length(movement_id) % 5 = 0 THEN NULL ELSE 'mov ' || movement_id END AS description, amount,
@@ -38,7 +38,7 @@ SELECT movement_id, dt AS date, dt AS value_date, CASE WHEN length(movement_id)
 """,
     "fx_bank_multi": """
 SELECT movement_id, date, amount, CAST(45000 + sum(amount) OVER (PARTITION BY substr(movement_id, length(movement_id), 1) ORDER BY date, movement_id ROWS UNBOUNDED PRECEDING) AS DECIMAL(18,2)) AS balance_after,
- category, reference, 'ACC-' || substr(movement_id, length(movement_id), 1) AS bank_account FROM fx_bank
+ category, reference, load_seq, 'ACC-' || substr(movement_id, length(movement_id), 1) AS bank_account FROM fx_bank
 """,
     "fx_bank_raw": """
 SELECT movement_id, CAST(date AS STRING) AS date, CASE WHEN movement_id LIKE '%8' THEN 'bad' ELSE CAST(value_date AS STRING) END AS value_date, description,
@@ -53,7 +53,7 @@ SELECT deal_id, 'Deal ' || deal_id AS deal_name, customer_id, 'Customer ' || sub
  CASE WHEN stage IN ('won','lost') OR k % 205 = 0 THEN expected_close - CAST(k % 15 AS INT) END AS actual_close, CASE WHEN stage IN ('won','lost') THEN expected_close - CAST(k % 15 AS INT) END AS closed_date
 FROM (SELECT o_orderkey AS k, 'DEAL-' || CAST(o_orderkey AS STRING) AS deal_id, 'C' || CAST(o_custkey AS STRING) AS customer_id,
  CASE CAST(floor(o_orderkey / 5) AS INT) % 6 WHEN 0 THEN 'prospecting' WHEN 1 THEN 'qualification' WHEN 2 THEN 'proposal' WHEN 3 THEN 'negotiation' WHEN 4 THEN 'won' ELSE 'lost' END AS stage,
- amount AS expected_amount, d - 75 AS created_date, CASE WHEN o_orderkey % 7 < 2 THEN d + 10 ELSE d - 40 END AS expected_close FROM fx_invoices_base WHERE o_orderkey % 5 = 0) x
+ amount AS expected_amount, d - 75 AS created_date, CASE WHEN o_orderkey % 7 < 2 THEN d + 10 ELSE d - 40 END AS expected_close FROM fx_invoices_base) x
 """,
     "fx_deals_raw": """
 SELECT deal_id, deal_name, customer_id, customer_name, CASE WHEN deal_id LIKE '%15' THEN NULL ELSE stage END AS stage, CASE WHEN deal_id LIKE '%25' THEN '?' ELSE CAST(probability AS STRING) END AS probability,

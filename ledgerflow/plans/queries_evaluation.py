@@ -16,9 +16,9 @@ def pairs(fx):
     return evaluate.pair_up(test, ahead)
 
 
-def shown(fx, limit=500):
+def shown(fx):
     days = stored_daily(fx)
-    return evaluate.forecast_vs_real(forecast_of(days), days, limit=limit)
+    return evaluate.forecast_vs_real(forecast_of(days), days)
 
 
 MAE = "avg(abs(y - yhat))"
@@ -129,7 +129,7 @@ def _(fx):
 
 @query("e09_forecast_vs_real_all_days", SHOWN, "SELECT * FROM v_shown_all")
 def _(fx):
-    return shown(fx, limit=None)
+    return shown(fx)
 
 
 @query("e10_error_summary", "mae:f0 rmse:f0 mape:f2 bias:f0", f"SELECT {MAE} AS mae, {RMSE} AS rmse, avg(pct_error) AS mape, avg(y - yhat) AS bias FROM v_shown")

@@ -65,8 +65,14 @@ R3 = rule_sql(
     "b0 AS initial_balance, b1 AS final_balance_actual, b0 + s AS final_balance_expected, abs(b0 + s - b1) AS difference, mono AS balance_monotonic",
     """SELECT min_by(balance_after, row(date, movement_id)) AS b0, max_by(balance_after, row(date, movement_id)) AS b1, sum(amount) AS s,
      (SELECT CAST(count(*) FILTER (WHERE p - balance_after > 1000) = 0 AS INT) FROM (SELECT balance_after, lag(balance_after) OVER (ORDER BY date, movement_id) AS p FROM
-       (SELECT * FROM v_bank ORDER BY date, movement_id LIMIT 100) h) q) AS mono FROM v_bank""",
+       v_bank h) q) AS mono FROM v_bank""",
 )
+R1_MULTI = R1.replace("v_bank", "fx_bank_multi")
+R3_BY_ACCOUNT = """SELECT f.bank_account, 'R3' AS rule, CASE WHEN abs(b0 + s - b1) < 200000 THEN 'PASS' ELSE 'FAIL' END AS status,
+ b0 AS initial_balance, b1 AS final_balance_actual, b0 + s AS final_balance_expected, mono AS balance_monotonic
+ FROM (SELECT bank_account, min_by(balance_after, row(date, movement_id)) AS b0, max_by(balance_after, row(date, movement_id)) AS b1, sum(amount) AS s FROM fx_bank_multi GROUP BY bank_account) f
+ JOIN (SELECT bank_account, CAST(count(*) FILTER (WHERE p - balance_after > 1000) = 0 AS INT) AS mono FROM
+  (SELECT bank_account, balance_after, lag(balance_after) OVER (PARTITION BY bank_account ORDER BY date, movement_id) AS p FROM fx_bank_multi) q GROUP BY bank_account) m ON f.bank_account = m.bank_account"""
 
 
 def _periodic(rule: str, category: str, unit: str, days: int, above: int, counted: str, periods: str) -> str:
@@ -103,6 +109,25 @@ def _(fx):
     return flat(rules.r3_balance(bank(fx)), *names)
 
 
+@query("v03_r3_balance_by_account", "bank_account:s rule:s status:s initial_balance:m final_balance_actual:m final_balance_expected:m balance_monotonic:i", R3_BY_ACCOUNT)
+def _(fx):
+    names = ["initial_balance", "final_balance_actual", "final_balance_expected", "balance_monotonic"]
+    found = rules.r3_balance(fx.bank_multi(), keys=["bank_account"])
+    return found.select("bank_account", "rule", "status", *[F.col("metrics")[n].alias(n) for n in names])
+
+
+@query(
+    "v07_all_rules_by_account",
+    "bank_account:s rule:s status:s",
+    f"""SELECT bank_account, rule, status FROM ({R3_BY_ACCOUNT}) a
+     UNION ALL SELECT bank_account, 'R6', 'PASS' FROM fx_bank_multi GROUP BY bank_account
+     UNION ALL SELECT NULL, rule, status FROM ({R1_MULTI}) b UNION ALL SELECT NULL, rule, status FROM ({R2}) c""",
+)
+def _(fx):
+    given = {"invoices_clean": invoices(fx), "bank_clean": fx.bank_multi(), "crm_deals_clean": deals(fx)}
+    return rules.all_rules(given, ["bank_account"]).where("rule NOT IN ('R4', 'R5')")
+
+
 @query("v04_r4_payroll", HEAD + "salary_movements:i months_with_salary:i", R4)
 def _(fx):
     return flat(rules.r4_payroll(bank(fx)), "salary_movements", "months_with_salary")

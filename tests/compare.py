@@ -59,7 +59,7 @@ def main() -> None:
 
     folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     prefixes = tuple(sys.argv[2:])
-    spark, db = local_session(), connect(folder)
+    spark, db = local_session(cpus=int(os.environ.get("BENCH_CPUS", "8"))), connect(folder)
     bad = 0
     for name, query in load().items():
         if prefixes and not name.startswith(prefixes):
