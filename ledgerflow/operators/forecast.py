@@ -22,6 +22,7 @@ from ledgerflow.config import ModelConfig, Thresholds
 from ledgerflow.functions.dates import easter_sunday
 from ledgerflow.functions.keyed import attach_stats, by_series, join_series
 from ledgerflow.functions.measures import code_risk_band, normal_quantile
+from ledgerflow.shipping import ship_package
 
 FORECAST_COLUMNS = ["ds", "yhat", "yhat_lower", "yhat_upper", "trend", "yearly", "weekly"]
 EXACT = "decimal(30,6)"
@@ -229,23 +230,18 @@ def design(days: DataFrame, config: ModelConfig, regressors: Sequence[str] = ())
     bends = [F.greatest(tau - F.lit(s), F.lit(0.0)) for s in steps]
     day_number = F.datediff("ds", F.lit(date(1970, 1, 1))).cast("double")
     monthly = _fourier(day_number, 30.5, config.monthly_order)
-    extra = [F.coalesce(F.col(r).cast("double"), F.lit(0.0)) for r in regressors]
-    others = F.concat(holiday_flags(F.col("ds")), F.array(*[*monthly, *extra]).cast("array<double>"))
+    others = F.concat(holiday_flags(F.col("ds")), F.array(*monthly).cast("array<double>"))
     return days.withColumns(
         {
             "trend_x": F.array(F.lit(1.0), tau, *bends),
             "yearly_x": F.array(*_fourier(day_number, 365.25, config.yearly_order)),
             "weekly_x": F.array(*_fourier(day_number, 7.0, config.weekly_order)),
             "other_x": others,
+            "given_x": F.array(*[F.col(r).cast("double") for r in regressors]).cast("array<double>"),
         }
     )
 
 
-def _ridge(x: np.ndarray, y: np.ndarray, penalty: np.ndarray) -> np.ndarray:
-    gram = x.T @ x + np.diag(penalty + 1e-9)
-    return np.linalg.solve(gram, x.T @ y)
-
-
 def fit_full(
     history: DataFrame,
     keys: Sequence[str] = (),
@@ -254,31 +250,45 @@ def fit_full(
 ) -> DataFrame:
     """Piecewise trend, then seasons, holidays and regressors on the relative deviation.
 
+    Regressors are standardised here, and their means and spreads kept with the coefficients, so the penalty does not
+    depend on their unit; a history day without a value counts as the mean.
     One pandas group is one series at day grain: bounded by calendar days, whatever the ledger size.
     """
+    ship_package(history.sparkSession)
     whole = Window.partitionBy(*keys)
     dated = history.withColumns({"origin": F.min("ds").over(whole), "last_day": F.max("ds").over(whole)})
     rows = design(dated.withColumn("train_span", F.datediff("last_day", "origin")), config, regressors)
-    parts = ["trend_x", "yearly_x", "weekly_x", "other_x"]
+    parts = ["trend_x", "yearly_x", "weekly_x", "other_x", "given_x"]
     grouped = rows.select(*keys, "origin", "last_day", "train_span", "y", *parts).groupBy(*(keys or [F.lit(0).alias("__all")]))
     key_fields = [f"`{k}` {history.schema[k].dataType.simpleString()}" for k in keys]
     schema = ", ".join(
         key_fields
         + ["origin date", "last_day date", "train_span int", "n bigint", "sigma double"]
         + ["trend_w array<double>", "yearly_w array<double>", "weekly_w array<double>", "other_w array<double>"]
+        + ["given_mean array<double>", "given_spread array<double>"]
     )
     bend_prior, season_prior = config.changepoint_prior_scale, config.seasonality_prior_scale
     holiday_prior = config.holidays_prior_scale
 
+    def ridge(x: np.ndarray, y: np.ndarray, penalty: np.ndarray) -> np.ndarray:
+        return np.linalg.solve(x.T @ x + np.diag(penalty + 1e-9), x.T @ y)
+
     def solve(group: pd.DataFrame) -> pd.DataFrame:
         y = group["y"].to_numpy(float)
-        trend_x, yearly_x, weekly_x, other_x = (np.vstack(group[p].to_numpy()) for p in parts)
+        trend_x, yearly_x, weekly_x, other_x, given = (np.vstack(group[p].to_numpy()).astype(float) for p in parts)
+        known = ~np.isnan(given)
+        size = np.maximum(known.sum(0), 1)
+        mean = np.where(known, given, 0.0).sum(0) / size
+        off = np.where(known, given - mean, 0.0)
+        spread_of = np.sqrt((off**2).sum(0) / size)
+        spread_of = np.where(spread_of > 1e-12, spread_of, 1.0)
+        other_x = np.hstack([other_x, off / spread_of])
         scale = max(float(np.abs(y).max()), 1e-12)
-        line = _ridge(trend_x[:, :2], y / scale, np.zeros(2))
+        line = ridge(trend_x[:, :2], y / scale, np.zeros(2))
         noise = float(np.var(y / scale - trend_x[:, :2] @ line))
         bends = np.full(trend_x.shape[1], noise / bend_prior**2)
         bends[:2] = 0.0
-        trend_w = _ridge(trend_x, y / scale, bends) * scale
+        trend_w = ridge(trend_x, y / scale, bends) * scale
         trend = trend_x @ trend_w
         usable = np.abs(trend) > 1e-9 * scale
         season_x = np.hstack([yearly_x, weekly_x, other_x])
@@ -286,13 +296,14 @@ def fit_full(
         spread = float(np.var(relative)) if usable.any() else 0.0
         penalty = np.full(season_x.shape[1], spread / season_prior**2)
         penalty[yearly_x.shape[1] + weekly_x.shape[1] :] = spread / holiday_prior**2
-        season_w = _ridge(season_x[usable], relative, penalty)
+        season_w = ridge(season_x[usable], relative, penalty)
         residual = y - trend * (1.0 + season_x @ season_w)
         cuts = np.cumsum([yearly_x.shape[1], weekly_x.shape[1]])
         yearly_w, weekly_w, other_w = np.split(season_w, cuts)
         row = {k: group[k].iloc[0] for k in [*keys, "origin", "last_day", "train_span"]}
         row |= {"n": len(y), "sigma": float(np.std(residual, ddof=1)) if len(y) > 1 else 0.0}
         row |= {"trend_w": trend_w, "yearly_w": yearly_w, "weekly_w": weekly_w, "other_w": other_w}
+        row |= {"given_mean": mean, "given_spread": spread_of}
         return pd.DataFrame([row])
 
     return grouped.applyInPandas(solve, schema)
@@ -311,11 +322,24 @@ def predict_full(
     regressors: Sequence[str] = (),
     regressor_days: DataFrame | None = None,
 ) -> DataFrame:
-    """Apply the coefficients on the JVM side; regressors come from ``regressor_days`` by (series, ds)."""
+    """Apply the coefficients on the JVM side; regressors come from ``regressor_days`` by (series, ds).
+
+    A day after the history needs a value of each regressor: without one the computation fails rather than
+    forecast with a made-up figure.
+    """
     days = forecast_days(model, config.horizon_days if horizon is None else horizon)
     if regressors:
         days = join_series(days, regressor_days.select(*keys, "ds", *regressors), keys, "left", ["ds"])
-    parts = design(days, config, regressors).withColumns(
+    built = design(days, config, regressors)
+    if regressors:
+        absent = F.concat(F.lit("no regressor value for "), F.col("ds").cast("string"))
+        value = F.zip_with(
+            F.zip_with("given_x", "given_mean", lambda x, m: F.coalesce(x, F.when(F.col("ds") > F.col("last_day"), F.raise_error(absent).cast("double")), m) - m),
+            "given_spread",
+            lambda x, s: x / s,
+        )
+        built = built.withColumn("other_x", F.concat("other_x", value))
+    parts = built.withColumns(
         {
             "trend": _dot("trend_x", "trend_w"),
             "yearly": _dot("yearly_x", "yearly_w"),
@@ -340,14 +364,20 @@ def risk_indicators(
     forecast: DataFrame,
     keys: Sequence[str] = (),
     scope: str = "all",
-    origin: date | None = None,
+    origin: date | DataFrame | None = None,
     limits: Thresholds = Thresholds(),
 ) -> DataFrame:
-    """Minimum, mean, change over the last 30 rows, band, days below the medium limit."""
+    """Minimum, mean, change over the last 30 rows, band, days below the medium limit.
+
+    ``origin``, for ``scope="future"``: the last history day, or a frame of (series, today).
+    """
     if scope == "future":
         if origin is None:
             raise ValueError("scope='future' needs the last history day")
-        forecast = forecast.where(F.col("ds") > F.lit(origin))
+        if isinstance(origin, DataFrame):
+            forecast = attach_stats(forecast, origin, keys).where(F.col("ds") > F.col("today")).drop("today")
+        else:
+            forecast = forecast.where(F.col("ds") > F.lit(origin))
     from_end = F.row_number().over(by_series(keys, F.col("ds").desc()))
     y = F.col("yhat")
     figures = forecast.withColumn("__back", from_end).groupBy(*keys).agg(

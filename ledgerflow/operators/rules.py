@@ -195,8 +195,8 @@ def rules_summary(results: DataFrame) -> DataFrame:
     )
 
 
-def report_lines(results: DataFrame) -> DataFrame:
-    """The validation report, one text line per row, ordered by (section, line)."""
+def report_lines(results: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """The validation report, one text line per row, ordered by (section, line); a section is a rule (and a series)."""
     rule_lines = F.flatten(
         F.array(
             F.array(F.concat_ws(": ", "rule", "description"), F.concat(F.lit("  Status: "), "status")),
@@ -207,7 +207,7 @@ def report_lines(results: DataFrame) -> DataFrame:
             ),
         )
     )
-    body = results.select(F.col("rule").alias("section"), F.posexplode(rule_lines).alias("line", "text"))
+    body = results.select(F.concat_ws(" ", "rule", *[F.col(k).cast("string") for k in keys]).alias("section"), F.posexplode(rule_lines).alias("line", "text"))
     ends = rules_summary(results).select(
         F.lit("~").alias("section"),
         F.posexplode(

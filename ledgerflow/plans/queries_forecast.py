@@ -105,13 +105,16 @@ def _(fx):
 @query("f05_extra_regressors", AHEAD)
 def _(fx):
     regressors = ["interest_rate", "rolling_mean_7d"]
-    wide = series.factors_wide(clean_external_factors(fx.factors()))
-    days = series.rolling_mean(series.merge_factors(history(fx), wide), "y").withColumn(
-        "rolling_mean_7d", F.col("rolling_mean_7d") / 1e6
-    )
     config = ModelConfig()
-    model = forecast.fit_full(days, config=config, regressors=regressors)
-    return forecast.predict_full(model, config=config, horizon=0, regressors=regressors, regressor_days=days)
+    wide = series.factors_wide(clean_external_factors(fx.factors()))
+    real = history(fx)
+    # known for every forecast day: the last rate is carried forward, the mean is the one of a horizon ago
+    frame = forecast.future_frame(real, horizon=config.horizon_days)
+    rates = series.merge_factors(frame, wide).select("ds", "interest_rate")
+    lagged = series.rolling_mean(real, "y").select(F.date_add("ds", config.horizon_days).alias("ds"), "rolling_mean_7d")
+    days = rates.join(lagged, "ds", "left")
+    model = forecast.fit_full(real.join(days, "ds"), config=config, regressors=regressors)
+    return forecast.predict_full(model, config=config, regressors=regressors, regressor_days=days)
 
 
 @query("f06_future_frame", "ds:d", "SELECT ds FROM v_full UNION ALL SELECT CAST(unnest(generate_series(hi + 1, hi + 90, INTERVAL 1 DAY)) AS DATE) FROM (SELECT max(ds) AS hi FROM v_full) m")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
@@ -12,29 +11,23 @@ from ledgerflow.schemas import OPTIONAL, REQUIRED, TABLES, raw_schema
 
 
 def list_datasets(spark: SparkSession, folder: str, suffix: str = ".csv") -> list[str]:
-    """Stems of the files (or part-file folders) directly under the folder.
-
-    Only file names are read; what reaches the driver is one name per dataset.
-    """
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", f"*{suffix}")
-    try:
-        files = reader.load(folder).select("path")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    """Stems of the files (or part-file folders) directly under the folder: one level is listed, by name only."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(path):
         return []
-    last = folder.rstrip("/").rsplit("/", 1)[-1]
-    below = F.regexp_extract("path", f"/{re.escape(last)}/([^/]+){re.escape(suffix)}(/[^/]+)?$", 1)
-    names = files.select(below.alias("name")).where(F.col("name") != "").distinct()
-    return sorted(row.name for row in names.collect())
+    names = (status.getPath().getName() for status in files.listStatus(path))
+    return sorted(n[: -len(suffix)] for n in names if n.endswith(suffix) and len(n) > len(suffix))
 
 
-def read_csv(spark: SparkSession, path: str) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """All columns as text, plus ``load_seq``: the position of the row in the files.
 
+    Quotes inside quoted fields are doubled, as RFC 4180 has it. ``multi_line`` allows line breaks inside quoted
+    fields; a file is then read by one task, so deliver such data in many files.
     File, block start and row within the block give file order without a global numbering pass.
     """
-    rows = spark.read.csv(path, header=True, inferSchema=False, encoding="UTF-8", multiLine=False)
+    rows = spark.read.csv(path, header=True, inferSchema=False, encoding="UTF-8", quote='"', escape='"', multiLine=multi_line)
     at = F.struct(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
@@ -43,11 +36,11 @@ def read_csv(spark: SparkSession, path: str) -> DataFrame:
     return rows.withColumn("load_seq", at)
 
 
-def read_catalog(spark: SparkSession, folder: str, fmt: str = "csv") -> dict[str, DataFrame]:
+def read_catalog(spark: SparkSession, folder: str, fmt: str = "csv", multi_line: bool = False) -> dict[str, DataFrame]:
     """Every dataset of a folder, keyed by file stem. Lazy."""
     folder = folder.rstrip("/")
     if fmt == "csv":
-        return {name: read_csv(spark, f"{folder}/{name}.csv") for name in list_datasets(spark, folder)}
+        return {name: read_csv(spark, f"{folder}/{name}.csv", multi_line) for name in list_datasets(spark, folder)}
     return {
         name: spark.read.format(fmt).load(f"{folder}/{name}.{fmt}") for name in list_datasets(spark, folder, f".{fmt}")
     }

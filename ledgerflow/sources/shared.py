@@ -37,9 +37,29 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def _files(spark: SparkSession, folder: str) -> tuple:
+    """Name, size and time of the files under a folder, two levels deep."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def below(place, depth: int) -> list[tuple]:
+        found = []
+        for s in files.listStatus(place):
+            if s.isDirectory() and depth:
+                found += below(s.getPath(), depth - 1)
+            else:
+                found.append((str(s.getPath()), s.getLen(), s.getModificationTime()))
+        return found
+
+    return tuple(sorted(below(path, 1)))
+
+
 def stored_once(spark: SparkSession, key: tuple, build) -> DataFrame:
-    """``store`` a derived table once per application and read it again afterwards."""
-    full_key = (spark.sparkContext.applicationId, *key)
+    """``store`` a derived table once per application and state of the files it is derived from.
+
+    ``key`` is (name, folder of the sources); a changed, added or removed file there gives a new key.
+    """
+    full_key = (spark.sparkContext.applicationId, *key, _files(spark, key[-1]))
     if full_key not in _stored:
         path = fresh_path(spark, "-".join(str(k).strip("/").replace("/", "_") for k in key))
         build().write.parquet(path)

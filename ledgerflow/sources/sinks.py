@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
@@ -17,7 +18,7 @@ def save_processed(datasets: Mapping[str, DataFrame], folder: str, fmt: str = "p
     for name, df in datasets.items():
         path = f"{folder.rstrip('/')}/{name}.{fmt}"
         writer = df.write.mode("overwrite")
-        writer.csv(path, header=True) if fmt == "csv" else writer.format(fmt).save(path)
+        writer.csv(path, header=True, quote='"', escape='"') if fmt == "csv" else writer.format(fmt).save(path)
         paths.append(path)
     return paths
 
@@ -35,20 +36,44 @@ def conform(df: DataFrame, name: str, spark: SparkSession) -> DataFrame:
     )
 
 
-def load_table(spark: SparkSession, df: DataFrame, name: str, folder: str, check_key: bool = True) -> DataFrame:
-    """Replace an external table under ``folder``; fails before writing when its key is not unique."""
-    typed = conform(df, name, spark)
+def load_table(
+    spark: SparkSession, df: DataFrame, name: str, folder: str, check_key: bool = True, database: str | None = None
+) -> DataFrame:
+    """Replace an external table under ``folder``, named ``database.name`` when a database is given.
+
+    The input is evaluated once, into a folder of its own; the key is checked on what was written. Only then does it
+    take the table's place, so a failed check leaves the old table as it was.
+    """
+    version = uuid.uuid4().hex
+    fresh, path = f"{folder.rstrip('/')}/.loading/{version}", f"{folder.rstrip('/')}/{name}/{version}"
+    conform(df, name, spark).write.parquet(fresh)
     if check_key and name in PRIMARY_KEY:
-        repeated = duplicate_keys(typed, PRIMARY_KEY[name]).limit(1).count()
-        if repeated:
+        if duplicate_keys(spark.read.schema(TABLES[name]).parquet(fresh), PRIMARY_KEY[name]).limit(1).count():
+            _files(spark, fresh).delete(_path(spark, fresh), True)
             raise ValueError(f"{name}: key {PRIMARY_KEY[name]} is not unique")
-    path = f"{folder.rstrip('/')}/{name}"
-    typed.write.mode("overwrite").parquet(path)
-    return spark.read.schema(TABLES[name]).parquet(path)
+    files = _files(spark, path)
+    files.mkdirs(_path(spark, path).getParent())
+    if not files.rename(_path(spark, fresh), _path(spark, path)):
+        raise OSError(f"{fresh} can't be moved to {path}")
+    written = spark.read.schema(TABLES[name]).parquet(path)
+    if database:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+        spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{name}`")
+        spark.catalog.createTable(f"{database}.{name}", path=path, source="parquet", schema=written.schema)
+        return spark.table(f"{database}.{name}")
+    return written
+
+
+def _path(spark: SparkSession, path: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def _files(spark: SparkSession, path: str):
+    return _path(spark, path).getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def load_tables(spark: SparkSession, datasets: Mapping[str, DataFrame], folder: str) -> dict[str, DataFrame]:
-    return {name: load_table(spark, df, name, folder) for name, df in datasets.items() if name in TABLES}
+def load_tables(spark: SparkSession, datasets: Mapping[str, DataFrame], folder: str, database: str | None = None) -> dict[str, DataFrame]:
+    return {name: load_table(spark, df, name, folder, database=database) for name, df in datasets.items() if name in TABLES}
 
 
 def append_rows(spark: SparkSession, rows: DataFrame | Sequence[tuple], name: str, folder: str) -> DataFrame:

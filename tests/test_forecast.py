@@ -160,3 +160,24 @@ def test_histogram_keeps_every_error(spark):
     assert sum(r.frequency for r in rows) == 100 and max(r.bin for r in rows) == 30
     same = spark.createDataFrame([(5.0,)] * 3, "error double")
     assert [(r.bin, r.frequency) for r in evaluate.error_histogram(same).collect()] == [(1, 3)]
+
+
+def test_regressors_do_not_depend_on_their_unit_and_must_be_known_ahead(spark):
+    from ledgerflow.config import ModelConfig
+
+    config = ModelConfig()
+    days = spark.range(400).select(F.date_add(F.lit("2022-01-01").cast("date"), F.col("id").cast("int")).alias("ds"), "id")
+    given = days.withColumn("r", 100 + 20 * F.sin(F.col("id") * 0.7))
+    real = given.where("id < 310").withColumn("y", 1000 + F.col("id") + 3 * (F.col("r") - 100))
+    ahead = {}
+    for unit in (1.0, 1e6):
+        known = given.withColumn("r", F.col("r") * unit)
+        model = forecast.fit_full(real.withColumn("r", F.col("r") * unit).select("ds", "y", "r"), config=config, regressors=["r"])
+        found = forecast.predict_full(model, config=config, regressors=["r"], regressor_days=known.select("ds", "r"))
+        ahead[unit] = {r.ds: r.yhat for r in found.collect()}
+    assert len(ahead[1.0]) == 400
+    assert all(abs(ahead[1.0][d] - ahead[1e6][d]) < 1e-3 for d in ahead[1.0])
+    last = max(ahead[1.0])
+    assert abs(ahead[1.0][last] - (1000 + 399 + 60 * float(np.sin(399 * 0.7)))) < 60
+    with pytest.raises(Exception, match="no regressor value"):
+        forecast.predict_full(model, config=config, regressors=["r"], regressor_days=real.select("ds", "r")).collect()

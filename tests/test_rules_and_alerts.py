@@ -109,6 +109,25 @@ def test_digest_texts(spark):
     assert alerts.digest(found.limit(0)).first().message == alerts.NO_ALERTS
 
 
+def test_digest_lists_other_severities_and_counts_repeats(spark):
+    rows = [("A5", "LOW", f"odd movement {i}") for i in range(500)]
+    text = alerts.digest(spark.createDataFrame(rows, "code string, severity string, message string")).first().message
+    assert "OTHER:" in text and "(+499)" in text and text.count("odd movement") == 1
+    assert alerts.NO_ALERTS != text
+
+
+def test_years_come_from_the_data_and_none_is_lost(spark):
+    import pytest
+    from pyspark.sql import functions as F
+
+    from ledgerflow.operators import kpi
+
+    daily = spark.createDataFrame([("1987-03-01", 5.0), ("2031-03-02", 7.0)], "date string, net_cash double").withColumn("date", F.col("date").cast("date"))
+    assert kpi.year_month_matrix(daily).columns == ["month", "1987", "2031"]
+    with pytest.raises(Exception, match="year outside"):
+        kpi.year_month_matrix(daily, [2031]).collect()
+
+
 def test_status_message_uses_the_last_row(spark):
     text = alerts.status_message(daily(spark, [10, 1234.5])).first().message
     assert "Saldo actual: 1,234.50€" in text and "Ingresos 30d: 1.00€" in text

@@ -80,9 +80,76 @@ def test_end_to_end_run(spark, fx, tmp_path):
     assert result.kpis.count() == 1 and result.rules.count() == 6
     assert result.forecast.agg(F.max("ds")).first()[0] > result.daily.agg(F.max("date")).first()[0]
     assert spark.read.json(f"{out}/models/model_metrics.json").count() == 1
+    assert spark.read.json(f"{out}/models/model_config.json").count() == 1
+    assert spark.read.json(f"{out}/models/forecast_summary.json").count() == 1
+    assert spark.read.parquet(f"{out}/quality/validation_report.parquet").where("section LIKE 'R3%'").count() > 0
+    assert "invoices" in os.listdir(f"{out}/tables")
     assert set(os.listdir(f"{out}/bi")) == {"cash_flow_daily.csv", "forecast_results.csv", "kpis.csv"}
 
 
+def test_dirty_csv_is_read_and_written_as_other_tools_do(spark, tmp_path):
+    import csv
+
+    rows = [("m1", 'Pago "urgente", SA', "10"), ("m2", "two\nlines, \"and\" commas", "20"), ("m3", "plain", "30"), ("m4", "", "")]
+    os.makedirs(tmp_path / "in")
+    with open(tmp_path / "in" / "bank.csv", "w", newline="", encoding="utf-8") as file:
+        csv.writer(file).writerows([("movement_id", "description", "amount"), *rows])
+    found = catalog.read_catalog(spark, str(tmp_path / "in"), multi_line=True)["bank"]
+    want = [tuple(c or None for c in r) for r in rows]
+    assert sorted(tuple(r) for r in found.drop("load_seq").collect()) == sorted(want, key=str)
+    sinks.save_processed({"bank": found.drop("load_seq").coalesce(1)}, str(tmp_path / "out"), "csv")
+    part = next(p for p in (tmp_path / "out" / "bank.csv").iterdir() if p.suffix == ".csv")
+    with open(part, newline="", encoding="utf-8") as file:
+        assert sorted(csv.reader(file)) == sorted([["movement_id", "description", "amount"], *map(list, rows)])
+
+
+def test_failed_key_check_leaves_the_named_table(spark, tmp_path):
+    good = spark.createDataFrame([("I1",)], "invoice_id string")
+    sinks.load_table(spark, good, "invoices", str(tmp_path), database="ledger_test")
+    with pytest.raises(ValueError):
+        sinks.load_table(spark, good.union(good), "invoices", str(tmp_path), database="ledger_test")
+    assert [r.invoice_id for r in spark.sql("SELECT invoice_id FROM ledger_test.invoices").collect()] == ["I1"]
+    spark.sql("DROP DATABASE ledger_test CASCADE")
+
+
+def test_stored_tables_follow_their_source_files(spark, tmp_path):
+    from ledgerflow.sources.shared import stored_once
+
+    source = str(tmp_path / "in")
+    for n in (3, 5):
+        spark.range(n).write.mode("overwrite").parquet(f"{source}/t.parquet")
+        got = stored_once(spark, ("probe", source), lambda: spark.read.parquet(f"{source}/t.parquet"))
+        assert got.count() == n
+
+
+def two_accounts(spark):
+    rows, seq = [], 0
+    for account, opening in (("A", 1_000_000), ("B", 0)):
+        balance = opening
+        for i in range(120):
+            amount = 50 if i % 3 else -20
+            balance += amount
+            seq += 1
+            rows.append((f"{account}{i:03d}", account, f"2024-{1 + i // 28:02d}-{1 + i % 28:02d}", amount, balance, "supplier", seq))
+    df = spark.createDataFrame(rows, "movement_id string, bank_account string, date string, amount int, balance_after int, category string, load_seq bigint")
+    return df.withColumns({"date": F.col("date").cast("date"), "amount": F.col("amount").cast("decimal(18,2)"), "balance_after": F.col("balance_after").cast("decimal(18,2)")})
+
+
+def test_accounts_end_to_end(spark):
+    from ledgerflow.operators import rules
+
+    bank = two_accounts(spark)
+    results = rules.r3_balance(bank, keys=["bank_account"]).collect()
+    assert {r.bank_account: (r.status, r.metrics["balance_monotonic"]) for r in results} == {"A": ("PASS", 1), "B": ("PASS", 1)}
+    for model in ("full", "base"):
+        done = treasury.plan({"bank_clean": bank}, model=model)
+        assert {r.bank_account: float(r.current_cash_balance) for r in done.kpis.collect()} == {"A": 1_003_200.0, "B": 3_200.0}
+        low = done.daily.groupBy("bank_account").agg(F.min("cash_balance").alias("m")).collect()
+        assert {r.bank_account: r.m > 900_000 for r in low} == {"A": True, "B": False}
+        assert done.forecast.groupBy("bank_account").count().count() == 2
+        assert done.report.count() == 2
+
+
 def split_events(spark, small, folder, cut):
     events = spark.read.parquet(f"{small}/events.parquet")
     ranges = [F.col("ts") < cut, F.col("ts") >= cut]
