@@ -38,7 +38,7 @@ GRAM = 32
 SHARD_BYTES = 1 << 20
 HOT_BYTES = 3 << 20
 SLICE = 2 << 20
-#: Run lists and marks up to this size are broadcast to the texts; beyond it they are joined by a shuffle.
+#: Run lists up to this size are broadcast to the texts; beyond it they are joined by a shuffle. Marks are always joined by a shuffle.
 BROADCAST_BYTES = 48 << 20
 
 
@@ -239,10 +239,10 @@ def _window_hashes(window: int):
     return run
 
 
-def _beside(docs: DataFrame, other: DataFrame, how: str) -> DataFrame:
+def _beside(docs: DataFrame, other: DataFrame) -> DataFrame:
     """Join by ``rid``; the other side (stored, array column ``c``) is broadcast only when it is known to be small."""
     bytes_ = other.agg(F.sum(F.lit(40) + F.size("c") * 40)).first()[0] or 0
-    return docs.join(F.broadcast(other) if bytes_ <= BROADCAST_BYTES else other, "rid", how)
+    return docs.join(F.broadcast(other) if bytes_ <= BROADCAST_BYTES else other, "rid")
 
 
 def repeated_spans(docs: DataFrame, text: str = "text", window: int = WINDOW, gram: int = GRAM, hot_bytes: int = HOT_BYTES) -> DataFrame:
@@ -263,7 +263,7 @@ def repeated_spans(docs: DataFrame, text: str = "text", window: int = WINDOW, gr
     shard = F.when(F.col("bytes") <= hot_bytes, F.pmod(F.xxhash64("m"), F.lit(shards))).otherwise(F.lit(-1))
     chosen = distinct.join(open_, "m").select("one.rid", F.struct("m", "f", "n", F.col("one.p").alias("p"), shard.alias("shard")).alias("x"))
     chosen = store(chosen.groupBy("rid").agg(F.collect_list("x").alias("c")), "chosen")
-    beside = _beside(docs, chosen, "inner").select(text, F.col("c").alias("chosen"))
+    beside = _beside(docs, chosen).select(text, F.col("c").alias("chosen"))
     cut = beside.mapInArrow(_cut(text, window), "shard bigint, m bigint, f bigint, n int, bytes binary")
     found = "m bigint, f bigint, n int, w0 int, w1 int"
     if open_.where(F.col("bytes") > hot_bytes).limit(1).count():
@@ -306,7 +306,7 @@ def dedup(docs: DataFrame, text: str = "text", window: int = WINDOW, gram: int =
             columns = list(zip(*rows, strict=True)) or [[]] * 5
             yield part, dict(zip(["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"], map(pa.array, columns, [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]), strict=True))
 
-    found = with_arrow(_beside(named, marks, "left"), added, "n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary")
+    found = with_arrow(named.join(marks.hint("merge"), "rid", "left"), added, "n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary")
     return found.drop("rid", "c")
 
 
