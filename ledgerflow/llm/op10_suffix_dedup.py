@@ -35,9 +35,10 @@ from ledgerflow.sources.shared import store
 
 WINDOW = 200
 GRAM = 32
-SHARD_BYTES = 1 << 20
+SHARD_BYTES = 512 << 10
 HOT_BYTES = 3 << 20
-SLICE = 2 << 20
+#: Small enough for the arrays of a slice to stay in the cache.
+SLICE = 128 << 10
 #: Run lists up to this size are broadcast to the texts; beyond it they are joined by a shuffle. Marks are always joined by a shuffle.
 BROADCAST_BYTES = 48 << 20
 
@@ -115,6 +116,19 @@ def _pairs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return _dense(a) * top + b
 
 
+def _below(values: np.ndarray, wanted: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """How many ``values`` are smaller than each wanted one; ``order`` sorts ``wanted``, so the search runs forward."""
+    out = np.empty(len(wanted), np.int64)
+    out[order] = np.searchsorted(np.sort(values), wanted[order])
+    return out
+
+
+def _smaller(rank: np.ndarray) -> np.ndarray:
+    """How many entries are smaller than each entry of a small-number array."""
+    counts = np.bincount(rank)
+    return (np.cumsum(counts) - counts)[rank]
+
+
 def suffix_ranks(s: np.ndarray, reach: int) -> np.ndarray:
     """Number of smaller suffixes for each place of ``s`` (integers from 1); suffixes equal in their first ``reach`` symbols may tie.
 
@@ -122,7 +136,7 @@ def suffix_ranks(s: np.ndarray, reach: int) -> np.ndarray:
     """
     n = len(s)
     if reach <= 1 or n < 3:
-        return np.searchsorted(np.sort(s), s) if reach <= 1 else _plain_ranks(s)
+        return _smaller(s) if reach <= 1 else _plain_ranks(s)
     p = np.r_[s, 0, 0, 0]
     one, two, zero = np.arange(1, n, 3), np.arange(2, n, 3), np.arange(0, n, 3)
     sample = np.r_[one, two]
@@ -142,12 +156,12 @@ def suffix_ranks(s: np.ndarray, reach: int) -> np.ndarray:
     both = np.r_[zero, two]
     in_two = _pairs(_pairs(p[both], p[both + 1]), of[both + 2])
     zero_2, two_2 = in_two[: len(zero)], in_two[len(zero) :]
-    sorted_1, sorted_2 = np.sort(zero_1), np.sort(zero_2)
+    by_1, by_2 = np.argsort(zero_1), np.argsort(zero_2)
     out = np.zeros(n, np.int64)
-    out[zero] = np.searchsorted(sorted_1, zero_1) + np.searchsorted(np.sort(one_1), zero_1) + np.searchsorted(np.sort(two_2), zero_2)
-    smaller = np.searchsorted(np.sort(rank), rank)
-    out[one] = smaller[: len(one)] + np.searchsorted(sorted_1, one_1)
-    out[two] = smaller[len(one) :] + np.searchsorted(sorted_2, two_2)
+    out[zero] = _below(zero_1, zero_1, by_1) + _below(one_1, zero_1, by_1) + _below(two_2, zero_2, by_2)
+    smaller = _smaller(rank)
+    out[one] = smaller[: len(one)] + _below(zero_1, one_1, np.argsort(one_1))
+    out[two] = smaller[len(one) :] + _below(zero_2, two_2, np.argsort(two_2))
     return out
 
 
@@ -169,17 +183,19 @@ def _equal(data: np.ndarray, a: np.ndarray, b: np.ndarray, window: int) -> np.nd
     return same
 
 
-def repeated_windows(parts: list[bytes], window: int = WINDOW) -> list[np.ndarray]:
-    """For each part the (first, end) pairs of its window starts whose string starts at another place of the parts as well."""
+Windows = tuple[np.ndarray, np.ndarray, np.ndarray]
+
+
+def repeated_windows(parts: list[bytes], window: int = WINDOW) -> Windows:
+    """(part, first, end) of window starts whose string starts at another place of the parts as well."""
     size = np.array([len(x) for x in parts], np.int64)
     start = np.cumsum(size + 1) - size - 1
     data = np.frombuffer(b"\0".join(parts) + b"\0", np.uint8)
     symbols = data.astype(np.int64) + 2
     symbols[start + size] = 1
     order = np.argsort(suffix_ranks(symbols, window), kind="stable")
-    windows = np.maximum(size - window + 1, 0)
     valid = np.zeros(len(data), bool)
-    valid[arrays.gather(start, windows)] = True
+    valid[arrays.gather(start, np.maximum(size - window + 1, 0))] = True
     order = order[valid[order]]
     repeated = np.zeros(len(data) + 1, bool)
     if len(order) > 1:
@@ -189,18 +205,14 @@ def repeated_windows(parts: list[bytes], window: int = WINDOW) -> list[np.ndarra
     edges = np.flatnonzero(np.diff(np.r_[False, repeated].astype(np.int8)))
     first, end = edges[::2], edges[1::2]
     whose = np.searchsorted(start, first, "right") - 1
-    bounds = np.searchsorted(whose, np.arange(len(parts) + 1))
-    return [np.stack([first[x:y], end[x:y]], 1) - start[i] for i, (x, y) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True))]
+    return whose, first - start[whose], end - start[whose]
 
 
 def _sorted_shard(window: int):
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        parts = repeated_windows([x.as_py() for x in table.column("bytes")], window)
-        size = np.array([len(x) for x in parts], np.int64)
-        every = np.concatenate([np.zeros((0, 2), np.int64), *parts]).astype(np.int32)
-        at = np.repeat(np.arange(len(parts)), size)
-        take = lambda c: table.column(c).combine_chunks().take(pa.array(at))
-        return pa.table([take("m"), take("f"), take("n"), pa.array(every[:, 0]), pa.array(every[:, 1])], names=["m", "f", "n", "w0", "w1"])
+        part, w0, w1 = repeated_windows([x.as_py() for x in table.column("bytes")], window)
+        take = lambda c: table.column(c).combine_chunks().take(pa.array(part))
+        return pa.table([take("m"), take("f"), take("n"), pa.array(w0.astype(np.int32)), pa.array(w1.astype(np.int32))], names=["m", "f", "n", "w0", "w1"])
 
     return run
 
