@@ -295,13 +295,14 @@ def repeated_spans(docs: DataFrame, text: str = "text", window: int = WINDOW, gr
 
 def dedup(docs: DataFrame, text: str = "text", window: int = WINDOW, gram: int = GRAM, hot_bytes: int = HOT_BYTES) -> DataFrame:
     """Add ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256`` and ``kept`` (bytes left, as binary: a cut can split a character)."""
-    named = docs.withColumn("rid", F.monotonically_increasing_id())
-    marks = repeated_spans(named.select("rid", text).where(F.octet_length(text) >= window), text, window, gram, hot_bytes)
+    named = docs.withColumn("__rid", F.monotonically_increasing_id())
+    marks = repeated_spans(named.select(F.col("__rid").alias("rid"), text).where(F.octet_length(text) >= window), text, window, gram, hot_bytes)
+    marks = marks.select(F.col("rid").alias("__rid"), F.col("c").alias("__spans"))
 
     def added(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, dict[str, pa.Array]]]:
         for part in arrays.slices(batch, text):
             rows = []
-            for body, spans in zip(part.column(text), part.column("c").to_pylist(), strict=True):
+            for body, spans in zip(part.column(text), part.column("__spans").to_pylist(), strict=True):
                 raw = (body.as_py() or "").encode()
                 kept, at, removed, n = [], 0, 0, 0
                 for s, e in sorted((x["start"], x["stop"]) for x in spans or []):
@@ -318,8 +319,8 @@ def dedup(docs: DataFrame, text: str = "text", window: int = WINDOW, gram: int =
             columns = list(zip(*rows, strict=True)) or [[]] * 5
             yield part, dict(zip(["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"], map(pa.array, columns, [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]), strict=True))
 
-    found = with_arrow(named.join(marks.hint("merge"), "rid", "left"), added, "n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary")
-    return found.drop("rid", "c")
+    found = with_arrow(named.join(marks.hint("merge"), "__rid", "left"), added, "n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary")
+    return found.drop("__rid", "__spans")
 
 
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,7 +3,7 @@
 Each letter has a fixed random vector of +1 and -1, made from its code point. A letter trigram is bound
 as ``roll(a, 2) * roll(b, 1) * c``; a text is the bundle (sum) of its trigrams. Runs of other characters
 count as one space, letters are lower-cased one by one. A language's prototype bundles all its training
-texts; a text takes the language of the prototype with the highest cosine (ties: first label in order).
+texts, each with the same weight, so that a very long one does not stand for its language; a text takes the language of the prototype with the highest cosine (ties: first label in order).
 
 The prototypes are integer sums over all training rows, so they do not depend on partitioning; they are
 labels x 1024 numbers, which is what the driver and the tasks hold.
@@ -29,6 +29,8 @@ DIMENSIONS = 1024
 UNKNOWN = "und"
 PART_BYTES = 256 << 10
 BLOCK = 4096
+#: Whole-number weight of a training text; a trigram weighs this divided by the text's trigrams, rounded.
+TEXT_WEIGHT = 1 << 24
 #: Below this cosine (the noise of unrelated vectors is about 0.03) a text belongs to no known language.
 MIN_SCORE = 0.05
 
@@ -98,11 +100,11 @@ def _bound(parts: np.ndarray) -> np.ndarray:
     return np.roll(base, 2, 1)[place[:, 0]] * np.roll(base, 1, 1)[place[:, 1]] * base[place[:, 2]]
 
 
-def _bundles(parts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+def _bundles(parts: np.ndarray, counts: np.ndarray, kind: type = np.float32) -> np.ndarray:
     """``counts`` (rows x trigrams) times the trigrams' vectors, some trigrams at a time."""
     out = np.zeros((len(counts), DIMENSIONS))
     for at in range(0, len(parts), BLOCK):
-        out += counts[:, at : at + BLOCK].astype(np.float32) @ _bound(parts[at : at + BLOCK]).astype(np.float32)
+        out += counts[:, at : at + BLOCK].astype(kind) @ _bound(parts[at : at + BLOCK]).astype(kind)
     return out
 
 
@@ -115,8 +117,10 @@ def prototypes(train: DataFrame, text: str = "text", label: str = "lang") -> tup
             for part in arrays.slices(batch, text, PART_BYTES):
                 parts, which, row, _ = _trigrams(part.column(text))
                 names, of = np.unique(part.column(label).to_numpy(zero_copy_only=False).astype(str), return_inverse=True)
-                counts = np.bincount(of[row] * len(parts) + which, minlength=len(names) * len(parts)).reshape(len(names), len(parts))
-                for name, total in zip(names.tolist(), _bundles(parts, counts), strict=True):
+                # each text weighs the same, however long; whole-number weights keep the sums exact
+                share = np.rint(TEXT_WEIGHT / np.maximum(np.bincount(row, minlength=part.num_rows), 1))
+                counts = np.bincount(of[row] * len(parts) + which, weights=share[row], minlength=len(names) * len(parts)).reshape(len(names), len(parts))
+                for name, total in zip(names.tolist(), _bundles(parts, counts, np.float64), strict=True):
                     held[name] = held.get(name, 0) + np.rint(total).astype(np.int64)
         if held:
             names = sorted(held)
