@@ -31,8 +31,9 @@ PART_BYTES = 256 << 10
 BLOCK = 4096
 #: Whole-number weight of a training text; a trigram weighs this divided by the text's trigrams, rounded.
 TEXT_WEIGHT = 1 << 24
-#: Below this cosine (the noise of unrelated vectors is about 0.03) a text belongs to no known language.
-MIN_SCORE = 0.05
+#: A text whose best cosine is not above this resembles no known language. Very short texts of a language can lie
+#: as low as the noise of unrelated vectors (0.03), so the limit is only no resemblance at all.
+MIN_SCORE = 0.0
 
 
 @cache
@@ -187,7 +188,7 @@ def keep_known(docs: DataFrame, train: DataFrame, min_score: float = MIN_SCORE)
     """Drop documents without letters or unlike every known language; own columns only."""
     model = prototypes(train)
     found = predict(docs.select(F.struct(*docs.columns).alias("__row"), "text"), model)
-    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score)).select("__row.*")
+    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") > min_score)).select("__row.*")
 
 
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
