@@ -267,8 +267,13 @@ def linked_sets(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
     # every set that can be in a pair at all: of the groups in ``near``, and of groups with several sets
     grouped = near.select("grp").union(several.select("grp")).distinct()
     nodes = store(filled.join(grouped, "grp"), "nodes")
-    sets = store(_sets(docs, nodes.select("set").distinct(), members, id_column, text, size).dropDuplicates(["set"]), "sets")
-    links = store(_verified(pairs, sets, percent), "links")
+
+    def checked(candidates: DataFrame) -> DataFrame:
+        wanted = candidates.select(F.col("a").alias("set")).union(candidates.select(F.col("b").alias("set"))).distinct()
+        sets = store(_sets(docs, wanted, members, id_column, text, size), "sets")
+        return store(_verified(candidates, sets, percent).distinct(), "links")
+
+    links = checked(pairs)
 
     rooted = store(nodes.join(_roots(nodes.select("set").distinct(), links), "set"), "rooted")
     placed = near.join(rooted, "grp")
@@ -278,8 +283,8 @@ def linked_sets(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
     across = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.root") < F.col("y.root")) & _may_link("x", "y", percent))
     inside = rooted.alias("x").join(rooted.alias("y"), (F.col("x.grp") == F.col("y.grp")) & (F.col("x.root") < F.col("y.root")))
     rest = across.select(*_ordered("x.set", "y.set")).union(inside.select(*_ordered("x.set", "y.set"))).distinct()
-    rest = rest.join(pairs, ["a", "b"], "left_anti")
-    return members, links.union(store(_verified(rest, sets, percent), "links"))
+    rest = store(rest.join(pairs, ["a", "b"], "left_anti"), "rest")
+    return members, links.union(checked(rest))
 
 
 def classes(docs: DataFrame, id_column: str = "doc_id", text: str = "text", size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -296,5 +301,14 @@ def classes(docs: DataFrame, id_column: str = "doc_id", text: str = "text", size
     return found.union(empty)
 
 
+def one_per_class(docs: DataFrame, text: str = "text", size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """One document of each class (the first in the scan); documents without words stay. Own columns only."""
+    named = docs.withColumn("__rid", F.monotonically_increasing_id())
+    found = classes(named.select("__rid", text), "__rid", text, size, percent)
+    gone = store(found.where(F.col("__rid") != F.col("component_id")).select("__rid"), "gone")
+    few = gone.count() <= BROADCAST_ROWS
+    return named.join(F.broadcast(gone) if few else gone, "__rid", "left_anti").select(*docs.columns)
+
+
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes(documents(spark, sf_dir).select("doc_id", "text"))
