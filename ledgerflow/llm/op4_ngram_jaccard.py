@@ -29,7 +29,7 @@ from ledgerflow.llm import arrays
 from ledgerflow.llm.components import components
 from ledgerflow.llm.frames import documents
 from ledgerflow.shipping import ship_package
-from ledgerflow.sources.shared import store
+from ledgerflow.sources.shared import fresh_path, store
 
 SHINGLE = 4
 PERCENT = 85
@@ -232,6 +232,11 @@ def _sets(docs: DataFrame, wanted: DataFrame, members: DataFrame, id_column: str
     return found.where(F.size("hashes") > 0)
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def _roots(nodes: DataFrame, links: DataFrame) -> DataFrame:
     """``set`` and ``root`` for all ``nodes`` (column ``set``)."""
     found = components(links).withColumnRenamed("node", "set")
@@ -247,11 +252,14 @@ def linked_sets(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
     common = spark.sparkContext.broadcast(common_shingles(docs, text, size))
     kind = dict(docs.dtypes)[id_column]
     schema = f"`{id_column}` {kind}, set binary, grp bigint, size int, token bigint, pos int"
-    rows = store(docs.select(id_column, text).mapInArrow(_prefixes(text, size, percent, common, id_column), schema), "prefixes")
-    members = rows.where(F.col("set").isNotNull()).select(id_column, "set", "grp", "size")
+    place = fresh_path(spark, "prefixes")
+    docs.select(id_column, text).mapInArrow(_prefixes(text, size, percent, common, id_column), schema).write.parquet(place)
+    rows = spark.read.schema(schema).parquet(place)
+    members = store(rows.where(F.col("set").isNotNull()).select(id_column, "set", "grp", "size"), "members")
     prefix = rows.where(F.col("token").isNotNull()).select("token", "grp", "size", "pos")
     shared = prefix.groupBy("token").agg(F.min("grp").alias("low"), F.max("grp").alias("high")).where("low <> high").select("token")
     near = store(prefix.join(shared, "token", "left_semi").distinct(), "shared")
+    _delete(spark, place)  # the largest table on disk; nothing reads it again
 
     hubs = near.groupBy("token").agg(F.min(F.struct("pos", "grp", "size")).alias("h")).select("token", "h.*")
     stars = near.alias("x").join(hubs.alias("y"), "token").where((F.col("x.grp") != F.col("y.grp")) & _may_link("x", "y", percent))
@@ -270,8 +278,11 @@ def linked_sets(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
 
     def checked(candidates: DataFrame) -> DataFrame:
         wanted = candidates.select(F.col("a").alias("set")).union(candidates.select(F.col("b").alias("set"))).distinct()
-        sets = store(_sets(docs, wanted, members, id_column, text, size), "sets")
-        return store(_verified(candidates, sets, percent).distinct(), "links")
+        held = fresh_path(spark, "sets")
+        _sets(docs, wanted, members, id_column, text, size).write.parquet(held)
+        found = store(_verified(candidates, spark.read.schema("set binary, hashes array<bigint>").parquet(held), percent).distinct(), "links")
+        _delete(spark, held)
+        return found
 
     links = checked(pairs)
 
