@@ -26,7 +26,7 @@ from ledgerflow.llm.frames import with_arrow
 
 SPACE = "▁"
 LONG_PART = 64
-CACHED_PARTS = 1_000_000
+CACHED_PARTS = 300_000
 _NONE = np.int64(2**62)
 
 
