@@ -1,7 +1,7 @@
 """Secret scan in DataFrame functions only: fixed patterns and a randomness battery.
 
-Patterns (``assign``, ``access``, ``hex``) give the base spans. The battery looks at every other run of 20 or more
-key characters with a letter and a digit, infers its encoding (smallest alphabet that holds it), and
+Patterns (``assign``, ``access``, ``hex``) give the base spans. The battery looks at every run of key characters
+with a letter and a digit that can reach ``MIN_BITS``, infers its encoding (smallest alphabet that holds it), and
 tests the null hypothesis "each symbol is drawn evenly and independently from that alphabet":
 chi-squared against even counts, the runs test about the alphabet's middle, and lag-1 serial correlation.
 Fisher's method joins the three p-values. Within each length class the Benjamini-Hochberg rule dismisses
@@ -9,6 +9,11 @@ runs as structured, so that of those dismissed at most 5 % are expected to be ra
 it cannot dismiss is a ``random`` span. The p-values of all rows enter that rule as a histogram (length class x
 0.1 in -log10 p), whose size does not depend on the data.
 
+An equals sign ends a run, unless it is padding at the end. ``/``, ``+``, ``-`` and ``_`` may be symbols or stand between a name and a key, so
+every part between them is a run of its own besides the whole. A whole that mixes ``/`` or ``+`` with ``-`` or ``_`` is held by no
+alphabet: there the parts between the signs of one pair, which keep the other pair, are runs too, and count where no smaller run
+inside them is found. Runs that are found and overlap are one span.
+
 Both passes are narrow: no text is shuffled and a document is a row of its own, repeated or not.
 
 Rules: a null text is empty and has no spans; positions are code points, end exclusive; an overlong run is tested whole; spans
@@ -17,6 +22,8 @@ of different kinds may overlap. An empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ledgerflow.llm.frames import documents
@@ -28,7 +35,6 @@ ASSIGN = (
 )
 ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]{32,}"  # a run of 32 or more is the same as a run that is then found to be that long
-RUN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}"
 KINDS = ["assign", "access", "hex", "random"]
 
 #: Encodings, smallest alphabet first; padding and separators are not symbols.
@@ -43,6 +49,16 @@ ENCODINGS = {
     "base64url": ("^[0-9A-Za-z_-]+=*$", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_"),
 }
 MIN_BITS = 80.0
+#: Fewer symbols can't reach MIN_BITS, even of the largest alphabet.
+SHORTEST = math.ceil(MIN_BITS / math.log2(max(len(symbols) for _, symbols in ENCODINGS.values())))
+_PAD = r"(?:=+(?![A-Za-z0-9+/_=-]))?"
+#: Runs by column: between all signs; whole; between ``-`` and ``_``; between ``/`` and ``+``. The last two are parts of mixed runs. No run is in two columns.
+RUNS = {
+    "__plain": rf"(?<![A-Za-z0-9])[A-Za-z0-9]{{{SHORTEST},}}+{_PAD}",
+    "__whole": rf"(?<![A-Za-z0-9+/_-])(?=[A-Za-z0-9]*[+/_-])(?:[A-Za-z0-9+/]{{{SHORTEST},}}+|[A-Za-z0-9_-]{{{SHORTEST},}}+)(?![A-Za-z0-9+/_-]){_PAD}",
+    "__base64": rf"(?<![A-Za-z0-9+/])(?=[A-Za-z0-9]*[+/])(?:(?<=[_-])[A-Za-z0-9+/]{{{SHORTEST},}}+|[A-Za-z0-9+/]{{{SHORTEST},}}+(?=[_-])){_PAD}",
+    "__base64url": rf"(?<![A-Za-z0-9_-])(?=[A-Za-z0-9]*[_-])(?:(?<=[+/])[A-Za-z0-9_-]{{{SHORTEST},}}+|[A-Za-z0-9_-]{{{SHORTEST},}}+(?=[+/])){_PAD}",
+}
 LEVEL = 0.05
 LENGTH_CLASSES = [24, 32, 48, 64, 128]
 LEAST_P = 1e-30
@@ -103,14 +119,14 @@ def _inferred(runs: str) -> Column:
     """The symbols of each run without padding, and the smallest alphabet that holds them; null when it has no letter or no digit."""
     rules = " ".join(f"WHEN x.match RLIKE '{rule}' THEN '{symbols}'" for rule, symbols in ENCODINGS.values())
     return F.expr(f"""transform({runs}, x -> named_struct(
-        'start', x.start, 'stop', x.stop,
+        'start', x.start, 'stop', x.stop, 'part', x.part,
         'core', trim(TRAILING '=' FROM x.match),
         'alphabet', CASE WHEN NOT (x.match RLIKE '[0-9]' AND x.match RLIKE '[A-Za-z]') THEN NULL {rules} END))""")
 
 
 def _values(runs: str) -> Column:
     return F.expr(f"""transform(filter({runs}, x -> x.alphabet IS NOT NULL), x -> named_struct(
-        'start', x.start, 'stop', x.stop,
+        'start', x.start, 'stop', x.stop, 'part', x.part,
         'n', cast(length(x.core) as double), 'k', cast(length(x.alphabet) as double),
         'squares', aggregate(split(x.alphabet, ''), 0D, (a, c) -> a + power(length(x.core) - length(replace(x.core, c, '')), 2)),
         'v', transform(split(x.core, ''), c -> cast(instr(x.alphabet, c) as double))))""")
@@ -119,7 +135,7 @@ def _values(runs: str) -> Column:
 def _sums(runs: str) -> Column:
     """Sums that the three tests need; one pass over the values each."""
     return F.expr(f"""transform({runs}, x -> named_struct(
-        'start', x.start, 'stop', x.stop, 'n', x.n, 'k', x.k, 'squares', x.squares,
+        'start', x.start, 'stop', x.stop, 'part', x.part, 'n', x.n, 'k', x.k, 'squares', x.squares,
         'sum', aggregate(x.v, 0D, (a, y) -> a + y),
         'sum2', aggregate(x.v, 0D, (a, y) -> a + y * y),
         'low', aggregate(x.v, 0D, (a, y) -> a + IF(2 * y <= x.k, 1D, 0D)),
@@ -162,12 +178,14 @@ def _scored(docs: DataFrame, text: str, base: bool) -> DataFrame:
     Each step is a projection of its own: it is used several times by the next.
     """
     wanted = {"__assign": (ASSIGN, 2), "__access": (ACCESS, 0), "__hex": (HEX, 0)} if base else {}
-    wanted |= {"__runs": (RUN, 0)}
+    wanted |= {c: (rx, 0) for c, rx in RUNS.items()}
     found = docs.withColumns({c: _placed(text, rx, g) for c, (rx, g) in wanted.items()})
     placed = found.withColumns({c: _with_starts(c) for c in wanted})
+    marked = [f"transform({c}, x -> named_struct('start', x.start, 'stop', x.stop, 'part', {c in ('__base64', '__base64url')}, 'match', x.match))" for c in RUNS]
+    placed = placed.withColumn("__runs", F.expr(f"concat({', '.join(marked)})")).drop(*RUNS)
     for step in (_inferred, _values, _sums):
         placed = placed.withColumn("__runs", step("__runs"))
-    tested = F.transform(F.filter("__runs", lambda x: x["n"] * F.log2(x["k"]) >= MIN_BITS), lambda x: F.struct(x["start"], x["stop"], _length_class(x["n"]).alias("class"), _bin(_p(x)).alias("bin")))
+    tested = F.transform(F.filter("__runs", lambda x: x["n"] * F.log2(x["k"]) >= MIN_BITS), lambda x: F.struct(x["start"], x["stop"], x["part"], _length_class(x["n"]).alias("class"), _bin(_p(x)).alias("bin")))
     return placed.withColumn("__runs", tested)
 
 
@@ -182,6 +200,14 @@ def dismissal_bins(docs: DataFrame, text: str = "text", level: float = LEVEL) ->
     return {r["class"]: r["bin"] for r in passed.groupBy("class").agg(F.min("bin").alias("bin")).collect()}
 
 
+def _joined(spans: str) -> str:
+    """Sorted spans; those that overlap are one."""
+    return f"""aggregate({spans}, cast(array() as array<struct<start:bigint,stop:bigint>>), (a, s) ->
+        IF(size(a) > 0 AND s.start < element_at(a, -1).stop,
+           concat(slice(a, 1, size(a) - 1), array(named_struct('start', element_at(a, -1).start, 'stop', greatest(element_at(a, -1).stop, s.stop)))),
+           concat(a, array(named_struct('start', s.start, 'stop', s.stop)))))"""
+
+
 def find_secrets(docs: DataFrame, text: str = "text", level: float = LEVEL) -> DataFrame:
     """Add ``secrets``: array of (start, kind, stop), by start, then kind (0 assign, 1 access, 2 hex, 3 random)."""
     bins = dismissal_bins(docs, text, level)
@@ -196,8 +222,12 @@ def find_secrets(docs: DataFrame, text: str = "text", level: float = LEVEL) -> D
     kept = F.filter("__assign", lambda x: x["inner"] >= 8)
     access = F.filter("__access", lambda x: x["inner"] >= 16)
     base = F.concat(_spans(kept, 0), _spans(access, 1), _spans(F.col("__hex"), 2))
-    own = _spans(F.filter("__runs", undecided), 3)
-    return scored.withColumn("secrets", F.sort_array(F.concat(base, own))).drop("__text", "__assign", "__access", "__hex", "__runs")
+    scored = scored.withColumn("__runs", F.filter("__runs", undecided))
+    scored = scored.withColumn("__fine", F.filter("__runs", lambda x: ~x["part"]))
+    outer = F.filter("__runs", lambda x: x["part"] & ~F.exists("__fine", lambda y: (y["start"] >= x["start"]) & (y["stop"] <= x["stop"])))
+    scored = scored.withColumn("__runs", F.sort_array(F.concat("__fine", outer)))
+    own = _spans(F.expr(_joined("__runs")), 3)
+    return scored.withColumn("secrets", F.sort_array(F.concat(base, own))).drop("__text", "__assign", "__access", "__hex", "__runs", "__fine")
 
 
 def spelled(spans: Column) -> Column:
@@ -212,15 +242,11 @@ def redact(docs: DataFrame, text: str = "text", mark: str = "<secret>", level: f
     A column ``size`` of changed texts is set to the new number of characters.
     """
     found = find_secrets(docs.select(F.struct(*docs.columns).alias("__row"), F.col(text).alias("__body")), "__body", level)
-    joined = F.expr("""aggregate(secrets, cast(array() as array<struct<start:bigint,stop:bigint>>), (a, s) ->
-        IF(size(a) > 0 AND s.start < element_at(a, -1).stop,
-           concat(slice(a, 1, size(a) - 1), array(named_struct('start', element_at(a, -1).start, 'stop', greatest(element_at(a, -1).stop, s.stop)))),
-           concat(a, array(named_struct('start', s.start, 'stop', s.stop)))))""")
     clean = F.expr(f"""array_join(transform(sequence(0, size(__spans)), i -> substring(
         __body,
         cast(IF(i = 0, 0, __spans[i - 1].stop) + 1 as int),
         cast(IF(i = size(__spans), length(__body), __spans[i].start) - IF(i = 0, 0, __spans[i - 1].stop) as int))), '{mark}')""")
-    masked = found.withColumn("__spans", joined).withColumn("__clean", F.when(F.size("__spans") > 0, clean).otherwise(F.col("__body")))
+    masked = found.withColumn("__spans", F.expr(_joined("secrets"))).withColumn("__clean", F.when(F.size("__spans") > 0, clean).otherwise(F.col("__body")))
     kinds = dict(docs.dtypes)
 
     def column(c: str) -> Column:

@@ -85,3 +85,41 @@ def test_written_shards_prune_by_language(spark, small, tmp_path):
     assert back.count() == docs.count()
     # a curve keeps a language together: it lies in fewer shards than rows dealt at random would
     assert back.where("lang = 'es'").select("shard").distinct().count() <= 16
+
+
+def random_spans(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    return {r.doc_id: [(s.start, s.stop) for s in r.secrets if s.kind == 3] for r in op1_secrets.find_secrets(df).select("doc_id", "secrets").collect()}
+
+
+def test_keys_after_a_name_or_in_a_path_are_tested(spark):
+    rng = random.Random(23)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+
+    def key(n, symbols=letters):
+        while True:
+            k = "".join(rng.choice(symbols) for _ in range(n))
+            if any(c.isdigit() for c in k) and any(c.isalpha() for c in k):
+                return k
+
+    around = [("AWS_SECRET_ACCESS_KEY=", " x"), ("?sig=", "&a=b"), ("https://a.example/x?key=", ""), ("--auth=", ""), ("https://a.example/my-hook/in_use/", "/list"), ("a/b_", "-c")]
+    texts, want = [], []
+    for a, b in around * 20:
+        k = key(40)
+        texts.append(f"é {a}{k}{b}")
+        want.append((len(a) + 2, len(a) + 42))
+    for n in (16, 19):
+        for _ in range(20):
+            texts.append(f"see {key(n)} here")
+            want.append((4, 4 + n))
+    for signs, a in (("+/", "k-"), ("-_", "k/")):  # keys whose own signs are of one pair, behind a name with one of the other
+        for _ in range(20):
+            k = "".join(f"{key(6)}{rng.choice(signs)}" for _ in range(6)) + key(5)
+            texts.append(f"see {a}{k}= here")
+            want.append((6, 6 + len(k) + 1))
+    plain = [f"see option-{i}=introduction-to-the-theory/of_words_{i % 7} here" for i in range(80)] + [f"x/aaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaa{i}/a-b" for i in range(60)]
+    spans = random_spans(spark, texts + plain)
+    hit = [w in spans[i] for i, w in enumerate(want)]
+    assert all(sum(hit[at::6][:20]) >= 18 for at in range(6))
+    assert sum(hit[120:160]) >= 36 and sum(hit[160:]) >= 32
+    assert not [i for i in range(len(texts), len(texts + plain)) if spans[i]]
