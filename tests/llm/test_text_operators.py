@@ -90,6 +90,21 @@ def test_language_edge_cases(spark, odd_documents, no_documents):
     assert op5_language.predict(no_documents, model).count() == 0
 
 
+def test_long_texts_unlike_every_language_go(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text", "lang")
+    learnt = docs.where("lang <> 'fr'")
+    rng = random.Random(4)
+    noise = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz    ") for _ in range(n)) for n in (400, 2000, 20_000) for _ in range(5)]
+    greek = ["".join(rng.choice("αβγδεζηθικλμνξοπρστυφχψω    ") for _ in range(n)) for n in (400, 20_000) for _ in range(5)]
+    assert op5_language.keep_known(frame(spark, noise + greek), learnt).count() == 0
+    french = docs.where("lang = 'fr' AND length(text) BETWEEN 400 AND 4000")
+    assert op5_language.keep_known(french, learnt).count() <= 0.15 * french.count()
+    # a few words of a learnt language stay
+    short = docs.where("lang = 'en' AND length(text) > 100").selectExpr("doc_id", "array_join(slice(split(text, ' '), 3, 4), ' ') AS text")
+    short = short.where("text RLIKE '[a-z]{3}'")
+    assert op5_language.keep_known(short, learnt).count() >= 0.97 * short.count()
+
+
 def test_language_model_equals_brute_force(spark):
     rng = random.Random(8)
     words = [f"w{i}" for i in range(40)] + ["The", "the", "É"]
