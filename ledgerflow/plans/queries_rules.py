@@ -38,6 +38,10 @@ def flat(result, *metrics):
     return result.select("rule", "description", "coherence_pct", "status", *[F.col("metrics")[m].alias(m) for m in metrics])
 
 
+def flat_by_account(result, *metrics):
+    return result.select("bank_account", "rule", "description", "coherence_pct", "status", *[F.col("metrics")[m].alias(m) for m in metrics])
+
+
 HEAD = "rule:s description:s coherence_pct:f2 status:s "
 
 
@@ -90,6 +94,29 @@ def _periodic(rule: str, category: str, unit: str, days: int, above: int, counte
 R4 = _periodic("R4", "salary", "month", 30, 80, "salary_movements", "months_with_salary")
 R5 = _periodic("R5", "tax", "quarter", 90, 70, "tax_movements", "quarters_with_tax")
 R6 = rule_sql("R6", "CAST(NULL AS DOUBLE)", "'PASS'", "supplier_movements", "SELECT count(*) AS supplier_movements FROM v_bank WHERE category = 'supplier'")
+
+
+def _by_account(rule: str, pct: str, status: str, metrics: str, source: str) -> str:
+    return f"SELECT bank_account, '{rule}' AS rule, '{rules.DESCRIPTIONS[rule]}' AS description, {pct} AS coherence_pct, {status} AS status, {metrics} FROM ({source}) x"
+
+
+def _periodic_by_account(rule: str, category: str, unit: str, days: int, above: int, counted: str, periods: str) -> str:
+    return _by_account(
+        rule,
+        "pct",
+        f"CASE WHEN pct > {above} THEN 'PASS' ELSE 'WARNING' END",
+        f"{counted}, {periods}",
+        f"""SELECT bank_account, {counted}, {periods}, CASE WHEN {counted} > 0 THEN coalesce(least(CAST({periods} AS DOUBLE) / nullif(span, 0) * 100, 100), 0) ELSE 0 END AS pct FROM
+         (SELECT bank_account, count(*) FILTER (WHERE category = '{category}') AS {counted}, count(DISTINCT CASE WHEN category = '{category}' THEN date_trunc('{unit}', date) END) AS {periods},
+           date_diff('day', min(date), max(date)) // {days} AS span FROM fx_bank_multi GROUP BY bank_account) y""",
+    )
+
+
+R4_BY_ACCOUNT = _periodic_by_account("R4", "salary", "month", 30, 80, "salary_movements", "months_with_salary")
+R5_BY_ACCOUNT = _periodic_by_account("R5", "tax", "quarter", 90, 70, "tax_movements", "quarters_with_tax")
+R6_BY_ACCOUNT = _by_account(
+    "R6", "CAST(NULL AS DOUBLE)", "'PASS'", "supplier_movements", "SELECT bank_account, count(*) FILTER (WHERE category = 'supplier') AS supplier_movements FROM fx_bank_multi GROUP BY bank_account"
+)
 ALL_RULES = " UNION ALL ".join(f"SELECT rule, description, coherence_pct, status FROM ({r}) r" for r in (R1, R2, R3, R4, R5, R6))
 
 
@@ -128,6 +155,34 @@ def _(fx):
     return rules.all_rules(given, ["bank_account"]).where("rule NOT IN ('R4', 'R5')")
 
 
+@query(
+    "v07_every_rule_by_account",
+    "bank_account:s rule:s coherence_pct:f2 status:s",
+    f"""SELECT bank_account, rule, CAST(NULL AS DOUBLE) AS coherence_pct, status FROM ({R3_BY_ACCOUNT}) a
+     UNION ALL SELECT bank_account, rule, coherence_pct, status FROM ({R4_BY_ACCOUNT}) d
+     UNION ALL SELECT bank_account, rule, coherence_pct, status FROM ({R5_BY_ACCOUNT}) e
+     UNION ALL SELECT bank_account, rule, coherence_pct, status FROM ({R6_BY_ACCOUNT}) f
+     UNION ALL SELECT NULL, rule, coherence_pct, status FROM ({R1_MULTI}) b UNION ALL SELECT NULL, rule, coherence_pct, status FROM ({R2}) c""",
+)
+def _(fx):
+    return rules.all_rules({"invoices_clean": invoices(fx), "bank_clean": fx.bank_multi(), "crm_deals_clean": deals(fx)}, ACCOUNT)
+
+
+@query("v04_r4_payroll_by_account", "bank_account:s " + HEAD + "salary_movements:i months_with_salary:i", R4_BY_ACCOUNT)
+def _(fx):
+    return flat_by_account(rules.r4_payroll(fx.bank_multi(), ACCOUNT), "salary_movements", "months_with_salary")
+
+
+@query("v05_r5_tax_by_account", "bank_account:s " + HEAD + "tax_movements:i quarters_with_tax:i", R5_BY_ACCOUNT)
+def _(fx):
+    return flat_by_account(rules.r5_tax(fx.bank_multi(), ACCOUNT), "tax_movements", "quarters_with_tax")
+
+
+@query("v06_r6_suppliers_by_account", "bank_account:s " + HEAD + "supplier_movements:i", R6_BY_ACCOUNT)
+def _(fx):
+    return flat_by_account(rules.r6_suppliers(fx.bank_multi(), ACCOUNT), "supplier_movements")
+
+
 @query("v04_r4_payroll", HEAD + "salary_movements:i months_with_salary:i", R4)
 def _(fx):
     return flat(rules.r4_payroll(bank(fx)), "salary_movements", "months_with_salary")

@@ -138,3 +138,12 @@ def test_anomalies_by_account(spark):
     df = spark.createDataFrame(rows, "acc string, movement_id string, amount int, category string")
     assert [r.movement_id for r in alerts.anomalous_movements(df, ["acc"]).collect()] == ["big"]
     assert alerts.anomalous_movements(df, ["acc"], limits=Thresholds(anomaly_multiplier=100)).count() == 0
+
+
+def test_every_rule_is_given_per_account(spark, small):
+    from ledgerflow.plans.registry import load
+
+    rows = load()["v07_every_rule_by_account"].run(spark, small).collect()
+    accounts = {r.bank_account for r in rows if r.bank_account is not None}
+    want = {(a, rule) for a in accounts for rule in ("R3", "R4", "R5", "R6")} | {(None, "R1"), (None, "R2")}
+    assert accounts and len(rows) == len(want) and {(r.bank_account, r.rule) for r in rows} == want
