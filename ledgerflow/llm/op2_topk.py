@@ -6,10 +6,12 @@ range-partitioned by length, longest first, into chunks of about ``CHUNK_ROWS``.
 ``SEEDS`` longest vectors; lengths bound scores, so it is only sent to the chunks whose longest vector can still reach that. A query block
 and a chunk meet in one task, where the partial sums of ``HEAD`` and then ``2 HEAD`` coordinates, with the product of the remaining lengths as bound,
 drop candidates before the exact integer score is taken. The threshold only drops what cannot be among the k best, so results are exact.
+Where the product of two lengths reaches 2^52, 64-bit floats may round: there the score is only a bound, and what is left is scored in Python integers.
 
 Query set against all rows in blocks: the work is queries x candidates by nature, each block pair is bounded.
 
-Rules: vectors that are null, or hold null, NaN or infinite components, take no part, nor do those with a component of 2^22 or more (their scores could not be kept exact);
+Rules: vectors that are null, or hold null, NaN or infinite components, take no part; all others do, however long. A listed score beyond a bigint, or
+lengths beyond a 64-bit float, raise an error, as the SQL does;
 shorter vectors are padded with zeros; repeated rows are candidates of each other (a query leaves out its own row only); equal scores go by
 smaller ``vec_id``, a null id last.
 """
@@ -33,16 +35,19 @@ HEAD = 16
 CHUNK_ROWS = 8192
 MAX_CHUNKS = 1 << 16
 QUERY_BLOCK = 2048
-_LIMIT = 1 << 22
+#: Products of lengths below this keep every partial sum exact in a 64-bit float.
+_EXACT = float(1 << 52)
 
 
 def prepared(table: DataFrame, vector: str, ids: str) -> DataFrame:
-    """``rid``, ``id``, ``v`` (integers) and ``norm2`` of the vectors that take part."""
+    """``rid``, ``id``, ``v`` (integers, held as doubles) and ``norm2`` of the vectors that take part."""
     x = F.col(vector)
-    finite = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c.cast("double")) < _LIMIT / 64))
-    v = F.transform(x, lambda c: F.floor(c.cast("double") * 64).cast("bigint"))
+    finite = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c.cast("double")) < float("inf")))
+    # from 2^53 on a double is a whole number, which may not fit floor's bigint
+    whole = lambda y: F.when(F.abs(y) < float(1 << 53), F.floor(y).cast("double")).otherwise(y)
+    v = F.transform(x, lambda c: whole(c.cast("double") * 64))
     rows = table.select(F.monotonically_increasing_id().alias("rid"), F.col(ids).alias("id"), F.when(x.isNotNull() & finite, v).alias("v"))
-    return rows.where(F.col("v").isNotNull()).withColumn("norm2", F.aggregate("v", F.lit(0).cast("bigint"), lambda a, c: a + c * c))
+    return rows.where(F.col("v").isNotNull()).withColumn("norm2", F.aggregate("v", F.lit(0.0), lambda a, c: a + c * c))
 
 
 def _matrix(column: pa.Array, size: int) -> np.ndarray:
@@ -93,34 +98,49 @@ def _rests(turned: np.ndarray) -> list[tuple[int, np.ndarray]]:
     return [(h, np.sqrt(np.maximum((turned[:, h:] ** 2).sum(1), 0))) for h in (HEAD, 2 * HEAD) if h < size]
 
 
+def exact_scores(query: np.ndarray, vectors: np.ndarray) -> list[int]:
+    """Inner products as Python integers."""
+    lengths = np.sqrt((vectors * vectors).sum(1)) * math.sqrt(float(query @ query))
+    rough = vectors @ query
+    q = [int(x) for x in query.tolist()]
+    return [int(s) if n < _EXACT else sum(a * int(b) for a, b in zip(q, v.tolist(), strict=True)) for s, n, v in zip(rough.tolist(), lengths.tolist(), vectors, strict=True)]
+
+
 def best(query: np.ndarray, own: int, least: float, rotation: np.ndarray, c: Candidates, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places and scores of a query's k best (ties kept whole) among the candidates that reach ``least``."""
+    """Places of a query's k best (ties, and what rounding can't tell apart, kept whole) among the candidates that reach ``least``, and lower bounds of their scores.
+
+    Below ``_EXACT`` the bounds are the scores.
+    """
     turned = query @ rotation
     length = math.sqrt(float(query @ query))
-    slack = 1e-9 * length * (c.length[0] if len(c.length) else 0) + 1e-6
+    reach = length * c.length
+    slack = 1e-9 * reach + 1e-6
+    error = np.where(reach * (1 + 1e-9) < _EXACT, 0.0, 1e-9 * reach)
     rest = dict((h, r[0]) for h, r in _rests(turned[None, :]))
-    places, scores = [np.zeros(0, np.int64)], [np.zeros(0)]
+    places, lows, highs = [np.zeros(0, np.int64)], [np.zeros(0)], [np.zeros(0)]
     at, step = 0, 256
     while at < len(c.rid):
-        if length * c.length[at] + slack < least:
+        if reach[at] + slack[at] < least:
             break  # all that follow are shorter
         stop = min(len(c.rid), at + step)
         alive = np.arange(at, stop)
         for h, left in c.rests:
-            bound = c.turned[alive, :h] @ turned[:h] + left[alive] * rest[h] + slack
+            bound = c.turned[alive, :h] @ turned[:h] + left[alive] * rest[h] + slack[alive]
             alive = alive[bound >= least]
         alive = alive[c.rid[alive] != own]
-        exact = c.v[alive] @ query
-        keep = exact >= least
+        score = c.v[alive] @ query
+        low, high = score - error[alive], score + error[alive]
+        keep = high >= least
         places.append(alive[keep])
-        scores.append(exact[keep])
-        found = np.concatenate(scores)
+        lows.append(low[keep])
+        highs.append(high[keep])
+        found = np.concatenate(lows)
         if len(found) >= k:
             least = max(least, float(np.partition(found, len(found) - k)[len(found) - k]))
         at, step = stop, min(step * 4, 8192)
-    place, score = np.concatenate(places), np.concatenate(scores)
-    keep = score >= least
-    return place[keep], score[keep]
+    place, low = np.concatenate(places), np.concatenate(lows)
+    keep = np.concatenate(highs) >= least
+    return place[keep], low[keep]
 
 
 def top_k(table: DataFrame, is_query: Column, k: int = K, vector: str = "embedding", ids: str = "vec_id", chunk_rows: int = CHUNK_ROWS, seeds: int = SEEDS) -> DataFrame:
@@ -130,7 +150,9 @@ def top_k(table: DataFrame, is_query: Column, k: int = K, vector: str = "embeddi
     raw = prepared(table.withColumn("__q", F.coalesce(is_query, F.lit(False))), vector, ids)
     asks = table.select(F.monotonically_increasing_id().alias("rid"), F.coalesce(is_query, F.lit(False)).alias("q"))
     base = store(raw.join(asks, "rid"), "vectors")
-    figures = base.agg(F.count("*"), F.max(F.size("v")), F.sum(F.col("q").cast("long"))).first()
+    figures = base.agg(F.count("*"), F.max(F.size("v")), F.sum(F.col("q").cast("long")), F.max("norm2")).first()
+    if figures[3] is not None and not math.isfinite(figures[3]):
+        raise ValueError("the length of a vector is beyond a 64-bit float")
     count, size, queries = figures[0], figures[1] or 1, figures[2] or 0
     id_type = dict(table.dtypes)[ids]
     schema = f"query_rid bigint, query_id {id_type}, rid bigint, id {id_type}, score bigint"
@@ -168,14 +190,15 @@ def top_k(table: DataFrame, is_query: Column, k: int = K, vector: str = "embeddi
             c = Candidates(right.column("rid").to_numpy(), right.column("id").to_pylist(), _matrix(right.column("v"), size), turn)
             vectors = _matrix(left.column("v"), size)
             for i, (rid, name, least) in enumerate(zip(left.column("rid").to_pylist(), left.column("id").to_pylist(), left.column("least").to_pylist(), strict=True)):
-                place, score = best(vectors[i], rid, least, turn, c, k)
+                place, _ = best(vectors[i], rid, least, turn, c, k)
+                score = exact_scores(vectors[i], c.v[place])
                 # ties at the border are cut by id; a null id comes last
                 order = sorted(range(len(place)), key=lambda j: (-score[j], c.ids[place[j]] is None, c.ids[place[j]] or 0))[:k]
                 out[0] += [rid] * len(order)
                 out[1] += [name] * len(order)
                 out[2] += [int(c.rid[place[j]]) for j in order]
                 out[3] += [c.ids[place[j]] for j in order]
-                out[4] += [int(score[j]) for j in order]
+                out[4] += [score[j] for j in order]
         kind = left.schema.field("id").type
         return pa.table([pa.array(v, t) for v, t in zip(out, [pa.int64(), kind, pa.int64(), kind, pa.int64()], strict=True)], names=["query_rid", "query_id", "rid", "id", "score"])
 

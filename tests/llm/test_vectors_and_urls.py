@@ -28,6 +28,22 @@ def test_top_k_with_ties_odd_vectors_and_small_blocks(spark):
     assert op2_topk.top_k(df.where("false"), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_top_k_keeps_vectors_of_great_length(spark):
+    rng = random.Random(6)
+    rows = [(i, [rng.choice([-2.0, 0.5, 1.0, 3.0]) * (1 + i % 9) for _ in range(40)]) for i in range(160)]
+    # of great length, also beyond 2^53 in the score, and apart by less than a 64-bit float's rounding
+    rows += [(500, [1e6] * 40), (501, [-65536.0] * 40), (502, [2.0**23] * 40), (503, [2.0**23] * 39 + [2.0**23 + 1]), (520, [2.0**19 + 1] * 40)]
+    rows += [(504, [2.0**28] + [0.0] * 39), (505, [2.0**28] + [0.0] * 38 + [1 / 64]), (540, [2.0**13] + [0.0] * 38 + [1 / 64])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>").repartition(3, "vec_id")
+    got = [tuple(r) for r in op2_topk.top_k(df, F.col("vec_id") % 20 == 0, k=7, chunk_rows=20, seeds=10).collect()]
+    held = {r.vec_id: [math.floor(64 * x) for x in r.embedding] for r in df.collect()}
+    want = []
+    for q in (i for i in held if i % 20 == 0):
+        found = sorted((-sum(x * y for x, y in zip(held[q], w, strict=True)), c) for c, w in held.items() if c != q)[:7]
+        want += [(q, k + 1, c, -s) for k, (s, c) in enumerate(found)]
+    assert sorted(got) == sorted(want)
+
+
 def test_hosts_paths_and_rules(spark):
     urls = [None, "", "HTTP://A.Com", "x://WWW.example.com/en/?a", "://net/es/", "a://b.net/fr/x#y", "7://Example.COM/en/a/b?://", "a://xexample.com/en/", "a://q.org?x/y"]
     df = spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string")
