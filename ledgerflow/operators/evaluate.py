@@ -6,8 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ledgerflow.config import ModelConfig
 from ledgerflow.functions.keyed import attach_stats, join_series
-from ledgerflow.operators.forecast import apply_base, fit_base, naive_forecast
+from ledgerflow.operators.forecast import apply_base, apply_full, fit_base, fit_full, naive_forecast
+from ledgerflow.sources.shared import store
 
 
 def _error() -> Column:
@@ -181,10 +183,21 @@ def metrics_by_month(pairs: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
 
 
 
-def cross_validate(folds: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """Fit the base model on each fold's training rows and score its test rows, all folds in one job."""
+def cross_validate(
+    folds: DataFrame, keys: Sequence[str] = (), model: str = "base", config: ModelConfig = ModelConfig(), regressors: Sequence[str] = ()
+) -> DataFrame:
+    """Fit the base or the full model on each fold's training rows and score its test rows, all folds in one job.
+
+    A fold is one more series key. The full model's folds are expanded once and stored; the Gram matrices of all folds come
+    from one aggregate each, because the trend's columns are scaled to the fold's own span.
+    """
     scope = [*keys, "fold"]
-    model = fit_base(folds.where("is_train"), scope)
-    test = folds.where("NOT is_train").select(*scope, "ds", "y")
-    scored = apply_base(attach_stats(test, model, scope), scope, keep=["y"])
-    return evaluate(scored, scope)
+    if model == "base":
+        test = folds.where("NOT is_train").select(*scope, "ds", "y")
+        return evaluate(apply_base(attach_stats(test, fit_base(folds.where("is_train"), scope), scope), scope, keep=["y"]), scope)
+    if model != "full":
+        raise ValueError(f"unknown model: {model}")
+    held = store(folds, "folds")
+    fitted = store(fit_full(held.where("is_train"), scope, config, regressors), "fold_models")
+    test = held.where("NOT is_train").select(*scope, "ds", "y", *regressors)
+    return evaluate(apply_full(attach_stats(test, fitted, scope), scope, config, regressors, keep=["y"]), scope)

@@ -3,8 +3,8 @@
 Two fits share one output contract (``ds, yhat, yhat_lower, yhat_upper, trend, yearly, weekly``):
 
 * the base model, pure column expressions: straight trend, weekday and month effects;
-* the full model: piecewise trend, Fourier seasons, holidays and regressors. Spark builds the design
-  columns and applies the coefficients; only the small ridge solve per series runs in pandas.
+* the full model: piecewise trend, Fourier seasons, holidays and regressors. Spark builds the design columns, sums
+  their Gram matrices and applies the coefficients; Python only solves one system of fixed size per series.
 
 Both fit on the day grain. A fitted model is a table with one row per series.
 """
@@ -13,16 +13,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date
+from functools import reduce
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerflow.config import ModelConfig, Thresholds
 from ledgerflow.functions.dates import easter_sunday
 from ledgerflow.functions.keyed import attach_stats, by_series, join_series
 from ledgerflow.functions.measures import code_risk_band, normal_quantile
-from ledgerflow.shipping import ship_package
+from ledgerflow.operators.regression import gram, ridge, solved
+from ledgerflow.sources.shared import store
 
 FORECAST_COLUMNS = ["ds", "yhat", "yhat_lower", "yhat_upper", "trend", "yearly", "weekly"]
 EXACT = "decimal(30,6)"
@@ -164,6 +165,38 @@ def future_frame(history: DataFrame, keys: Sequence[str] = (), horizon: int = 90
     return history.select(*keys, "ds").unionByName(ahead)
 
 
+def known_before(
+    frame: DataFrame, values: DataFrame, known: str, columns: Sequence[str], keys: Sequence[str] = (), lag: int = 0
+) -> DataFrame:
+    """As-of join: for each day of ``frame`` the last non-null value of each column whose day ``known`` lies ``lag`` days before it or more.
+
+    ``<column>_known`` is that value's day, for :func:`require_known`. Both sides are day-grain, so a window over a series'
+    days and values together does it; no pair of days is built.
+    """
+    carried = [F.struct(F.col(known).alias("day"), F.col(c).cast("double").alias("value")).alias(c) for c in columns]
+    asked = frame.withColumns({"__at": F.date_sub("ds", lag), "__asks": F.lit(1)})
+    offered = values.select(*keys, F.col(known).alias("__at"), F.lit(0).alias("__asks"), *[F.when(F.col(c).isNotNull(), s).alias(f"__v_{c}") for c, s in zip(columns, carried, strict=True)])
+    both = asked.unionByName(offered, allowMissingColumns=True)
+    so_far = by_series(keys, "__at", "__asks").rowsBetween(Window.unboundedPreceding, 0)
+    filled = both.withColumns({f"__l_{c}": F.last(f"__v_{c}", ignorenulls=True).over(so_far) for c in columns}).where("__asks = 1")
+    return filled.select(
+        *frame.columns, *[F.col(f"__l_{c}.value").alias(c) for c in columns], *[F.col(f"__l_{c}.day").alias(f"{c}_known") for c in columns]
+    )
+
+
+def known_too_late(days: DataFrame, columns: Sequence[str], lag: int) -> DataFrame:
+    """Days with a value that became known later than ``lag`` days before them."""
+    late = [F.col(f"{c}_known") > F.date_sub("ds", lag) for c in columns]
+    return days.where(reduce(lambda a, b: a | b, [F.coalesce(x, F.lit(False)) for x in late]))
+
+
+def require_known(days: DataFrame, columns: Sequence[str], lag: int) -> None:
+    """Raise if a regressor would use a value that a forecast ``lag`` days ahead cannot have."""
+    first = known_too_late(days, columns, lag).select("ds").head()
+    if first is not None:
+        raise ValueError(f"a regressor of {first.ds} was not known {lag} days before")
+
+
 def save_model(model: DataFrame, path: str) -> None:
     model.write.mode("overwrite").parquet(path)
 
@@ -218,25 +251,23 @@ def holiday_flags(ds: Column) -> Column:
 # ---- full model ------------------------------------------------------------------------------
 
 
-def _fourier(day_number: Column, period: float, order: int) -> list[Column]:
-    angle = day_number * F.lit(2.0 * np.pi / period)
-    return [f(angle * k) for k in range(1, order + 1) for f in (F.sin, F.cos)]
+def _fourier(day_number: str, period: float, order: int) -> str:
+    angles = [f"{day_number} * {2.0 * np.pi / period * k!r}D" for k in range(1, order + 1)]
+    return f"cast(array({', '.join(f'{f}({a})' for a in angles for f in ('sin', 'cos'))}) as array<double>)"
 
 
 def design(days: DataFrame, config: ModelConfig, regressors: Sequence[str] = ()) -> DataFrame:
     """Add ``trend_x``, ``yearly_x``, ``weekly_x`` and ``other_x`` for days with ``origin, train_span``."""
-    tau = F.datediff("ds", "origin") / F.greatest(F.col("train_span"), F.lit(1))
+    tau = "(datediff(ds, origin) / cast(greatest(train_span, 1) as double))"
     steps = [config.changepoint_range * (i + 1) / (config.changepoints + 1) for i in range(config.changepoints)]
-    bends = [F.greatest(tau - F.lit(s), F.lit(0.0)) for s in steps]
-    day_number = F.datediff("ds", F.lit(date(1970, 1, 1))).cast("double")
-    monthly = _fourier(day_number, 30.5, config.monthly_order)
-    others = F.concat(holiday_flags(F.col("ds")), F.array(*monthly).cast("array<double>"))
+    bends = [f"greatest({tau} - {s!r}D, 0D)" for s in steps]
+    number = "cast(datediff(ds, date'1970-01-01') as double)"
     return days.withColumns(
         {
-            "trend_x": F.array(F.lit(1.0), tau, *bends),
-            "yearly_x": F.array(*_fourier(day_number, 365.25, config.yearly_order)),
-            "weekly_x": F.array(*_fourier(day_number, 7.0, config.weekly_order)),
-            "other_x": others,
+            "trend_x": F.expr(f"array({', '.join(['1D', tau, *bends])})"),
+            "yearly_x": F.expr(_fourier(number, 365.25, config.yearly_order)),
+            "weekly_x": F.expr(_fourier(number, 7.0, config.weekly_order)),
+            "other_x": F.concat(holiday_flags(F.col("ds")), F.expr(_fourier(number, 30.5, config.monthly_order))),
             "given_x": F.array(*[F.col(r).cast("double") for r in regressors]).cast("array<double>"),
         }
     )
@@ -251,62 +282,71 @@ def fit_full(
     """Piecewise trend, then seasons, holidays and regressors on the relative deviation.
 
     Regressors are standardised here, and their means and spreads kept with the coefficients, so the penalty does not
-    depend on their unit; a history day without a value counts as the mean.
-    One pandas group is one series at day grain: bounded by calendar days, whatever the ledger size.
+    depend on their unit; a history day without a value counts as the mean. Days without ``y`` are left out.
+
+    Three passes over the stored day-grain history, each a hash aggregate: bounds, then the Gram matrix of the trend's columns,
+    then that of the seasons' (:mod:`ledgerflow.operators.regression`); the residual spread is a fourth. Python solves one system
+    of fixed size per series and sees no day, so a series may hold any share of the days.
     """
-    ship_package(history.sparkSession)
-    whole = Window.partitionBy(*keys)
-    dated = history.withColumns({"origin": F.min("ds").over(whole), "last_day": F.max("ds").over(whole)})
-    rows = design(dated.withColumn("train_span", F.datediff("last_day", "origin")), config, regressors)
-    parts = ["trend_x", "yearly_x", "weekly_x", "other_x", "given_x"]
-    grouped = rows.select(*keys, "origin", "last_day", "train_span", "y", *parts).groupBy(*(keys or [F.lit(0).alias("__all")]))
-    key_fields = [f"`{k}` {history.schema[k].dataType.simpleString()}" for k in keys]
-    schema = ", ".join(
-        key_fields
-        + ["origin date", "last_day date", "train_span int", "n bigint", "sigma double"]
-        + ["trend_w array<double>", "yearly_w array<double>", "weekly_w array<double>", "other_w array<double>"]
-        + ["given_mean array<double>", "given_spread array<double>"]
+    keys = list(keys)
+    days = store(history.where(F.col("y").isNotNull()).select(*keys, "ds", F.col("y").cast("double").alias("y"), *regressors), "history")
+    given = [F.col(r).cast("double") for r in regressors]
+    bounds = days.groupBy(*keys).agg(
+        F.min("ds").alias("origin"),
+        F.max("ds").alias("last_day"),
+        F.count("y").alias("n"),
+        F.max(F.abs("y")).alias("__scale"),
+        F.array(*[F.coalesce(F.avg(g), F.lit(0.0)) for g in given]).cast("array<double>").alias("given_mean"),
+        F.array(*[F.coalesce(F.when(F.stddev_pop(g) > 1e-12, F.stddev_pop(g)), F.lit(1.0)) for g in given]).cast("array<double>").alias("given_spread"),
+    ).where("n > 0").withColumns({"train_span": F.datediff("last_day", "origin"), "__scale": F.greatest("__scale", F.lit(1e-12))})
+    rows = design(attach_stats(days, bounds, keys), config, regressors)
+    bends = 2 + config.changepoints
+    bend_prior, season_prior, holiday_prior = config.changepoint_prior_scale, config.seasonality_prior_scale, config.holidays_prior_scale
+
+    def trend(row: dict) -> dict:
+        total = np.array(row["gram"]).reshape(bends + 1, bends + 1)
+        line = ridge(total[:2, :2], total[:2, -1], np.zeros(2))
+        v = np.r_[-line, np.zeros(bends - 2), 1.0]
+        noise = max(0.0, v @ total @ v / row["n"] - (total[0] @ v / row["n"]) ** 2)
+        penalty = np.full(bends, noise / bend_prior**2)
+        penalty[:2] = 0.0
+        return {"trend_w": ridge(total[:-1, :-1], total[:-1, -1], penalty) * row["__scale"], "trend_penalty": float(noise / bend_prior**2)}
+
+    trend_rows = rows.withColumn("__z", F.concat("trend_x", F.array(F.col("y") / F.col("__scale"))))
+    trends = solved(attach_stats(bounds, gram(trend_rows, keys, "__z", bends + 1), keys), trend, "gram", "trend_w array<double>, trend_penalty double")
+    fitted = store(trends, "trend_model")
+
+    wide = 2 * config.yearly_order, 2 * config.weekly_order, len(HOLIDAYS) + 2 * config.monthly_order + len(regressors)
+    size = sum(wide)
+
+    def seasons(row: dict) -> dict:
+        if row["gram"] is None:  # every day's trend is zero
+            w, level = np.zeros(size), 0.0
+        else:
+            total = np.array(row["gram"]).reshape(size + 2, size + 2)
+            n = total[size, size]
+            level = max(0.0, total[size + 1, size + 1] / n - (total[size + 1, size] / n) ** 2)
+            penalty = np.full(size, level / season_prior**2)
+            penalty[wide[0] + wide[1] :] = level / holiday_prior**2
+            w = ridge(total[:size, :size], total[:size, size + 1], penalty)
+        parts = np.split(w, np.cumsum(wide[:2]))
+        return {"yearly_w": parts[0], "weekly_w": parts[1], "other_w": parts[2], "season_spread": float(level)}
+
+    placed = attach_stats(rows.drop(*[c for c in bounds.columns if c not in keys]), fitted, keys).withColumn("__trend", _dot("trend_x", "trend_w"))
+    standard = F.zip_with(F.zip_with("given_x", "given_mean", lambda x, m: F.coalesce(x - m, F.lit(0.0))), "given_spread", lambda x, s: x / s)
+    season_rows = placed.withColumn("__x", F.concat("yearly_x", "weekly_x", "other_x", standard) if regressors else F.concat("yearly_x", "weekly_x", "other_x"))
+    relative = F.try_divide(F.col("y"), F.col("__trend")) - 1
+    usable = season_rows.where(F.abs("__trend") > 1e-9 * F.col("__scale")).withColumn("__z", F.concat("__x", F.array(F.lit(1.0), relative)))
+    weights = solved(
+        attach_stats(fitted, gram(usable, keys, "__z", size + 2), keys), seasons, "gram", "yearly_w array<double>, weekly_w array<double>, other_w array<double>, season_spread double"
+    )
+    model = store(weights, "full_model")
+    errors = attach_stats(season_rows.select(*keys, "y", "__trend", "__x"), model.select(*keys, F.concat("yearly_w", "weekly_w", "other_w").alias("__w")), keys)
+    residual = F.col("y") - F.col("__trend") * (1 + _dot("__x", "__w"))
+    spread = errors.groupBy(*keys).agg(F.coalesce(F.stddev_samp(residual), F.lit(0.0)).alias("sigma"))
+    return attach_stats(model, spread, keys).select(
+        *keys, "origin", "last_day", "train_span", "n", "sigma", "trend_w", "yearly_w", "weekly_w", "other_w", "given_mean", "given_spread", "trend_penalty", "season_spread"
     )
-    bend_prior, season_prior = config.changepoint_prior_scale, config.seasonality_prior_scale
-    holiday_prior = config.holidays_prior_scale
-
-    def ridge(x: np.ndarray, y: np.ndarray, penalty: np.ndarray) -> np.ndarray:
-        return np.linalg.solve(x.T @ x + np.diag(penalty + 1e-9), x.T @ y)
-
-    def solve(group: pd.DataFrame) -> pd.DataFrame:
-        y = group["y"].to_numpy(float)
-        trend_x, yearly_x, weekly_x, other_x, given = (np.vstack(group[p].to_numpy()).astype(float) for p in parts)
-        known = ~np.isnan(given)
-        size = np.maximum(known.sum(0), 1)
-        mean = np.where(known, given, 0.0).sum(0) / size
-        off = np.where(known, given - mean, 0.0)
-        spread_of = np.sqrt((off**2).sum(0) / size)
-        spread_of = np.where(spread_of > 1e-12, spread_of, 1.0)
-        other_x = np.hstack([other_x, off / spread_of])
-        scale = max(float(np.abs(y).max()), 1e-12)
-        line = ridge(trend_x[:, :2], y / scale, np.zeros(2))
-        noise = float(np.var(y / scale - trend_x[:, :2] @ line))
-        bends = np.full(trend_x.shape[1], noise / bend_prior**2)
-        bends[:2] = 0.0
-        trend_w = ridge(trend_x, y / scale, bends) * scale
-        trend = trend_x @ trend_w
-        usable = np.abs(trend) > 1e-9 * scale
-        season_x = np.hstack([yearly_x, weekly_x, other_x])
-        relative = y[usable] / trend[usable] - 1.0
-        spread = float(np.var(relative)) if usable.any() else 0.0
-        penalty = np.full(season_x.shape[1], spread / season_prior**2)
-        penalty[yearly_x.shape[1] + weekly_x.shape[1] :] = spread / holiday_prior**2
-        season_w = ridge(season_x[usable], relative, penalty)
-        residual = y - trend * (1.0 + season_x @ season_w)
-        cuts = np.cumsum([yearly_x.shape[1], weekly_x.shape[1]])
-        yearly_w, weekly_w, other_w = np.split(season_w, cuts)
-        row = {k: group[k].iloc[0] for k in [*keys, "origin", "last_day", "train_span"]}
-        row |= {"n": len(y), "sigma": float(np.std(residual, ddof=1)) if len(y) > 1 else 0.0}
-        row |= {"trend_w": trend_w, "yearly_w": yearly_w, "weekly_w": weekly_w, "other_w": other_w}
-        row |= {"given_mean": mean, "given_spread": spread_of}
-        return pd.DataFrame([row])
-
-    return grouped.applyInPandas(solve, schema)
 
 
 def _dot(x: str, w: str) -> Column:
@@ -330,6 +370,13 @@ def predict_full(
     days = forecast_days(model, config.horizon_days if horizon is None else horizon)
     if regressors:
         days = join_series(days, regressor_days.select(*keys, "ds", *regressors), keys, "left", ["ds"])
+    return apply_full(days, keys, config, regressors)
+
+
+def apply_full(
+    days: DataFrame, keys: Sequence[str] = (), config: ModelConfig = ModelConfig(), regressors: Sequence[str] = (), keep: Sequence[str] = ()
+) -> DataFrame:
+    """Forecast columns for days that carry the model columns and the regressors."""
     built = design(days, config, regressors)
     if regressors:
         absent = F.concat(F.lit("no regressor value for "), F.col("ds").cast("string"))
@@ -348,7 +395,7 @@ def predict_full(
         }
     )
     yhat = F.col("trend") * (1 + F.col("yearly") + F.col("weekly") + F.col("other"))
-    return _with_band(parts.withColumn("yhat", yhat), config.interval_level).select(*keys, *FORECAST_COLUMNS)
+    return _with_band(parts.withColumn("yhat", yhat), config.interval_level).select(*keys, *keep, *FORECAST_COLUMNS)
 
 
 # ---- reading a forecast -----------------------------------------------------------------------

@@ -8,6 +8,7 @@ from ledgerflow.config import ModelConfig
 from ledgerflow.operators import evaluate, forecast, series
 from ledgerflow.operators.clean import clean_external_factors
 from ledgerflow.plans.oracle_derived import base_forecast
+from ledgerflow.plans.oracle_full import full_model
 from ledgerflow.plans.registry import query
 from ledgerflow.sources.shared import fresh_path, store
 
@@ -68,16 +69,38 @@ def _(fx):
     return forecast.seasonal_index(history(fx))
 
 
-@query("f03_full_model", AHEAD)
+#: what was known 90 days before: the last rate of a day up to then, and the mean of the seven days up to then
+GIVEN = """SELECT f.ds, r.interest_rate, m.rolling_mean_7d FROM
+ (SELECT ds FROM v_full UNION ALL SELECT CAST(unnest(generate_series(hi + 1, hi + 90, INTERVAL 1 DAY)) AS DATE) FROM (SELECT max(ds) AS hi FROM v_full) x) f
+ ASOF LEFT JOIN (SELECT date, max(value) AS interest_rate FROM fx_factors WHERE indicator = 'interest_rate' AND value IS NOT NULL GROUP BY date) r ON f.ds - 90 >= r.date
+ ASOF LEFT JOIN (SELECT ds, avg(y) OVER (ORDER BY ds ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS rolling_mean_7d FROM v_full) m ON f.ds - 90 >= m.ds"""
+
+#: two solvers of one system differ by about 1e-10 of the largest balance (here some 10^8): money is compared to thousands
+AHEAD_FULL = "ds:d yhat:f-3 yhat_lower:f-3 yhat_upper:f-3 trend:f-3 yearly:f4 weekly:f4"
+MONTHLY = ModelConfig(monthly_order=5)
+LINE = ModelConfig(changepoints=0, yearly_order=0, weekly_order=0)
+
+
+@query("f03_full_model", AHEAD_FULL, "SELECT * FROM full_ahead", **full_model("v_full", ModelConfig()))
 def _(fx):
     config = ModelConfig()
     return forecast.predict_full(forecast.fit_full(history(fx), config=config), config=config)
 
 
-@query("f03_full_model_by_account", "bank_account:s " + AHEAD)
+@query("f03_full_model_by_account", "bank_account:s " + AHEAD_FULL, "SELECT * FROM full_ahead", **full_model("v_hist_acc", MONTHLY, "bank_account"))
+def _(fx):
+    return forecast.predict_full(forecast.fit_full(account_history(fx), ACCOUNT, MONTHLY), ACCOUNT, MONTHLY)
+
+
+@query(
+    "f03_line_without_bends",
+    "bank_account:s intercept:f0 slope:f0 n:i",
+    """SELECT bank_account, regr_intercept(y, t) AS intercept, regr_slope(y, t) * (max(t) - min(t)) AS slope, count(*) AS n
+     FROM (SELECT bank_account, CAST(y AS DOUBLE) AS y, date_diff('day', min(ds) OVER (PARTITION BY bank_account), ds) AS t FROM v_hist_acc) h GROUP BY bank_account""",
+)
 def _(fx):
-    config = ModelConfig(monthly_order=5)
-    return forecast.predict_full(forecast.fit_full(account_history(fx), ACCOUNT, config), ACCOUNT, config)
+    model = forecast.fit_full(account_history(fx), ACCOUNT, LINE)
+    return model.select("bank_account", F.get("trend_w", F.lit(0)).alias("intercept"), F.get("trend_w", F.lit(1)).alias("slope"), "n")
 
 
 YEARS = "SELECT CAST(unnest(generate_series(year(lo), year(hi))) AS INT) AS y FROM (SELECT min(dt) AS lo, max(dt) AS hi FROM fx_bank_base) b"
@@ -102,19 +125,45 @@ def _(fx):
     return forecast.holiday_calendar(series.date_bounds(fx.bank_base()))
 
 
-@query("f05_extra_regressors", AHEAD)
+REGRESSORS = ["interest_rate", "rolling_mean_7d"]
+
+
+def known_regressors(fx, real, horizon):
+    """The frame's days with the values that were known ``horizon`` days before each of them."""
+    frame = forecast.future_frame(real, horizon=horizon)
+    rates = series.factors_wide(clean_external_factors(fx.factors())).select(F.col("date").alias("known"), "interest_rate")
+    means = series.rolling_mean(real, "y").select(F.col("ds").alias("known"), "rolling_mean_7d")
+    out = forecast.known_before(frame, rates, "known", ["interest_rate"], lag=horizon)
+    return forecast.known_before(out, means, "known", ["rolling_mean_7d"], lag=horizon)
+
+
+@query("f05_known_regressors", "ds:d interest_rate:f4 rolling_mean_7d:f2", "SELECT * FROM given", given=GIVEN)
+def _(fx):
+    return known_regressors(fx, history(fx), ModelConfig().horizon_days)
+
+
+@query("f05_extra_regressors", AHEAD_FULL, "SELECT * FROM full_ahead", given=GIVEN, **full_model("v_full", ModelConfig(), given="given", regressors=REGRESSORS))
 def _(fx):
-    regressors = ["interest_rate", "rolling_mean_7d"]
     config = ModelConfig()
-    wide = series.factors_wide(clean_external_factors(fx.factors()))
     real = history(fx)
-    # known for every forecast day: the last rate is carried forward, the mean is the one of a horizon ago
-    frame = forecast.future_frame(real, horizon=config.horizon_days)
-    rates = series.merge_factors(frame, wide).select("ds", "interest_rate")
-    lagged = series.rolling_mean(real, "y").select(F.date_add("ds", config.horizon_days).alias("ds"), "rolling_mean_7d")
-    days = rates.join(lagged, "ds", "left")
-    model = forecast.fit_full(real.join(days, "ds"), config=config, regressors=regressors)
-    return forecast.predict_full(model, config=config, regressors=regressors, regressor_days=days)
+    days = store(known_regressors(fx, real, config.horizon_days), "regressors")
+    forecast.require_known(days, REGRESSORS, config.horizon_days)
+    model = forecast.fit_full(real.join(days, "ds"), config=config, regressors=REGRESSORS)
+    return forecast.predict_full(model, config=config, regressors=REGRESSORS, regressor_days=days)
+
+
+@query(
+    "f05_values_known_later",
+    "ds:d known:d rolling_mean_7d:f2",
+    """SELECT f.ds, m.ds AS known, m.rolling_mean_7d FROM v_full f ASOF JOIN
+     (SELECT ds, avg(y) OVER (ORDER BY ds ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS rolling_mean_7d FROM v_full) m ON f.ds - 60 >= m.ds""",
+)
+def _(fx):
+    # taken 60 days before: every one of these values is too late for a forecast 90 days ahead
+    real = history(fx)
+    means = series.rolling_mean(real, "y").select(F.col("ds").alias("known"), "rolling_mean_7d")
+    days = forecast.known_before(real, means, "known", ["rolling_mean_7d"], lag=60)
+    return forecast.known_too_late(days, ["rolling_mean_7d"], lag=90).withColumn("known", F.col("rolling_mean_7d_known"))
 
 
 @query("f06_future_frame", "ds:d", "SELECT ds FROM v_full UNION ALL SELECT CAST(unnest(generate_series(hi + 1, hi + 90, INTERVAL 1 DAY)) AS DATE) FROM (SELECT max(ds) AS hi FROM v_full) m")
@@ -211,6 +260,13 @@ def _(fx):
     return forecast.predict_base(forecast.load_model(fx.spark, path))
 
 
+@query("f13_saved_full_model", "bank_account:s " + AHEAD_FULL, "SELECT * FROM full_ahead", **full_model("v_hist_acc", MONTHLY, "bank_account"))
+def _(fx):
+    path = fresh_path(fx.spark, "model")
+    forecast.save_model(forecast.fit_full(account_history(fx), ACCOUNT, MONTHLY), path)
+    return forecast.predict_full(forecast.load_model(fx.spark, path), ACCOUNT, MONTHLY)
+
+
 @query("f14_naive_forecast", "ds:d y:m y_naive:m", "SELECT * FROM (SELECT ds, y, lag(y) OVER (ORDER BY ds) AS y_naive FROM v_test) t WHERE y_naive IS NOT NULL")
 def _(fx):
     return forecast.naive_forecast(split(fx)[1])
@@ -241,3 +297,30 @@ def _(fx):
 )
 def _(fx):
     return evaluate.cross_validate(forecast.rolling_folds(history(fx)))
+
+
+@query(
+    "f15_full_folds",
+    "fold:i mae:f-2 mape:f1 n_evaluations:i",
+    """SELECT t.fold, avg(abs(t.y - a.yhat)) AS mae, coalesce(avg(abs((t.y - a.yhat) / nullif(t.y, 0))) * 100, 0) AS mape, count(*) AS n_evaluations
+     FROM test_folds t JOIN full_ahead a ON a.fold = t.fold AND a.ds = t.ds GROUP BY t.fold""",
+    folds=FOLDS,
+    train_folds="SELECT fold, ds, y FROM folds WHERE is_train",
+    test_folds="SELECT fold, ds, y FROM folds WHERE NOT is_train",
+    **full_model("train_folds", ModelConfig(), "fold", days="test_folds"),
+)
+def _(fx):
+    return evaluate.cross_validate(forecast.rolling_folds(history(fx)), model="full")
+
+
+@query(
+    "f10_future_risk_by_account",
+    "bank_account:s " + RISK_COLUMNS,
+    RISK.replace("SELECT ", "SELECT bank_account, ", 1)
+    + """ FROM (SELECT *, row_number() OVER (PARTITION BY bank_account ORDER BY ds DESC) AS back FROM v_fc_acc f
+     WHERE ds > (SELECT max(h.ds) FROM v_hist_acc h WHERE h.bank_account = f.bank_account)) f GROUP BY bank_account""",
+)
+def _(fx):
+    real = store(account_history(fx), "history")
+    ahead = forecast.predict_base(forecast.fit_base(real, ACCOUNT), ACCOUNT)
+    return forecast.risk_indicators(ahead, ACCOUNT, scope="future", origin=real.groupBy(*ACCOUNT).agg(F.max("ds").alias("today")))

@@ -181,3 +181,60 @@ def test_regressors_do_not_depend_on_their_unit_and_must_be_known_ahead(spark):
     assert abs(ahead[1.0][last] - (1000 + 399 + 60 * float(np.sin(399 * 0.7)))) < 60
     with pytest.raises(Exception, match="no regressor value"):
         forecast.predict_full(model, config=config, regressors=["r"], regressor_days=real.select("ds", "r")).collect()
+
+
+def test_full_fit_equals_plain_numpy(spark, frame):
+    """Both systems against numpy on the whole design, with gaps and nulls in the history and a regressor."""
+    config = ModelConfig(changepoints=4, yearly_order=2, weekly_order=1, monthly_order=1)
+    one = frame.where("s = 'a' AND dayofyear(ds) % 11 <> 0").drop("s")
+    one = one.withColumn("r", F.when(F.dayofyear("ds") % 7 != 3, F.dayofyear("ds") % 5).cast("double"))
+    gaps = one.unionByName(spark.createDataFrame([(date(2020, 1, 1), None, 1.0)], one.schema))
+    model = forecast.fit_full(gaps, config=config, regressors=["r"]).first()
+    rows = sorted((r.ds, r.y, r.r) for r in one.collect())
+    days, y = np.array([(r[0] - date(1970, 1, 1)).days for r in rows], float), np.array([r[1] for r in rows])
+    tau = (days - days[0]) / (days[-1] - days[0])
+    trend_x = np.column_stack([np.ones_like(tau), tau, *[np.maximum(tau - 0.8 * (i + 1) / 5, 0) for i in range(4)]])
+    scale = np.abs(y).max()
+
+    def ridge(x, v, penalty):
+        return np.linalg.solve(x.T @ x + np.diag(penalty + 1e-9), x.T @ v)
+
+    noise = np.var(y / scale - trend_x[:, :2] @ ridge(trend_x[:, :2], y / scale, np.zeros(2)))
+    trend_w = ridge(trend_x, y / scale, np.r_[0, 0, np.full(4, noise / config.changepoint_prior_scale**2)]) * scale
+    trend = trend_x @ trend_w
+    waves = [f(2 * np.pi * k * days / period) for period, order in ((365.25, 2), (7, 1)) for k in range(1, order + 1) for f in (np.sin, np.cos)]
+    flags = np.array([list(r) for r in spark.createDataFrame([(r[0],) for r in rows], "ds date").coalesce(1).select(forecast.holiday_flags(F.col("ds")).alias("h")).toPandas()["h"]])
+    r = np.array([np.nan if v[2] is None else v[2] for v in rows])
+    season_x = np.column_stack([*waves, flags, *[f(2 * np.pi * days / 30.5) for f in (np.sin, np.cos)], np.nan_to_num((r - np.nanmean(r)) / np.nanstd(r))])
+    level = np.var(y / trend - 1)
+    season_w = ridge(season_x, y / trend - 1, np.full(season_x.shape[1], level / 100))
+    assert np.allclose(model.trend_w, trend_w, rtol=1e-5)
+    assert np.allclose([*model.yearly_w, *model.weekly_w, *model.other_w], season_w, rtol=1e-5, atol=1e-8)
+    assert math.isclose(model.sigma, np.std(y - trend * (1 + season_x @ season_w), ddof=1), rel_tol=1e-6) and model.n == len(y)
+
+
+def test_full_fit_has_no_group_of_days(frame):
+    plan = forecast.fit_full(frame, ["s"])._jdf.queryExecution().toString()
+    assert "FlatMapGroups" not in plan and "Window" not in plan
+
+
+def test_full_fit_of_zero_and_empty_series(spark):
+    flat = spark.createDataFrame([("z", date(2024, 1, 1 + i), 0.0) for i in range(20)] + [("one", date(2024, 1, 1), 5.0), ("none", date(2024, 1, 1), None)], "s string, ds date, y double")
+    model = {r.s: r for r in forecast.fit_full(flat, ["s"]).collect()}
+    assert set(model) == {"z", "one"} and model["one"].sigma == 0.0
+    assert all(abs(r.yhat) < 1e-6 for r in forecast.predict_full(forecast.fit_full(flat.where("s = 'z'"), ["s"]), ["s"]).collect())
+    assert forecast.fit_full(flat.where("false")).count() == 0
+
+
+def test_values_known_before(spark):
+    day = lambda k: date(2024, 1, 1) + timedelta(days=k)
+    frame = spark.createDataFrame([(s, day(k)) for s in ("a", None) for k in range(6)], "s string, ds date")
+    values = spark.createDataFrame([("a", day(0), 1.0, None), ("a", day(2), None, 7.0), ("a", day(3), 3.0, 8.0), (None, day(1), 9.0, 9.0)], "s string, known date, v double, w double")
+    days = forecast.known_before(frame, values, "known", ["v", "w"], ["s"], lag=2)
+    got = {(r.s, (r.ds - day(0)).days): (r.v, r.w) for r in days.collect()}
+    assert [got["a", k] for k in range(6)] == [(None, None), (None, None), (1.0, None), (1.0, None), (1.0, 7.0), (3.0, 8.0)]
+    assert [got[None, k] for k in range(6)] == [(None, None)] * 3 + [(9.0, 9.0)] * 3
+    forecast.require_known(days, ["v", "w"], 2)
+    with pytest.raises(ValueError, match="was not known 3 days before"):
+        forecast.require_known(days, ["v", "w"], 3)
+    assert forecast.known_too_late(days, ["v"], 3).count() == 3
