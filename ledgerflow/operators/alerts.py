@@ -31,12 +31,42 @@ def _alert(df: DataFrame, keys: Sequence[str], code: str, severity: str, message
     )
 
 
+def _low_balance(balance: Column, limits: Thresholds) -> tuple[str, str, Column, Column]:
+    floor = F.lit(limits.min_balance)
+    return "A1", "CRITICAL", F.concat(F.lit("CASH BAJO: "), euros(balance), F.lit(" (min: "), euros(floor), F.lit(")")), balance < floor
+
+
+def _weekly_drop(variation: Column, old: Column, current: Column, limits: Thresholds) -> tuple[str, str, Column, Column]:
+    text = F.concat(F.lit("CAIDA SEMANAL: "), percent(variation), F.lit(" ("), F.format_number(old, 0), F.lit(" -> "), euros(current), F.lit(")"))
+    return "A2", "HIGH", text, variation < limits.min_variation_7d
+
+
+def _low_projection(value: Column, limits: Thresholds) -> tuple[str, str, Column, Column]:
+    floor = F.lit(limits.projection_floor)
+    text = F.concat(F.lit("PROYECCION NEGATIVA: "), euros(value), F.lit(" a 90 dias (floor: "), euros(floor), F.lit(")"))
+    return "A4", "CRITICAL", text, value < floor
+
+
 def balance_alert(latest: DataFrame, keys: Sequence[str] = (), limits: Thresholds = Thresholds()) -> DataFrame:
     """A1. ``latest`` has one ``current_cash_balance`` per series."""
-    balance = F.col("current_cash_balance").cast("double")
-    floor = F.lit(limits.min_balance)
-    text = F.concat(F.lit("CASH BAJO: "), euros(balance), F.lit(" (min: "), euros(floor), F.lit(")"))
-    return _alert(latest, keys, "A1", "CRITICAL", text, balance < floor)
+    return _alert(latest, keys, *_low_balance(F.col("current_cash_balance").cast("double"), limits))
+
+
+def checked_rows(states: DataFrame, keep: Sequence[str], limits: Thresholds = Thresholds()) -> DataFrame:
+    """A1, A2 and A4 of rows that carry ``current``, ``old`` and ``forecast_90d``: the triggered ones, one row each.
+
+    Column expressions only, so it serves a stream: the rows are not read once per alert.
+    """
+    current, old = F.col("current"), F.col("old")
+    checks = [
+        _low_balance(current, limits),
+        _weekly_drop(share(current - old, old), old, current, limits),
+        _low_projection(F.col("forecast_90d"), limits),
+    ]
+    entries = F.array(
+        *[F.struct(F.lit(code).alias("code"), F.lit(severity).alias("severity"), text.alias("message"), F.coalesce(when, F.lit(False)).alias("triggered")) for code, severity, text, when in checks]
+    )
+    return states.withColumn("__a", F.explode(F.filter(entries, lambda a: a["triggered"]))).select(*keep, "__a.code", "__a.severity", "__a.message")
 
 
 def weekly_variation(daily: DataFrame, keys: Sequence[str] = (), lag: int = 6) -> DataFrame:
@@ -54,11 +84,7 @@ def variation_alert(
 ) -> DataFrame:
     """A2. Silent on a short series or a zero old balance."""
     moved = weekly_variation(daily, keys, lag)
-    text = F.concat(
-        F.lit("CAIDA SEMANAL: "), percent(F.col("variation")), F.lit(" ("),
-        F.format_number("old", 0), F.lit(" -> "), euros(F.col("current")), F.lit(")"),
-    )
-    return _alert(moved, keys, "A2", "HIGH", text, F.col("variation") < limits.min_variation_7d)
+    return _alert(moved, keys, *_weekly_drop(F.col("variation"), F.col("old"), F.col("current"), limits))
 
 
 def deviation_alert(pairs: DataFrame, keys: Sequence[str] = (), limits: Thresholds = Thresholds()) -> DataFrame:
@@ -73,11 +99,7 @@ def deviation_alert(pairs: DataFrame, keys: Sequence[str] = (), limits: Threshol
 
 def projection_alert(ahead: DataFrame, keys: Sequence[str] = (), limits: Thresholds = Thresholds()) -> DataFrame:
     """A4. ``ahead`` has one ``forecast_90d`` per series."""
-    value, floor = F.col("forecast_90d"), F.lit(limits.projection_floor)
-    text = F.concat(
-        F.lit("PROYECCION NEGATIVA: "), euros(value), F.lit(" a 90 dias (floor: "), euros(floor), F.lit(")")
-    )
-    return _alert(ahead, keys, "A4", "CRITICAL", text, value < floor)
+    return _alert(ahead, keys, *_low_projection(F.col("forecast_90d"), limits))
 
 
 def negative_projection_alert(ahead: DataFrame, keys: Sequence[str] = ()) -> DataFrame:

@@ -205,3 +205,73 @@ def test_alert_stream(spark, small, tmp_path):
     schema = spark.read.parquet(f"{small}/events.parquet").schema
     log = run_alerts(read_events(spark, small, schema, "events.parquet"), f"{tmp_path}/a", f"{tmp_path}/s")
     assert {r.alert_code for r in log.select("alert_code").distinct().collect()} >= {"A1"}
+
+
+class _Held:
+    """A value state of one account, in memory."""
+
+    def __init__(self):
+        self.value = None
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+
+def test_week_of_balances_equals_a_full_recount():
+    import random
+
+    import pandas as pd
+
+    from ledgerflow.streaming.keyed_alerts import WeekOfBalances
+
+    rng = random.Random(11)
+    for _ in range(60):
+        state = WeekOfBalances(500)
+        state.state = _Held()
+        seen, at = {}, 100
+        for _ in range(8):
+            at += rng.choice([0, 1, 2, 5, 30])
+            rows = [(at - rng.choice([0, 0, 1, 3, 6, 7, 20]), rng.randrange(-900, 900)) for _ in range(rng.randrange(1, 6))]
+            for day, cents in rows:
+                seen[day] = seen.get(day, 0) + cents
+            frames = [pd.DataFrame(rows[:2], columns=["day", "cents"]), pd.DataFrame(rows[2:], columns=["day", "cents"])]
+            (found,) = state.handleInputRows(("a",), iter(frames), None)
+            last = max(seen)
+            old = 500 + sum(c for d, c in seen.items() if d <= last - 6) if last - 6 >= min(seen) else None
+            row = found.iloc[0]
+            assert (row.day, row.current_cents) == (last, 500 + sum(seen.values()))
+            assert (None if pd.isna(row.old_cents) else row.old_cents) == old
+
+
+def test_keyed_alerts_read_nothing_again(spark, small, tmp_path):
+    """A second run with the same checkpoint sees new files only, logs nothing twice, and carries the balance on."""
+    from datetime import datetime
+
+    from ledgerflow.streaming.daily import read_events
+    from ledgerflow.streaming.keyed_alerts import run_keyed_alerts
+
+    schema = spark.read.parquet(f"{small}/events.parquet").schema
+    fields = [f.name for f in schema.fields]
+
+    def land(rows):
+        full = [{**dict.fromkeys(fields), "event_id": i, "ts": datetime(2024, 1, d), "user_id": u, "event_type": "purchase", "value": v} for i, d, u, v in rows]
+        spark.createDataFrame([tuple(r[f] for f in fields) for r in full], schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+
+    def run():
+        log = run_keyed_alerts(read_events(spark, f"{tmp_path}/in", schema), f"{tmp_path}/log", f"{tmp_path}/cp", opening_cents=0)
+        return sorted(tuple(r) for r in log.select("bank_account", F.col("date").cast("string"), "code", "message").collect())
+
+    land([(1, 1, 1, 90_000.0), (2, 1, 2, 10.0)])
+    first = run()
+    assert first == [("ACC-2", "2024-01-01", "A1", "CASH BAJO: 10€ (min: 50,000€)")]
+    for path in (tmp_path / "in").glob("*.parquet"):
+        path.write_bytes(b"not to be opened again")
+    assert run() == first
+    land([(3, 9, 1, 5.0), (4, 9, 2, 1.5)])
+    assert run() == [first[0], ("ACC-2", "2024-01-09", "A1", "CASH BAJO: 12€ (min: 50,000€)")]
