@@ -2,6 +2,7 @@
 
 from datetime import date
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from ledgerflow.operators import clean, forecast, kpi, series
@@ -39,6 +40,43 @@ def _(fx):
     return quality.row_counts(catalog.read_catalog(fx.spark, _raw_csv_folder(fx)))
 
 
+@query(
+    "s01_line_breaks_in_fields",
+    "doc_id:i text_md5:s lang:s source:s",
+    "SELECT doc_id, md5(coalesce(text, '')) AS text_md5, coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents",
+)
+def _(fx):
+    folder = fresh_path(fx.spark, "quoted")
+    kept = {"quote": '"', "escape": '"', "quoteAll": True, "header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    fx.table("documents").select("doc_id", "text", "lang", "source").na.fill("", ["text", "lang", "source"]).write.csv(f"{folder}/documents.csv", **kept)
+    read = catalog.read_csv(fx.spark, f"{folder}/documents.csv", multi_line=True)
+    empty = F.lit("")
+    return read.select("doc_id", F.md5(F.coalesce("text", empty)).alias("text_md5"), F.coalesce("lang", empty).alias("lang"), F.coalesce("source", empty).alias("source"))
+
+
+def _headed(header: str):
+    def run(batches):
+        yield pa.RecordBatch.from_arrays([pa.array([header])], names=["value"])
+        yield from batches
+
+    return run
+
+
+@query(
+    "s01_malformed_rows",
+    "dataset:s rows:i malformed:i",
+    "SELECT 'customers' AS dataset, count(*) AS rows, count(*) FILTER (WHERE c_custkey % 10 = 0 OR c_custkey % 7 = 0) AS malformed FROM customer",
+)
+def _(fx):
+    folder = fresh_path(fx.spark, "dirty")
+    name = F.concat(F.lit('"'), F.replace("c_name", F.lit("#"), F.lit("\n")), F.lit('"'))
+    key = F.col("c_custkey").cast("string")
+    line = F.when(key % 10 == 0, key).when(key % 7 == 0, F.concat_ws(",", key, name, F.lit("more"))).otherwise(F.concat_ws(",", key, name))
+    fx.table("customer").select(line.alias("value")).mapInArrow(_headed("id,name"), "value string").write.text(f"{folder}/customers.csv")
+    found = catalog.malformed_rows(fx.spark, folder)
+    return found.groupBy("dataset").agg(F.sum("rows").alias("rows"), F.sum("malformed").alias("malformed"))
+
+
 @query("s02_read_with_fallback", "movement_id:s date:s amount:s", "SELECT movement_id, CAST(date AS VARCHAR) AS date, CAST(amount AS VARCHAR) AS amount FROM fx_bank")
 def _(fx):
     folder = fresh_path(fx.spark, "second")

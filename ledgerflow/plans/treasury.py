@@ -82,6 +82,7 @@ def run(
     """
     raw = catalog.read_catalog(spark, raw_folder, multi_line=multi_line)
     sinks.save_processed({"schema_checks": quality.check_all_schemas(raw)}, f"{out}/quality")
+    sinks.save_processed({"malformed_rows": catalog.malformed_rows(spark, raw_folder)}, f"{out}/quality")
     sinks.save_processed(clean.clean_all(raw, as_of), f"{out}/processed")
     cleaned = catalog.read_catalog(spark, f"{out}/processed", "parquet")
     result = plan(cleaned, limits, keys, model)

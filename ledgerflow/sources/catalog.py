@@ -8,6 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerflow.schemas import OPTIONAL, REQUIRED, TABLES, raw_schema
+from ledgerflow.sources.quoted_csv import malformed_counts, read_quoted_csv
 
 
 def list_datasets(spark: SparkSession, folder: str, suffix: str = ".csv") -> list[str]:
@@ -24,10 +25,12 @@ def read_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFr
     """All columns as text, plus ``load_seq``: the position of the row in the files.
 
     Quotes inside quoted fields are doubled, as RFC 4180 has it. ``multi_line`` allows line breaks inside quoted
-    fields; a file is then read by one task, so deliver such data in many files.
+    fields; a file is still read by many tasks (:mod:`ledgerflow.sources.quoted_csv`).
     File, block start and row within the block give file order without a global numbering pass.
     """
-    rows = spark.read.csv(path, header=True, inferSchema=False, encoding="UTF-8", quote='"', escape='"', multiLine=multi_line)
+    if multi_line:
+        return read_quoted_csv(spark, path).drop("malformed")
+    rows = spark.read.csv(path, header=True, inferSchema=False, encoding="UTF-8", quote='"', escape='"')
     at = F.struct(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
@@ -46,6 +49,15 @@ def read_catalog(spark: SparkSession, folder: str, fmt: str = "csv", multi_line:
     }
 
 
+def malformed_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """``dataset``, ``file``, ``rows`` and ``malformed`` of every CSV file of a folder: rows that a reader pads, cuts or never closes."""
+    out = spark.createDataFrame([], "dataset string, file string, rows bigint, malformed bigint")
+    for name in list_datasets(spark, folder):
+        found = malformed_counts(read_quoted_csv(spark, f"{folder.rstrip('/')}/{name}.csv"))
+        out = out.unionByName(found.select(F.lit(name).alias("dataset"), "file", "rows", "malformed"))
+    return out
+
+
 def read_dataset(spark: SparkSession, name: str, *folders: str, fmt: str = "csv") -> DataFrame | None:
     """The dataset from the first folder that has it; ``None`` when no folder does."""
     for folder in folders:

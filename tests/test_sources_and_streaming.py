@@ -275,3 +275,38 @@ def test_keyed_alerts_read_nothing_again(spark, small, tmp_path):
     assert run() == first
     land([(3, 9, 1, 5.0), (4, 9, 2, 1.5)])
     assert run() == [first[0], ("ACC-2", "2024-01-09", "A1", "CASH BAJO: 12€ (min: 50,000€)")]
+
+
+@pytest.mark.parametrize(("line_end", "sent"), [("\n", 100_000), ("\r\n", 0)])
+def test_one_file_with_line_breaks_is_read_by_many_tasks(spark, tmp_path, monkeypatch, line_end, sent):
+    import csv
+    import random
+
+    from ledgerflow.sources import quoted_csv
+
+    monkeypatch.setattr(quoted_csv, "SENT_BLOCKS", sent)
+    rng = random.Random(5)
+    pieces = ["a", "x,y", 'q"q', "line\nbreak", '\n\n"",\n"', "", "é\r\nz", "w" * 5000, ",\n" * 900]
+    rows = [[str(i), rng.choice(pieces), rng.choice(["", "b", '"'])] for i in range(300)]
+    path = f"{tmp_path}/movements.csv"
+    with open(path, "w", newline="", encoding="utf-8-sig") as file:
+        writer = csv.writer(file, lineterminator=line_end)
+        writer.writerow(["id", "text", "last"])
+        writer.writerows(rows)
+        file.write(f"77{line_end}{line_end}78,a,b,c{line_end}79,\"open{line_end}to the end")
+    limits = {"spark.sql.files.maxPartitionBytes": "4000", "spark.sql.files.openCostInBytes": "0"}
+    before = {k: spark.conf.get(k) for k in limits}
+    try:
+        for k, v in limits.items():
+            spark.conf.set(k, v)
+        assert quoted_csv._lines(spark, path).rdd.getNumPartitions() > 4
+        read = quoted_csv.read_quoted_csv(spark, path)
+        got = {r.id: (r.text, r.last, r.malformed) for r in read.collect()}
+        order = [r.id for r in read.orderBy("load_seq").collect()]
+        counts = [tuple(r) for r in quoted_csv.malformed_counts(read).collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert {k: (t or "", z or "", m) for k, (t, z, m) in got.items() if int(k) < 77 or 79 < int(k)} == {a: (b, c, False) for a, b, c in rows if int(a) < 77 or 79 < int(a)}
+    assert got["77"] == (None, None, True) and got["78"] == ("a", "b", True) and got["79"][2] and got["79"][0].startswith("open")
+    assert order[:300] == [r[0] for r in rows] and counts == [("movements.csv", 303, 3)]
