@@ -5,6 +5,8 @@ from datetime import date
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+from ledgerflow.config import ModelConfig
+from ledgerflow.functions.keyed import attach_stats
 from ledgerflow.operators import clean, forecast, kpi, series
 from ledgerflow.operators.evaluate import evaluation_report
 from ledgerflow.plans.queries_cleaning import AS_OF
@@ -214,6 +216,22 @@ def _(fx):
     return quality.row_counts(catalog.read_catalog(fx.spark, folder))
 
 
+@query("s08_exported_rows", "date:d cash_balance:f0 net_cash:f0", "SELECT date, cash_balance, net_cash FROM v_cash")
+def _(fx):
+    folder = fresh_path(fx.spark, "bi")
+    daily = series.cash_flow_daily(fx.bank())
+    ahead = _forecast(fx, daily)
+    sinks.export_for_bi(daily, ahead, kpi.kpi_row(daily, ahead), folder)
+    return catalog.read_csv(fx.spark, f"{folder}/cash_flow_daily.csv")
+
+
+@query("s07_processed_rows", "invoice_id:s customer_name:s total:m is_overdue:b", "SELECT invoice_id, customer_name, total, is_overdue FROM v_invoices")
+def _(fx):
+    folder = fresh_path(fx.spark, "processed")
+    sinks.save_processed({"invoices_clean": _cleaned(fx)["invoices_clean"]}, folder)
+    return catalog.read_catalog(fx.spark, folder, "parquet")["invoices_clean"]
+
+
 @query(
     "s09_load_tables",
     "dataset:s rows:i",
@@ -250,6 +268,28 @@ def _(fx):
     return catalog.run_sql(fx.spark, "SELECT cash_balance FROM cash_flow_daily ORDER BY date DESC LIMIT 1")
 
 
+_LOADED = {
+    "invoices": ("v_invoices", "invoice_id", "total"),
+    "bank_movements": ("v_bank", "movement_id", "amount"),
+    "crm_deals": ("v_deals", "deal_id", "expected_amount"),
+}
+
+
+@query(
+    "s09_loaded_rows",
+    "dataset:s id:s value:m",
+    " UNION ALL ".join(f"SELECT '{n}' AS dataset, {k} AS id, {v} AS value FROM {view}" for n, (view, k, v) in _LOADED.items()),
+)
+def _(fx):
+    cleaned = _cleaned(fx)
+    folder = fresh_path(fx.spark, "tables")
+    sinks.load_tables(fx.spark, {"invoices": cleaned["invoices_clean"].limit(0), "bank_movements": cleaned["bank_clean"]}, folder)
+    sinks.load_tables(fx.spark, {"invoices": cleaned["invoices_clean"], "crm_deals": cleaned["crm_deals_clean"]}, folder)
+    tables = sinks.open_tables(fx.spark, folder)
+    parts = [tables[n].select(F.lit(n).alias("dataset"), F.col(k).alias("id"), F.col(v).alias("value")) for n, (_, k, v) in _LOADED.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 @query(
     "s11_save_alerts",
     "alert_code:s severity:s resolved:i n:i",
@@ -267,6 +307,22 @@ def _(fx):
     return log.groupBy("alert_code", "severity", "resolved").agg(F.count("*").alias("n"))
 
 
+@query(
+    "s11_repeated_run_logs_once",
+    "alert_code:s severity:s message:s resolved:i",
+    "SELECT 'A5' AS alert_code, 'MEDIUM' AS severity, movement_id AS message, 0 AS resolved FROM fx_bank WHERE CAST(abs(amount) AS DOUBLE) > 3 * (SELECT CAST(sum(abs(amount)) AS DOUBLE) / count(*) FROM fx_bank)",
+)
+def _(fx):
+    from ledgerflow.operators.alerts import anomalous_movements
+
+    odd = anomalous_movements(fx.bank()).select(
+        F.lit("A5").alias("code"), F.lit("MEDIUM").alias("severity"), F.col("movement_id").alias("message"), F.lit(True).alias("triggered")
+    )
+    folder = fresh_path(fx.spark, "log")
+    sinks.save_alerts(fx.spark, odd, folder, token="run-1")
+    return sinks.save_alerts(fx.spark, odd, folder, token="run-1")
+
+
 @query("s12_append_rows", "movement_id:s amount:m", "SELECT movement_id, amount FROM fx_bank UNION ALL SELECT 'M-' || movement_id, amount FROM fx_bank WHERE amount < 0")
 def _(fx):
     folder = fresh_path(fx.spark, "appended")
@@ -330,6 +386,19 @@ def _(fx):
     return fx.spark.read.json(path).select("model_metrics.mae", "benchmark_metrics.naive_mae", "model_metrics.n_evaluations")
 
 
+@query(
+    "s14_json_config",
+    "growth:s seasonality_mode:s yearly_order:i weekly_order:i changepoints:i changepoint_prior_scale:f4 interval_level:f4 horizon_days:i days:i",
+    """SELECT 'linear' AS growth, 'multiplicative' AS seasonality_mode, 10 AS yearly_order, 3 AS weekly_order, 25 AS changepoints, 0.05 AS changepoint_prior_scale,
+     0.80 AS interval_level, 90 AS horizon_days, count(*) AS days FROM v_full""",
+)
+def _(fx):
+    path = fresh_path(fx.spark, "model_config.json")
+    sinks.save_json(sinks.config_document(fx.spark, ModelConfig()), path)
+    days = series.target_series(series.cash_flow_daily(fx.bank())).agg(F.count("*").alias("days"))
+    return attach_stats(fx.spark.read.json(path), days, [])
+
+
 @query("s15_row_counts", "dataset:s rows:i", _counts({"cash_flow_daily": "v_cash", "forecast": "v_fc", "invoices": "v_invoices", "crm_deals": "v_deals"}))
 def _(fx):
     daily = series.cash_flow_daily(fx.bank())

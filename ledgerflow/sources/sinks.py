@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import re
 import uuid
 from collections.abc import Mapping, Sequence
 
@@ -36,32 +38,82 @@ def conform(df: DataFrame, name: str, spark: SparkSession) -> DataFrame:
     )
 
 
+def _staged(spark: SparkSession, df: DataFrame, name: str, path: str, check_key: bool) -> None:
+    """Evaluate and write a table once; if its key is not unique in what was written, remove it and raise."""
+    conform(df, name, spark).write.parquet(path)
+    if check_key and name in PRIMARY_KEY:
+        if duplicate_keys(spark.read.schema(TABLES[name]).parquet(path), PRIMARY_KEY[name]).limit(1).count():
+            _files(spark, path).delete(_path(spark, path), True)
+            raise ValueError(f"{name}: key {PRIMARY_KEY[name]} is not unique")
+
+
+def load_tables(
+    spark: SparkSession, datasets: Mapping[str, DataFrame], folder: str, database: str | None = None, check_key: bool = True
+) -> dict[str, DataFrame]:
+    """Replace several tables at once.
+
+    Every table is written to a folder of this load and its key checked there. Then one rename puts the load's list of
+    tables in place: a reader (:func:`open_tables`) sees all of them or none, and a failed load leaves the set as it was.
+    Tables that the load does not hold stay. Named tables of ``database`` are pointed at the load afterwards, one by one.
+    """
+    base, version = folder.rstrip("/"), uuid.uuid4().hex
+    names = [name for name in datasets if name in TABLES]
+    for name in names:
+        _staged(spark, datasets[name], name, f"{base}/loads/{version}/{name}", check_key)
+    last, held = _current(spark, base)
+    _put(spark, f"{base}/_sets/{last + 1:012d}", json.dumps({**held, **{name: f"loads/{version}/{name}" for name in names}}))
+    loaded = {name: spark.read.schema(TABLES[name]).parquet(f"{base}/loads/{version}/{name}") for name in names}
+    if database:
+        for name in names:
+            spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+            spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{name}`")
+            spark.catalog.createTable(f"{database}.{name}", path=f"{base}/loads/{version}/{name}", source="parquet", schema=loaded[name].schema)
+            loaded[name] = spark.table(f"{database}.{name}")
+    return loaded
+
+
 def load_table(
     spark: SparkSession, df: DataFrame, name: str, folder: str, check_key: bool = True, database: str | None = None
 ) -> DataFrame:
-    """Replace an external table under ``folder``, named ``database.name`` when a database is given.
+    """Replace one table under ``folder``, named ``database.name`` when a database is given."""
+    return load_tables(spark, {name: df}, folder, database, check_key)[name]
 
-    The input is evaluated once, into a folder of its own; the key is checked on what was written. Only then does it
-    take the table's place, so a failed check leaves the old table as it was.
-    """
-    version = uuid.uuid4().hex
-    fresh, path = f"{folder.rstrip('/')}/.loading/{version}", f"{folder.rstrip('/')}/{name}/{version}"
-    conform(df, name, spark).write.parquet(fresh)
-    if check_key and name in PRIMARY_KEY:
-        if duplicate_keys(spark.read.schema(TABLES[name]).parquet(fresh), PRIMARY_KEY[name]).limit(1).count():
-            _files(spark, fresh).delete(_path(spark, fresh), True)
-            raise ValueError(f"{name}: key {PRIMARY_KEY[name]} is not unique")
-    files = _files(spark, path)
-    files.mkdirs(_path(spark, path).getParent())
-    if not files.rename(_path(spark, fresh), _path(spark, path)):
-        raise OSError(f"{fresh} can't be moved to {path}")
-    written = spark.read.schema(TABLES[name]).parquet(path)
-    if database:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
-        spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{name}`")
-        spark.catalog.createTable(f"{database}.{name}", path=path, source="parquet", schema=written.schema)
-        return spark.table(f"{database}.{name}")
-    return written
+
+def open_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """The tables of the last finished load; a load that goes on or failed is not seen."""
+    base = folder.rstrip("/")
+    return {name: spark.read.schema(TABLES[name]).parquet(f"{base}/{place}") for name, place in _current(spark, base)[1].items()}
+
+
+def _current(spark: SparkSession, base: str) -> tuple[int, dict[str, str]]:
+    """Number and content of the newest list of tables; 0 and nothing before the first load."""
+    names = [n for n in _listed(spark, f"{base}/_sets") if n.isdigit()]
+    if not names:
+        return 0, {}
+    newest = max(names)
+    stream = _files(spark, base).open(_path(spark, f"{base}/_sets/{newest}"))
+    try:
+        return int(newest), json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+
+
+def _listed(spark: SparkSession, folder: str) -> list[str]:
+    files = _files(spark, folder)
+    return [s.getPath().getName() for s in files.listStatus(_path(spark, folder))] if files.exists(_path(spark, folder)) else []
+
+
+def _put(spark: SparkSession, path: str, text: str) -> None:
+    """Create a small file by a rename, so that it is there whole or not at all; raise if the name is taken."""
+    files, target = _files(spark, path), _path(spark, path)
+    draft = _path(spark, f"{target.getParent().toString()}/.{uuid.uuid4().hex}")
+    files.mkdirs(target.getParent())
+    stream = files.create(draft, False)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    if files.exists(target) or not files.rename(draft, target):
+        files.delete(draft, False)
+        raise FileExistsError(f"{path} was written meanwhile")
 
 
 def _path(spark: SparkSession, path: str):
@@ -72,20 +124,35 @@ def _files(spark: SparkSession, path: str):
     return _path(spark, path).getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def load_tables(spark: SparkSession, datasets: Mapping[str, DataFrame], folder: str, database: str | None = None) -> dict[str, DataFrame]:
-    return {name: load_table(spark, df, name, folder, database=database) for name, df in datasets.items() if name in TABLES}
-
+def append_rows(spark: SparkSession, rows: DataFrame | Sequence[tuple], name: str, folder: str, token: str | None = None) -> DataFrame:
+    """Append a batch to a table and return the table.
 
-def append_rows(spark: SparkSession, rows: DataFrame | Sequence[tuple], name: str, folder: str) -> DataFrame:
-    """Append a batch to a table and return the table."""
-    path = f"{folder.rstrip('/')}/{name}"
-    batch = rows if isinstance(rows, DataFrame) else spark.createDataFrame(list(rows), TABLES[name])
-    conform(batch, name, spark).write.mode("append").parquet(path)
-    return spark.read.schema(TABLES[name]).parquet(path)
-
-
-def save_alerts(spark: SparkSession, alerts: DataFrame, folder: str) -> DataFrame:
-    """Append triggered alerts with the time and ``resolved = 0``."""
+    A batch is named by its ``token`` (a run's id; a new one if none is given), and counts once its marker is there. The same
+    token again changes nothing, so a run can be repeated; without the marker, as after a crash, the batch is written anew.
+    """
+    base = f"{folder.rstrip('/')}/{name}"
+    token = token or uuid.uuid4().hex
+    if not re.fullmatch(r"[A-Za-z0-9][A-Za-z0-9._-]*", token):
+        raise ValueError(f"not a token: {token!r}")
+    if token not in _listed(spark, f"{base}/_committed"):
+        batch = rows if isinstance(rows, DataFrame) else spark.createDataFrame(list(rows), TABLES[name])
+        conform(batch, name, spark).write.mode("overwrite").parquet(f"{base}/batch={token}")
+        try:
+            _put(spark, f"{base}/_committed/{token}", "")
+        except FileExistsError:
+            pass  # the same batch was committed meanwhile
+    return appended(spark, name, folder)
+
+
+def appended(spark: SparkSession, name: str, folder: str) -> DataFrame:
+    """The committed batches of a table that grows by :func:`append_rows`."""
+    base = f"{folder.rstrip('/')}/{name}"
+    paths = [f"{base}/batch={t}" for t in sorted(_listed(spark, f"{base}/_committed")) if not t.startswith(".")]
+    return spark.read.schema(TABLES[name]).parquet(*paths) if paths else spark.createDataFrame([], TABLES[name])
+
+
+def save_alerts(spark: SparkSession, alerts: DataFrame, folder: str, token: str | None = None) -> DataFrame:
+    """Append triggered alerts with the time and ``resolved = 0``; the same ``token`` logs them once."""
     stamped = alerts.where("triggered").select(
         F.col("code").alias("alert_code"),
         "severity",
@@ -93,7 +160,7 @@ def save_alerts(spark: SparkSession, alerts: DataFrame, folder: str) -> DataFram
         F.current_timestamp().alias("triggered_at"),
         F.lit(0).alias("resolved"),
     )
-    return append_rows(spark, stamped, "alerts", folder)
+    return append_rows(spark, stamped, "alerts", folder, token)
 
 
 def save_json(df: DataFrame, path: str) -> None:

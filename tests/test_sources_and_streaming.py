@@ -310,3 +310,50 @@ def test_one_file_with_line_breaks_is_read_by_many_tasks(spark, tmp_path, monkey
     assert {k: (t or "", z or "", m) for k, (t, z, m) in got.items() if int(k) < 77 or 79 < int(k)} == {a: (b, c, False) for a, b, c in rows if int(a) < 77 or 79 < int(a)}
     assert got["77"] == (None, None, True) and got["78"] == ("a", "b", True) and got["79"][2] and got["79"][0].startswith("open")
     assert order[:300] == [r[0] for r in rows] and counts == [("movements.csv", 303, 3)]
+
+
+ALERT = ("A1", "HIGH", "m", None, 0)
+
+
+def test_append_counts_a_token_once_and_survives_a_crash(spark, tmp_path, monkeypatch):
+    folder = str(tmp_path)
+    assert sinks.appended(spark, "alerts", folder).count() == 0
+    assert sinks.append_rows(spark, [ALERT], "alerts", folder, "run-1").count() == 1
+    assert sinks.append_rows(spark, [ALERT, ALERT], "alerts", folder, "run-1").count() == 1
+
+    def crash(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(sinks, "_put", crash)
+        with pytest.raises(RuntimeError):
+            sinks.append_rows(spark, [ALERT, ALERT], "alerts", folder, "run-2")
+    assert sinks.appended(spark, "alerts", folder).count() == 1  # written, but not committed
+    assert sinks.append_rows(spark, [ALERT, ALERT], "alerts", folder, "run-2").count() == 3
+    assert sinks.append_rows(spark, [ALERT], "alerts", folder).count() == 4
+    with pytest.raises(ValueError, match="not a token"):
+        sinks.append_rows(spark, [ALERT], "alerts", folder, "../x")
+
+
+def test_tables_of_a_load_appear_together(spark, tmp_path, monkeypatch):
+    folder = str(tmp_path)
+    one = spark.createDataFrame([("D1",)], "deal_id string")
+    two = spark.createDataFrame([("I1",)], "invoice_id string")
+    sinks.load_tables(spark, {"crm_deals": one, "invoices": two}, folder)
+    seen = []
+    real = sinks._staged
+
+    def watched(*args):
+        real(*args)
+        seen.append({n: df.count() for n, df in sinks.open_tables(spark, folder).items()})
+
+    with monkeypatch.context() as patched:
+        patched.setattr(sinks, "_staged", watched)
+        sinks.load_tables(spark, {"crm_deals": one.union(spark.createDataFrame([("D2",)], "deal_id string")), "invoices": two.limit(0)}, folder)
+    assert seen == [{"crm_deals": 1, "invoices": 1}] * 2
+    assert {n: df.count() for n, df in sinks.open_tables(spark, folder).items()} == {"crm_deals": 2, "invoices": 0}
+    with pytest.raises(ValueError, match="not unique"):
+        sinks.load_tables(spark, {"invoices": two, "crm_deals": one.union(one)}, folder)
+    assert {n: df.count() for n, df in sinks.open_tables(spark, folder).items()} == {"crm_deals": 2, "invoices": 0}
+    assert sinks.load_table(spark, two, "invoices", folder).count() == 1
+    assert {n: df.count() for n, df in sinks.open_tables(spark, folder).items()} == {"crm_deals": 2, "invoices": 1}
