@@ -52,22 +52,27 @@ def load_tables(
 ) -> dict[str, DataFrame]:
     """Replace several tables at once.
 
-    Every table is written to a folder of this load and its key checked there. Then one rename puts the load's list of
-    tables in place: a reader (:func:`open_tables`) sees all of them or none, and a failed load leaves the set as it was.
+    Every table is written to a folder of this load and its key checked there, then moved to a place that nothing names yet. One
+    rename then puts the load's list of tables in place: a reader (:func:`open_tables`) sees all of them or none, and a failed load leaves the set as it was.
     Tables that the load does not hold stay. Named tables of ``database`` are pointed at the load afterwards, one by one.
     """
     base, version = folder.rstrip("/"), uuid.uuid4().hex
     names = [name for name in datasets if name in TABLES]
     for name in names:
-        _staged(spark, datasets[name], name, f"{base}/loads/{version}/{name}", check_key)
+        _staged(spark, datasets[name], name, f"{base}/.loading/{version}/{name}", check_key)
+    for name in names:
+        files, target = _files(spark, base), _path(spark, f"{base}/{name}/{version}")
+        files.mkdirs(target.getParent())
+        if not files.rename(_path(spark, f"{base}/.loading/{version}/{name}"), target):
+            raise OSError(f"{name} can't be moved to {target.toString()}")
     last, held = _current(spark, base)
-    _put(spark, f"{base}/_sets/{last + 1:012d}", json.dumps({**held, **{name: f"loads/{version}/{name}" for name in names}}))
-    loaded = {name: spark.read.schema(TABLES[name]).parquet(f"{base}/loads/{version}/{name}") for name in names}
+    _put(spark, f"{base}/_sets/{last + 1:012d}", json.dumps({**held, **{name: f"{name}/{version}" for name in names}}))
+    loaded = {name: spark.read.schema(TABLES[name]).parquet(f"{base}/{name}/{version}") for name in names}
     if database:
         for name in names:
             spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
             spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{name}`")
-            spark.catalog.createTable(f"{database}.{name}", path=f"{base}/loads/{version}/{name}", source="parquet", schema=loaded[name].schema)
+            spark.catalog.createTable(f"{database}.{name}", path=f"{base}/{name}/{version}", source="parquet", schema=loaded[name].schema)
             loaded[name] = spark.table(f"{database}.{name}")
     return loaded
 
