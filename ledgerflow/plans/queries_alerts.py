@@ -4,10 +4,12 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from ledgerflow.config import Thresholds
+from ledgerflow.config import ModelConfig, Thresholds
 from ledgerflow.operators import alerts, forecast, kpi, series
+from ledgerflow.plans.oracle_full import full_model
 from ledgerflow.plans.queries_kpi import daily, daily_acc, forecast_of, stored_daily_acc
 from ledgerflow.plans.registry import query
+from ledgerflow.sources.shared import store
 
 ACCOUNT = ["bank_account"]
 ALERT = "bank_account:s code:s severity:s message:s triggered:b"
@@ -105,6 +107,20 @@ def _(fx):
     return checked(fx)
 
 
+@query(
+    "l05_check_all_full_model",
+    "bank_account:s code:s severity:s triggered:b",
+    f"SELECT bank_account, code, severity, triggered FROM ({CHECKED}) c",
+    **full_model("v_hist_acc", ModelConfig(), "bank_account"),
+    **(PARTS | {"ahead": AHEAD.replace("v_fc_acc", "full_ahead")}),
+)
+def _(fx):
+    days = stored_daily_acc(fx)
+    model = store(forecast.fit_full(series.target_series(days, keys=ACCOUNT), ACCOUNT), "model")
+    value = forecast.forecast_at(forecast.predict_full(model, ACCOUNT), ACCOUNT, as_of=series.latest_day(days, ACCOUNT))
+    return alerts.check_all(days, kpi.current_balance(days, ACCOUNT), value, ACCOUNT, STRICT)
+
+
 @query("l06_alert_messages", "bank_account:s message:s", f"SELECT bank_account, message FROM ({CHECKED}) c", **PARTS)
 def _(fx):
     return checked(fx).select("bank_account", "message")

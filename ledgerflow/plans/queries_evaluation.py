@@ -2,8 +2,10 @@
 
 from pyspark.sql import functions as F
 
+from ledgerflow.config import ModelConfig
 from ledgerflow.functions.measures import mape_grade
 from ledgerflow.operators import evaluate, forecast
+from ledgerflow.plans.oracle_full import full_model
 from ledgerflow.plans.queries_forecast import account_history, evaluation_parts, split
 from ledgerflow.plans.queries_kpi import forecast_of, stored_daily
 from ledgerflow.plans.registry import query
@@ -108,6 +110,19 @@ def _(fx):
     return evaluate.evaluation_report(test, ahead)
 
 
+@query(
+    "e08_report_full_model",
+    "mae:f-3 mape:f1 naive_mae:f0 naive_mape:f2 n_evaluations:i",
+    f"""SELECT m.mae, m.mape, n.mae AS naive_mae, n.mape AS naive_mape, n_evaluations
+     FROM (SELECT {MAE} AS mae, {MAPE} AS mape, count(*) AS n_evaluations FROM v_test t JOIN full_ahead f ON t.ds = f.ds) m,
+      (SELECT round({MAE}, 2) AS mae, round({MAPE}, 2) AS mape FROM ({STEPS}) s) n""",
+    **full_model("v_train", ModelConfig()),
+)
+def _(fx):
+    train, test = split(fx)
+    return evaluate.evaluation_report(test, forecast.predict_full(forecast.fit_full(train)))
+
+
 @query(
     "e08_report_same_days",
     "mae:f0 naive_mae:f0 mae_improvement:f1",

@@ -4,8 +4,10 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
+from ledgerflow.config import ModelConfig
 from ledgerflow.functions.measures import code_risk_band, spec_risk_band
 from ledgerflow.operators import clean, forecast, kpi, series
+from ledgerflow.plans.oracle_full import full_model
 from ledgerflow.plans.queries_cleaning import AS_OF
 from ledgerflow.plans.queries_forecast import full_forecast
 from ledgerflow.plans.registry import query
@@ -102,6 +104,21 @@ def _(fx):
     return kpi.kpi_row(days, forecast_of(days))
 
 
+@query(
+    "k06_kpi_row_full_model",
+    "bank_account:s report_date:d current_cash_balance:m forecast_90d:f-3 liquidity_risk:s",
+    f"""SELECT t.bank_account, t.today AS report_date, t.balance AS current_cash_balance, f.ahead AS forecast_90d, {BAND.format(v="f.ahead", h=25000, m=50000)} AS liquidity_risk
+     FROM (SELECT bank_account, max(date) AS today, round(max_by(cash_balance, date), 2) AS balance FROM v_cash_acc GROUP BY bank_account) t
+     JOIN (SELECT f.bank_account, min_by(f.yhat, row(abs(date_diff('day', f.ds, t.today + 90)), f.ds)) AS ahead FROM full_ahead f
+      JOIN (SELECT bank_account, max(date) AS today FROM v_cash_acc GROUP BY bank_account) t ON f.bank_account = t.bank_account GROUP BY f.bank_account) f ON f.bank_account = t.bank_account""",
+    **full_model("v_hist_acc", ModelConfig(), "bank_account"),
+)
+def _(fx):
+    days = stored_daily_acc(fx)
+    model = store(forecast.fit_full(series.target_series(days, keys=ACCOUNT), ACCOUNT), "model")
+    return kpi.kpi_row(days, forecast.predict_full(model, ACCOUNT), ACCOUNT)
+
+
 @query(
     "k06_kpi_row_by_account",
     "bank_account:s report_date:d current_cash_balance:m forecast_90d:f0 liquidity_risk:s",
