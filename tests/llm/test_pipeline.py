@@ -105,4 +105,4 @@ def test_registered_queries(spark):
 
     names = set(entry.queries())
     assert {"pipeline"} | {n for n in names if n.startswith("op")} <= names
-    assert sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op")) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op")) == list(range(1, 14))
