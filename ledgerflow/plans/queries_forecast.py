@@ -137,7 +137,7 @@ def known_regressors(fx, real, horizon):
     return forecast.known_before(out, means, "known", ["rolling_mean_7d"], lag=horizon)
 
 
-@query("f05_known_regressors", "ds:d interest_rate:f4 rolling_mean_7d:f2", "SELECT * FROM given", given=GIVEN)
+@query("f05_known_regressors", "ds:d interest_rate:f4 rolling_mean_7d:f-3", "SELECT * FROM given", given=GIVEN)
 def _(fx):
     return known_regressors(fx, history(fx), ModelConfig().horizon_days)
 
@@ -154,7 +154,7 @@ def _(fx):
 
 @query(
     "f05_values_known_later",
-    "ds:d known:d rolling_mean_7d:f2",
+    "ds:d known:d rolling_mean_7d:f-3",
     """SELECT f.ds, m.ds AS known, m.rolling_mean_7d FROM v_full f ASOF JOIN
      (SELECT ds, avg(y) OVER (ORDER BY ds ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS rolling_mean_7d FROM v_full) m ON f.ds - 60 >= m.ds""",
 )
