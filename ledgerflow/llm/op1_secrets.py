@@ -14,10 +14,13 @@ every part between them is a run of its own besides the whole. A whole that mixe
 alphabet: there the parts between the signs of one pair, which keep the other pair, are runs too, and count where no smaller run
 inside them is found. Runs that are found and overlap are one span.
 
-Both passes are narrow: no text is shuffled and a document is a row of its own, repeated or not.
+One pattern finds the runs of key characters that hold a letter and a digit; the cuts at signs then work on these few short runs, not on
+the text. All passes are narrow: no text is shuffled and a document is a row of its own, repeated or not. ``secret_spans`` scans the texts once
+and stores what it found beside the other columns; ``find_secrets``, which keeps the texts, looks for runs in a pass of its own first.
 
 Rules: a null text is empty and has no spans; positions are code points, end exclusive; an overlong run is tested whole; spans
-of different kinds may overlap. An empty table gives an empty result.
+of different kinds may overlap. An empty table gives an empty result. A column ``secrets`` of the input is replaced; columns whose names start
+with two underscores are the operator's own (``redact`` packs the row first, so there any name may occur).
 """
 
 from __future__ import annotations
@@ -27,6 +30,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ledgerflow.llm.frames import documents
+from ledgerflow.sources.shared import store
 
 #: The patterns of the base kinds.
 ASSIGN = (
@@ -52,7 +56,9 @@ MIN_BITS = 80.0
 #: Fewer symbols can't reach MIN_BITS, even of the largest alphabet.
 SHORTEST = math.ceil(MIN_BITS / math.log2(max(len(symbols) for _, symbols in ENCODINGS.values())))
 _PAD = r"(?:=+(?![A-Za-z0-9+/_=-]))?"
-#: Runs by column: between all signs; whole; between ``-`` and ``_``; between ``/`` and ``+``. The last two are parts of mixed runs. No run is in two columns.
+#: Whole stretches of key characters with a digit and a letter; every run lies in one, as no alphabet is inferred without both.
+KEY = rf"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])(?=[0-9+/_-]*+[A-Za-z])[A-Za-z0-9+/_-]{{{SHORTEST},}}+{_PAD}"
+#: Runs inside a stretch, by name: between all signs; whole; between ``-`` and ``_``; between ``/`` and ``+``. The last two are parts of mixed runs. No run is in two columns.
 RUNS = {
     "__plain": rf"(?<![A-Za-z0-9])[A-Za-z0-9]{{{SHORTEST},}}+{_PAD}",
     "__whole": rf"(?<![A-Za-z0-9+/_-])(?=[A-Za-z0-9]*[+/_-])(?:[A-Za-z0-9+/]{{{SHORTEST},}}+|[A-Za-z0-9_-]{{{SHORTEST},}}+)(?![A-Za-z0-9+/_-]){_PAD}",
@@ -65,24 +71,27 @@ LEAST_P = 1e-30
 _BLOCK = 512
 
 
-def _placed(text: str, pattern: str, group: int) -> Column:
+def _matches(text: Column, pattern: str, group: int = 0) -> Column:
     """Array of (before: characters since the last match, size, size of the group, match), in order."""
     rx = F.lit(pattern)
-    before = F.transform(F.split(F.col(text), pattern, -1), F.length)
-    whole = F.regexp_extract_all(F.col(text), rx, F.lit(0))
-    inner = F.regexp_extract_all(F.col(text), rx, F.lit(group)) if group else whole
-    rows = F.arrays_zip(
+    before = F.transform(F.split(text, pattern, -1), F.length)
+    whole = F.regexp_extract_all(text, rx, F.lit(0))
+    inner = F.regexp_extract_all(text, rx, F.lit(group)) if group else whole
+    return F.arrays_zip(
         F.slice(before, 1, F.size(whole)).alias("before"),
         F.transform(whole, F.length).alias("size"),
         F.transform(inner, F.length).alias("inner"),
         whole.alias("match"),
     )
-    return F.when(F.col(text).rlike(pattern), rows)
 
 
-def _with_starts(column: str) -> Column:
+def _placed(text: str, pattern: str, group: int) -> Column:
+    return F.when(F.col(text).rlike(pattern), _matches(F.col(text), pattern, group))
+
+
+def _starts(column: str) -> str:
     """Places from running sums, in blocks: appending to an array copies it, so long arrays are not built in one go."""
-    return F.expr(f"""
+    return f"""
         CASE WHEN size({column}) > 0 THEN flatten(zip_with(
             sequence(0, (size({column}) - 1) div {_BLOCK}),
             aggregate(
@@ -97,7 +106,7 @@ def _with_starts(column: str) -> Column:
                 (a, x) -> named_struct('at', a.at + x.before + x.size, 'all', concat(a.all, array(
                     named_struct('start', a.at + x.before, 'stop', a.at + x.before + x.size, 'inner', x.inner, 'match', x.match)))),
                 a -> a.all)))
-        ELSE cast(array() as array<struct<start:bigint,stop:bigint,inner:int,match:string>>) END""")
+        ELSE cast(array() as array<struct<start:bigint,stop:bigint,inner:int,match:string>>) END"""
 
 
 def _spans(found: Column, kind: int) -> Column:
@@ -172,26 +181,33 @@ def _bin(p: Column) -> Column:
     return F.least(F.floor(-F.log10(p) * 10), F.lit(300)).cast("int")
 
 
+def _cut(docs: DataFrame) -> DataFrame:
+    """Replace the stretches ``__keys`` by the runs inside them, ``__runs``, placed in the text."""
+    parts = [c.strip("_") for c in RUNS]
+    found = docs.withColumn("__keys", F.transform("__keys", lambda y: F.struct(
+        y["start"].alias("at"), *[_matches(y["match"], rx).alias(c) for c, rx in zip(parts, RUNS.values())])))
+    placed = found.withColumn("__keys", F.expr(f"transform(__keys, y -> named_struct('at', y.at, {', '.join(f'{c!r}, ' + _starts(f'y.{c}') for c in parts)}))"))
+    marked = [f"transform(y.{c}, x -> named_struct('start', y.at + x.start, 'stop', y.at + x.stop, 'part', {c in ('base64', 'base64url')}, 'match', x.match))" for c in parts]
+    return placed.withColumn("__runs", F.expr(f"flatten(transform(__keys, y -> concat({', '.join(marked)})))")).drop("__keys")
+
+
 def _scored(docs: DataFrame, text: str, base: bool) -> DataFrame:
     """Add the arrays ``__assign``, ``__access``, ``__hex`` (places) and ``__runs`` (places with p-values).
 
     Each step is a projection of its own: it is used several times by the next.
     """
     wanted = {"__assign": (ASSIGN, 2), "__access": (ACCESS, 0), "__hex": (HEX, 0)} if base else {}
-    wanted |= {c: (rx, 0) for c, rx in RUNS.items()}
+    wanted |= {"__keys": (KEY, 0)}
     found = docs.withColumns({c: _placed(text, rx, g) for c, (rx, g) in wanted.items()})
-    placed = found.withColumns({c: _with_starts(c) for c in wanted})
-    marked = [f"transform({c}, x -> named_struct('start', x.start, 'stop', x.stop, 'part', {c in ('__base64', '__base64url')}, 'match', x.match))" for c in RUNS]
-    placed = placed.withColumn("__runs", F.expr(f"concat({', '.join(marked)})")).drop(*RUNS)
+    placed = _cut(found.withColumns({c: F.expr(_starts(c)) for c in wanted}))
     for step in (_inferred, _values, _sums):
         placed = placed.withColumn("__runs", step("__runs"))
     tested = F.transform(F.filter("__runs", lambda x: x["n"] * F.log2(x["k"]) >= MIN_BITS), lambda x: F.struct(x["start"], x["stop"], x["part"], _length_class(x["n"]).alias("class"), _bin(_p(x)).alias("bin")))
     return placed.withColumn("__runs", tested)
 
 
-def dismissal_bins(docs: DataFrame, text: str = "text", level: float = LEVEL) -> dict[int, int]:
-    """Benjamini-Hochberg per length class over all rows: the lowest bin that is dismissed as structured."""
-    runs = _scored(docs.select(text), text, base=False).select(F.explode("__runs").alias("x")).groupBy("x.class", "x.bin").count()
+def _dismissed(scored: DataFrame, level: float) -> dict[int, int]:
+    runs = scored.select(F.explode("__runs").alias("x")).groupBy("x.class", "x.bin").count()
     upward = Window.partitionBy("class").orderBy(F.desc("bin"))
     whole = Window.partitionBy("class")
     # a bin's largest p-value is 10^(-bin / 10)
@@ -200,6 +216,12 @@ def dismissal_bins(docs: DataFrame, text: str = "text", level: float = LEVEL) ->
     return {r["class"]: r["bin"] for r in passed.groupBy("class").agg(F.min("bin").alias("bin")).collect()}
 
 
+def dismissal_bins(docs: DataFrame, text: str = "text", level: float = LEVEL) -> dict[int, int]:
+    """Benjamini-Hochberg per length class over all rows: the lowest bin that is dismissed as structured."""
+    with_keys = docs.select(text).where(F.col(text).rlike(KEY))
+    return _dismissed(store(_scored(with_keys, text, base=False).select("__runs"), "runs"), level)
+
+
 def _joined(spans: str) -> str:
     """Sorted spans; those that overlap are one."""
     return f"""aggregate({spans}, cast(array() as array<struct<start:bigint,stop:bigint>>), (a, s) ->
@@ -208,10 +230,8 @@ def _joined(spans: str) -> str:
            concat(a, array(named_struct('start', s.start, 'stop', s.stop)))))"""
 
 
-def find_secrets(docs: DataFrame, text: str = "text", level: float = LEVEL) -> DataFrame:
-    """Add ``secrets``: array of (start, kind, stop), by start, then kind (0 assign, 1 access, 2 hex, 3 random)."""
-    bins = dismissal_bins(docs, text, level)
-    scored = _scored(docs.withColumn("__text", F.col(text)), "__text", base=True)
+def _with_secrets(scored: DataFrame, bins: dict[int, int]) -> DataFrame:
+    """Turn the arrays of ``_scored`` into ``secrets``."""
 
     def undecided(x: Column) -> Column:
         ok = F.lit(True)
@@ -227,7 +247,19 @@ def find_secrets(docs: DataFrame, text: str = "text", level: float = LEVEL) -> D
     outer = F.filter("__runs", lambda x: x["part"] & ~F.exists("__fine", lambda y: (y["start"] >= x["start"]) & (y["stop"] <= x["stop"])))
     scored = scored.withColumn("__runs", F.sort_array(F.concat("__fine", outer)))
     own = _spans(F.expr(_joined("__runs")), 3)
-    return scored.withColumn("secrets", F.sort_array(F.concat(base, own))).drop("__text", "__assign", "__access", "__hex", "__runs", "__fine")
+    return scored.withColumn("secrets", F.sort_array(F.concat(base, own))).drop("__assign", "__access", "__hex", "__runs", "__fine")
+
+
+def find_secrets(docs: DataFrame, text: str = "text", level: float = LEVEL) -> DataFrame:
+    """Add ``secrets``: array of (start, kind, stop), by start, then kind (0 assign, 1 access, 2 hex, 3 random)."""
+    bins = dismissal_bins(docs, text, level)
+    return _with_secrets(_scored(docs.withColumn("__text", F.col(text)), "__text", base=True).drop("__text"), bins)
+
+
+def secret_spans(docs: DataFrame, text: str = "text", level: float = LEVEL) -> DataFrame:
+    """``secrets`` beside all columns but the text, which is scanned once."""
+    scored = store(_scored(docs, text, base=True).drop(text), "secret_spans")
+    return _with_secrets(scored, _dismissed(scored, level))
 
 
 def spelled(spans: Column) -> Column:
@@ -260,7 +292,7 @@ def redact(docs: DataFrame, text: str = "text", mark: str = "<secret>", level: f
 
 
 def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = find_secrets(documents(spark, sf_dir).select("doc_id", "text"))
+    found = secret_spans(documents(spark, sf_dir).select("doc_id", "text"))
     count = lambda kind: F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("bigint")
     return found.select(
         "doc_id",

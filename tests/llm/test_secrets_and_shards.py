@@ -1,4 +1,5 @@
 import base64
+import math
 import random
 
 import numpy as np
@@ -123,3 +124,49 @@ def test_keys_after_a_name_or_in_a_path_are_tested(spark):
     assert all(sum(hit[at::6][:20]) >= 18 for at in range(6))
     assert sum(hit[120:160]) >= 36 and sum(hit[160:]) >= 32
     assert not [i for i in range(len(texts), len(texts + plain)) if spans[i]]
+
+
+def test_one_scan_gives_the_same_secrets(spark, odd_documents, no_documents):
+    rng = random.Random(3)
+    parts = ["/", "+", "-", "_", "=", "==", " ", "a1b2c3d4e5f6g7h8", "Zx9", "0123456789abcdef0123", "http://x.y/", "KEY=", "é", "wJalrXUtnFEMI", "K7MDENGbPxRfiCYEXAMPLEKEY"]
+    df = spark.createDataFrame([(i, "".join(rng.choice(parts) for _ in range(rng.randrange(40)))) for i in range(400)], "doc_id bigint, text string")
+    for docs in (df, odd_documents, no_documents):
+        once = op1_secrets.secret_spans(docs)
+        assert sorted(map(str, once.collect())) == sorted(map(str, op1_secrets.find_secrets(docs).drop("text").collect()))
+
+
+def plain_p(core, symbols):
+    """Fisher's joint p-value of the three tests, in plain Python."""
+    n, k = len(core), len(symbols)
+    v = [symbols.index(c) + 1 for c in core]
+    even = (sum(v.count(s + 1) ** 2 for s in range(k)) * k / n - n - (k - 1)) / math.sqrt(2 * (k - 1) * (1 - 1 / n))
+    low = sum(2 * x <= k for x in v)
+    mean = 1 + 2 * low * (n - low) / n
+    spread = math.sqrt(max((mean - 1) * (mean - 2) / (n - 1), 0))
+    turns = sum((2 * x <= k) != (2 * y <= k) for x, y in zip(v, v[1:]))
+    variance = sum(x * x for x in v) - sum(v) ** 2 / n
+    lag = sum(x * y for x, y in zip(v, v[1:] + v[:1]))
+    z = [max(even, 0), (turns + 1 - mean) / spread if spread else 40, ((lag - sum(v) ** 2 / n) / variance + 1 / (n - 1)) * math.sqrt(n) if variance > 0 else 40]
+    joined = -sum(math.log(min(max(math.erfc(abs(x) / math.sqrt(2)), op1_secrets.LEAST_P), 1)) for x in z)
+    return max(math.exp(-joined) * (1 + joined + joined**2 / 2), op1_secrets.LEAST_P)
+
+
+def test_p_values_and_false_discovery_control_equal_plain_versions(spark):
+    rng = random.Random(23)
+    symbols = op1_secrets.ENCODINGS["hex_lower"][1]
+    runs = ["".join(rng.choice(symbols) for _ in range(rng.randrange(21, 90))) for _ in range(150)]
+    runs += [("0123456789abcdef" * 9)[: rng.randrange(21, 140)] for _ in range(40)] + ["a1" * 15 + "b" * i for i in range(30)]
+    runs = [r for r in runs if any(c.isdigit() for c in r) and any(c.isalpha() for c in r)]
+    df = spark.createDataFrame([(i, f"x {r}!") for i, r in enumerate(runs)], "doc_id bigint, text string")
+    scored = {r.doc_id: r["__runs"][0] for r in op1_secrets._scored(df, "text", base=False).collect()}
+    bins = {}
+    for i, run in enumerate(runs):
+        exact = -10 * math.log10(plain_p(run, symbols))
+        assert abs(scored[i]["bin"] - exact) <= 1.01  # rounded down; the tail formula is good to 2e-7
+        bins.setdefault(sum(len(run) >= c for c in op1_secrets.LENGTH_CLASSES), []).append(scored[i]["bin"])
+    dismissed = {}
+    for c, all_bins in bins.items():
+        ok = [b for b in all_bins if 10 ** (-b / 10) <= op1_secrets.LEVEL * sum(x >= b for x in all_bins) / len(all_bins)]
+        if ok:
+            dismissed[c] = min(ok)
+    assert dismissed and op1_secrets.dismissal_bins(df) == dismissed
