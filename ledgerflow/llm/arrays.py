@@ -15,6 +15,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 SLICE_BYTES = 4 << 20
+#: For operators that hash every byte of a slice at once: some 40 bytes of arrays for each of them.
+HASHED_BYTES = 1 << 20
 _RNG = np.random.default_rng(20240607)
 _STEP = 1 << 16
 

@@ -13,7 +13,9 @@
    thousands of near copies costs a star, not all its pairs.
 
 Rules: null and wordless texts have no shingles, size 0, and are their own class; fewer than 4 words are one shingle; equal sets are
-linked; repeated rows (equal ids too) each give a row; an empty table gives an empty result. Sets are compared by 64-bit shingle
+linked; repeated rows (equal ids too) each give a row; a row with a null id is linked like any other, and its class is named by the least id that is
+not null (null where there is none); an empty table gives an empty result. Only the id and text columns are read, so other columns of any name may
+stand beside them. Texts of any length are cut whole. Sets are compared by 64-bit shingle
 hashes and named by 128 bits.
 """
 
@@ -92,14 +94,16 @@ def _repeats(text: str, size: int):
         total = 0
 
         def counted() -> pa.RecordBatch:
-            every = np.sort(np.concatenate(held))
+            every = np.concatenate(held)
+            held.clear()
+            every.sort()
             at = np.flatnonzero(np.r_[True, every[1:] != every[:-1]])
             n = np.diff(np.r_[at, len(every)])
             token = every[at[n > 1]].view(np.int64)
             return pa.RecordBatch.from_arrays([pa.array(token), pa.array(n[n > 1], pa.int64())], names=["token", "n"])
 
         for batch in batches:
-            for part in arrays.slices(batch, text):
+            for part in arrays.slices(batch, text, arrays.HASHED_BYTES):
                 hashed, bounds = shingle_sets(part.column(text), size)
                 for i, name in enumerate(set_names(hashed, bounds)):
                     if name not in seen:
@@ -108,7 +112,7 @@ def _repeats(text: str, size: int):
                         total += int(bounds[i + 1] - bounds[i])
                 if total >= STRETCH:
                     yield counted()
-                    held, seen, total = [], set(), 0
+                    seen, total = set(), 0
         if held:
             yield counted()
 
@@ -141,7 +145,7 @@ def _prefixes(text: str, size: int, percent: int, common, keep: str):
         listed = rarest_first[by_hash]
         seen: set[int] = set()
         for batch in batches:
-            for part in arrays.slices(batch, text):
+            for part in arrays.slices(batch, text, arrays.HASHED_BYTES):
                 hashed, bounds = shingle_sets(part.column(text), size)
                 sizes = np.diff(bounds)
                 names = set_names(hashed, bounds)
@@ -219,16 +223,22 @@ def _sets(docs: DataFrame, wanted: DataFrame, members: DataFrame, id_column: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in arrays.slices(batch, text):
+            for part in arrays.slices(batch, text, arrays.HASHED_BYTES):
                 hashed, bounds = shingle_sets(part.column(text), size)
                 listed = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(hashed.view(np.int64)))
                 yield pa.RecordBatch.from_arrays([pa.array(set_names(hashed, bounds), pa.binary()), listed], names=["set", "hashes"])
 
     one = store(members.join(wanted, "set").groupBy("set").agg(F.min(id_column).alias(id_column)), "chosen")
+    rows = one.agg(F.count("*").alias("all"), F.count(id_column).alias("named")).first()
     ids = one.select(id_column).distinct()
-    few = one.count() <= BROADCAST_ROWS
+    few = rows["all"] <= BROADCAST_ROWS
     chosen = docs.select(id_column, text).join(F.broadcast(ids) if few else ids, id_column, "left_semi")
-    found = chosen.select(text).mapInArrow(run, "set binary, hashes array<bigint>")
+    schema = "set binary, hashes array<bigint>"
+    found = chosen.select(text).mapInArrow(run, schema)
+    if rows["named"] < rows["all"]:  # sets that only rows without an id have
+        unnamed = docs.where(F.col(id_column).isNull()).select(text).mapInArrow(run, schema)
+        missing = one.where(F.col(id_column).isNull()).select("set")
+        found = found.union(unnamed.join(missing, "set", "left_semi").dropDuplicates(["set"]))
     return found.where(F.size("hashes") > 0)
 
 

@@ -278,7 +278,7 @@ def encode(docs: DataFrame, model_path: str | None = None, text: str = "text") -
     model = _model(model_path)
 
     def added(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, dict[str, pa.Array]]]:
-        for part in arrays.slices(batch, text):
+        for part in arrays.slices(batch, text, arrays.HASHED_BYTES):
             ids, bounds = _encoder(model).encode(part.column(text))
             listed = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32()))
             yield part, {"ids": listed, "n_tokens": pa.array(np.diff(bounds), pa.int64())}
@@ -307,7 +307,7 @@ def token_digests(docs: DataFrame, model_path: str | None = None, text: str = "t
 
     def added(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, dict[str, pa.Array]]]:
         encoder = _encoder(model)
-        for part in arrays.slices(batch, text):
+        for part in arrays.slices(batch, text, arrays.HASHED_BYTES):
             ids, bounds = encoder.encode(part.column(text))
             digits, at = encoder.spelled(ids, bounds)
             id_sha, text_sha, same = [], [], []

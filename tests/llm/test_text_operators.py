@@ -63,6 +63,26 @@ def test_longest_matches_are_verbatim(spark):
     assert row.hits == [1, 26]
 
 
+def test_items_that_share_windows_each_get_their_longest_match(spark):
+    shared = [f"w{i}" for i in range(13)]
+    longer = " ".join([*shared, "x1", "x2", "x3"])
+    bench = spark.createDataFrame([("i1", " ".join(shared)), ("i2", longer), ("i3", "other " + " ".join(shared)), (None, longer)], "item_id string, text string")
+    row = op7_decontaminate.find_matches(frame(spark, [longer, "no"]), bench).where("doc_id = 0").collect()[0]
+    want = [("i1", 0, 0, 13), ("i2", 0, 0, 16), ("i3", 1, 0, 13), (None, 0, 0, 16)]
+    assert sorted(map(str, (tuple(m) for m in row.matches))) == sorted(map(str, want))
+    assert row.item_ids == ["i1", "i2", "i3"] and row.n_hit == 16
+
+
+def test_rows_without_an_id_are_linked(spark):
+    words = [f"v{i}" for i in range(40)]
+    near = " ".join([*words[:-1], "other"])
+    alone = " ".join(f"u{i}" for i in range(40))
+    rows = [(None, " ".join(words)), (7, near), (9, near), (None, alone), (None, alone + " more"), (None, "")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").selectExpr("*", "'mine' AS hashes", "1 AS grp")
+    got = sorted(((r.doc_id, r.component_id) for r in op4_ngram_jaccard.classes(docs).collect()), key=str)
+    assert got == [(7, 7), (9, 7), (None, 7), (None, None), (None, None), (None, None)]
+
+
 def test_decontamination_keeps_columns_and_clean_rows(spark, odd_documents, no_documents):
     bench = spark.createDataFrame([(1, " ".join(["hund", "und", "die", "katze"]))], "item_id bigint, text string")
     out = op7_decontaminate.decontaminate(odd_documents, bench)
