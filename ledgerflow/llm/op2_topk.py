@@ -3,9 +3,9 @@
 Vectors are ``floor(64 x)``. All are rotated by the right singular vectors of the whole table (from the sum of
 outer products, dimension x dimension numbers), so the first coordinates hold most of every inner product. Candidates are
 range-partitioned by length, longest first, into chunks of about ``CHUNK_ROWS``. Each query gets a first threshold, its k-th best score among the
-``SEEDS`` longest vectors; lengths bound scores, so it is only sent to the chunks whose longest vector can still reach that. A query block
-and a chunk meet in one task, where the partial sums of ``HEAD`` and then ``2 HEAD`` coordinates, with the product of the remaining lengths as bound,
-drop candidates before the exact integer score is taken. The threshold only drops what cannot be among the k best, so results are exact.
+``SEEDS`` longest vectors; lengths bound scores, so it is only sent to the chunks whose longest vector can still reach that, and a chunk only to the
+query blocks with a query that reaches it. A query block and a chunk meet in one task, in products of ``SIDE`` queries and ``BLOCK`` candidates: the partial
+sums of ``HEAD`` and then ``2 HEAD`` coordinates, with the product of the remaining lengths as bound, drop pairs before the exact integer score is taken. The threshold only drops what cannot be among the k best, so results are exact.
 Where the product of two lengths reaches 2^52, 64-bit floats may round: there the score is only a bound, and what is left is scored in Python integers.
 
 Query set against all rows in blocks: the work is queries x candidates by nature, each block pair is bounded.
@@ -13,7 +13,7 @@ Query set against all rows in blocks: the work is queries x candidates by nature
 Rules: vectors that are null, or hold null, NaN or infinite components, take no part; all others do, however long. A listed score beyond a bigint, or
 lengths beyond a 64-bit float, raise an error, as the SQL does;
 shorter vectors are padded with zeros; repeated rows are candidates of each other (a query leaves out its own row only); equal scores go by
-smaller ``vec_id``, a null id last.
+smaller ``vec_id``, a null id last. A table without vectors or queries gives no rows. Other columns of the table are not read, so their names can't clash.
 """
 
 from __future__ import annotations
@@ -35,18 +35,22 @@ HEAD = 16
 CHUNK_ROWS = 8192
 MAX_CHUNKS = 1 << 16
 QUERY_BLOCK = 2048
+#: Candidates and queries that meet in one product: 8 MB a matrix.
+BLOCK = 2048
+SIDE = 512
 #: Products of lengths below this keep every partial sum exact in a 64-bit float.
 _EXACT = float(1 << 52)
 
 
-def prepared(table: DataFrame, vector: str, ids: str) -> DataFrame:
-    """``rid``, ``id``, ``v`` (integers, held as doubles) and ``norm2`` of the vectors that take part."""
+def prepared(table: DataFrame, vector: str, ids: str, is_query: Column) -> DataFrame:
+    """``rid``, ``id``, ``q`` (a query?), ``v`` (integers, held as doubles) and ``norm2`` of the vectors that take part."""
     x = F.col(vector)
     finite = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c.cast("double")) < float("inf")))
     # from 2^53 on a double is a whole number, which may not fit floor's bigint
     whole = lambda y: F.when(F.abs(y) < float(1 << 53), F.floor(y).cast("double")).otherwise(y)
     v = F.transform(x, lambda c: whole(c.cast("double") * 64))
-    rows = table.select(F.monotonically_increasing_id().alias("rid"), F.col(ids).alias("id"), F.when(x.isNotNull() & finite, v).alias("v"))
+    asks = F.coalesce(is_query, F.lit(False)).alias("q")
+    rows = table.select(F.monotonically_increasing_id().alias("rid"), F.col(ids).alias("id"), asks, F.when(x.isNotNull() & finite, v).alias("v"))
     return rows.where(F.col("v").isNotNull()).withColumn("norm2", F.aggregate("v", F.lit(0.0), lambda a, c: a + c * c))
 
 
@@ -106,50 +110,58 @@ def exact_scores(query: np.ndarray, vectors: np.ndarray) -> list[int]:
     return [int(s) if n < _EXACT else sum(a * int(b) for a, b in zip(q, v.tolist(), strict=True)) for s, n, v in zip(rough.tolist(), lengths.tolist(), vectors, strict=True)]
 
 
-def best(query: np.ndarray, own: int, least: float, rotation: np.ndarray, c: Candidates, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places of a query's k best (ties, and what rounding can't tell apart, kept whole) among the candidates that reach ``least``, and lower bounds of their scores.
+def best(queries: np.ndarray, own: np.ndarray, least: np.ndarray, rotation: np.ndarray, c: Candidates, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """Pairs (row of ``queries``, place in ``c``) that may be among the k best of a query, its last threshold, and how many pairs got a full score.
 
-    Below ``_EXACT`` the bounds are the scores.
+    Blocks of candidates meet all queries that they can still reach. Each stage is one product of the coordinates it adds, over the rows and columns that
+    still have a pair alive. Ties, and what rounding can't tell apart, are kept whole. Below ``_EXACT`` a score is exact, above it has a margin.
     """
-    turned = query @ rotation
-    length = math.sqrt(float(query @ query))
-    reach = length * c.length
-    slack = 1e-9 * reach + 1e-6
-    error = np.where(reach * (1 + 1e-9) < _EXACT, 0.0, 1e-9 * reach)
-    rest = dict((h, r[0]) for h, r in _rests(turned[None, :]))
-    places, lows, highs = [np.zeros(0, np.int64)], [np.zeros(0)], [np.zeros(0)]
-    at, step = 0, 256
-    while at < len(c.rid):
-        if reach[at] + slack[at] < least:
-            break  # all that follow are shorter
-        stop = min(len(c.rid), at + step)
-        alive = np.arange(at, stop)
+    least = least.copy()
+    turned = queries @ rotation
+    length = np.sqrt((queries * queries).sum(1))
+    rests = dict(_rests(turned))
+    tops = np.full((len(queries), k), -math.inf)
+    asks, places, highs, scored = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)], 0
+    for at in range(0, len(c.rid), BLOCK):
+        block = slice(at, min(len(c.rid), at + BLOCK))
+        # those that follow are shorter: a query that is out of reach stays so
+        rows = np.flatnonzero(~(length * c.length[at] * (1 + 1e-9) + 1e-6 < least))
+        if not len(rows):
+            break
+        cols = np.arange(block.start, block.stop)
+        alive = c.rid[cols][None, :] != own[rows][:, None]
+        part, start = np.zeros(alive.shape), 0
         for h, left in c.rests:
-            bound = c.turned[alive, :h] @ turned[:h] + left[alive] * rest[h] + slack[alive]
-            alive = alive[bound >= least]
-        alive = alive[c.rid[alive] != own]
-        score = c.v[alive] @ query
-        low, high = score - error[alive], score + error[alive]
-        keep = high >= least
-        places.append(alive[keep])
-        lows.append(low[keep])
-        highs.append(high[keep])
-        found = np.concatenate(lows)
-        if len(found) >= k:
-            least = max(least, float(np.partition(found, len(found) - k)[len(found) - k]))
-        at, step = stop, min(step * 4, 8192)
-    place, low = np.concatenate(places), np.concatenate(lows)
-    keep = np.concatenate(highs) >= least
-    return place[keep], low[keep]
-
-
-def top_k(table: DataFrame, is_query: Column, k: int = K, vector: str = "embedding", ids: str = "vec_id", chunk_rows: int = CHUNK_ROWS, seeds: int = SEEDS) -> DataFrame:
+            part += turned[rows, start:h] @ c.turned[cols, start:h].T
+            bound = part + rests[h][rows][:, None] * left[cols][None, :] + (1e-9 * length[rows][:, None] * c.length[cols][None, :] + 1e-6)
+            alive &= ~(bound < least[rows][:, None])
+            some, of = alive.any(1), alive.any(0)
+            rows, cols, start = rows[some], cols[of], h
+            alive, part = alive[np.ix_(some, of)], part[np.ix_(some, of)]
+        if not alive.size:
+            continue
+        scored += int(alive.sum())
+        score = queries[rows] @ c.v[cols].T
+        reach = length[rows][:, None] * c.length[cols][None, :]
+        error = np.where(reach * (1 + 1e-9) < _EXACT, 0.0, 1e-9 * reach) if reach.max() * (1 + 1e-9) >= _EXACT else 0.0
+        known = np.concatenate([tops[rows], np.where(alive, score - error, -math.inf)], axis=1)
+        tops[rows] = np.partition(known, known.shape[1] - k, axis=1)[:, known.shape[1] - k :]
+        least[rows] = np.maximum(least[rows], tops[rows].min(1))
+        high = score + error
+        i, j = np.nonzero(alive & (high >= least[rows][:, None]))
+        asks.append(rows[i])
+        places.append(cols[j])
+        highs.append(high[i, j])
+    ask, place = np.concatenate(asks), np.concatenate(places)
+    keep = np.concatenate(highs) >= least[ask]
+    return ask[keep], place[keep], least, scored
+
+
+def top_k(table: DataFrame, is_query: Column, k: int = K, vector: str = "embedding", ids: str = "vec_id", chunk_rows: int = CHUNK_ROWS, seeds: int = SEEDS, query_block: int = QUERY_BLOCK) -> DataFrame:
     """``query_id``, ``rank`` (from 1), the candidate's id as ``ids``, ``score``; ``is_query`` is a condition on ``table``."""
     spark = table.sparkSession
     ship_package(spark)
-    raw = prepared(table.withColumn("__q", F.coalesce(is_query, F.lit(False))), vector, ids)
-    asks = table.select(F.monotonically_increasing_id().alias("rid"), F.coalesce(is_query, F.lit(False)).alias("q"))
-    base = store(raw.join(asks, "rid"), "vectors")
+    base = store(prepared(table, vector, ids, is_query), "vectors")
     figures = base.agg(F.count("*"), F.max(F.size("v")), F.sum(F.col("q").cast("long")), F.max("norm2")).first()
     if figures[3] is not None and not math.isfinite(figures[3]):
         raise ValueError("the length of a vector is beyond a 64-bit float")
@@ -169,36 +181,47 @@ def top_k(table: DataFrame, is_query: Column, k: int = K, vector: str = "embeddi
 
     def routed(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, dict[str, pa.Array]]]:
         first, turn, chunk_names, top = held.value
-        least, sent = [], []
-        for rid, q in zip(batch.column("rid").to_pylist(), _matrix(batch.column("v"), size), strict=True):
-            _, score = best(q, rid, -math.inf, turn, first, k)
-            t = float(np.sort(score)[-k]) if len(score) >= k else -math.inf
-            length = math.sqrt(float(q @ q))
-            least.append(t)
-            sent.append([c for c, m in zip(chunk_names, top.tolist(), strict=True) if length * m * (1 + 1e-9) + 1e-6 >= t])
-        yield batch, {"least": pa.array(least, pa.float64()), "sent": pa.array(sent, pa.list_(pa.int32()))}
-
-    blocks = max(1, math.ceil(queries / QUERY_BLOCK))
-    asked = with_arrow(rows.where("q").select("rid", "id", "v"), routed, "least double, sent array<int>")
-    asked = asked.withColumn("part", F.pmod(F.xxhash64("rid"), F.lit(blocks)).cast("int")).select("rid", "id", "v", "least", "part", F.explode("sent").alias("chunk"))
-    against = rows.select("rid", "id", "v", "chunk", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("part"))
+        for at in range(0, batch.num_rows, SIDE):
+            some = batch.slice(at, SIDE)
+            vectors = _matrix(some.column("v"), size)
+            _, _, least, _ = best(vectors, some.column("rid").to_numpy(), np.full(len(vectors), -math.inf), turn, first, k)
+            length = np.sqrt((vectors * vectors).sum(1))
+            # chunks hold ever shorter vectors: a query reaches a prefix of them
+            near = (~(length[:, None] * top[None, :] * (1 + 1e-9) + 1e-6 < least[:, None])).sum(1)
+            last = np.where(near > 0, np.array(chunk_names)[near - 1], -1)
+            yield some, {"least": pa.array(least, pa.float64()), "last": pa.array(last, pa.int32())}
+
+    # Queries of like reach share a block, and a chunk goes only to the blocks that have a query which reaches it.
+    blocks = max(1, math.ceil(queries / query_block))
+    asked = with_arrow(rows.where("q").select("rid", "id", "v"), routed, "least double, last int").where(F.col("last") >= 0)
+    asked = store(asked.repartitionByRange(blocks, F.desc("last"), F.col("rid")).withColumn("part", F.spark_partition_id()), "queries")
+    chunks_upto = F.explode(F.sequence(F.lit(0), F.col("last"))).alias("chunk")
+    wanted = asked.groupBy("part").agg(F.max("last").alias("last")).select(F.col("part").alias("part"), chunks_upto)
+    against = rows.select("rid", "id", "v", "chunk").join(wanted, "chunk")
+    asked = asked.select("rid", "id", "v", "least", "part", chunks_upto)
 
     def meet(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         turn = held.value[1]
         out: list[list] = [[], [], [], [], []]
         if left.num_rows and right.num_rows:
             c = Candidates(right.column("rid").to_numpy(), right.column("id").to_pylist(), _matrix(right.column("v"), size), turn)
-            vectors = _matrix(left.column("v"), size)
-            for i, (rid, name, least) in enumerate(zip(left.column("rid").to_pylist(), left.column("id").to_pylist(), left.column("least").to_pylist(), strict=True)):
-                place, _ = best(vectors[i], rid, least, turn, c, k)
-                score = exact_scores(vectors[i], c.v[place])
-                # ties at the border are cut by id; a null id comes last
-                order = sorted(range(len(place)), key=lambda j: (-score[j], c.ids[place[j]] is None, c.ids[place[j]] or 0))[:k]
-                out[0] += [rid] * len(order)
-                out[1] += [name] * len(order)
-                out[2] += [int(c.rid[place[j]]) for j in order]
-                out[3] += [c.ids[place[j]] for j in order]
-                out[4] += [score[j] for j in order]
+            for at in range(0, left.num_rows, SIDE):
+                some = left.slice(at, SIDE)
+                vectors = _matrix(some.column("v"), size)
+                rids, names = some.column("rid").to_numpy(), some.column("id").to_pylist()
+                ask, place, _, _ = best(vectors, rids, some.column("least").to_numpy(), turn, c, k)
+                by = np.argsort(ask, kind="stable")
+                ends = np.searchsorted(ask[by], np.arange(len(vectors) + 1))
+                for i in np.unique(ask).tolist():
+                    here = place[by[ends[i] : ends[i + 1]]]
+                    score = exact_scores(vectors[i], c.v[here])
+                    # ties at the border are cut by id; a null id comes last
+                    order = sorted(range(len(here)), key=lambda j: (-score[j], c.ids[here[j]] is None, c.ids[here[j]] or 0))[:k]
+                    out[0] += [int(rids[i])] * len(order)
+                    out[1] += [names[i]] * len(order)
+                    out[2] += [int(c.rid[here[j]]) for j in order]
+                    out[3] += [c.ids[here[j]] for j in order]
+                    out[4] += [score[j] for j in order]
         kind = left.schema.field("id").type
         return pa.table([pa.array(v, t) for v, t in zip(out, [pa.int64(), kind, pa.int64(), kind, pa.int64()], strict=True)], names=["query_rid", "query_id", "rid", "id", "score"])
 

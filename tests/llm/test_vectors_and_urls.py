@@ -1,6 +1,7 @@
 import math
 import random
 
+import numpy as np
 from compare import connect, difference
 from pyspark.sql import functions as F
 
@@ -28,6 +29,33 @@ def test_top_k_with_ties_odd_vectors_and_small_blocks(spark):
     assert op2_topk.top_k(df.where("false"), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_top_k_in_several_query_blocks_beside_clashing_columns(spark):
+    rng = random.Random(2)
+    rows = [(i, [rng.gauss(0, 1) * (1 + i % 11) for _ in range(24)], i, i, i) for i in range(300)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, rid bigint, chunk bigint, part bigint").repartition(4)
+    held = {r.vec_id: [math.floor(64 * x) for x in r.embedding] for r in df.collect()}
+    got = [tuple(r) for r in op2_topk.top_k(df, F.col("vec_id") % 3 == 0, k=5, chunk_rows=40, seeds=60, query_block=7).collect()]
+    want = []
+    for q in range(0, 300, 3):
+        found = sorted((-sum(x * y for x, y in zip(held[q], w, strict=True)), c) for c, w in held.items() if c != q)[:5]
+        want += [(q, k + 1, c, -s) for k, (s, c) in enumerate(found)]
+    assert sorted(got) == sorted(want)
+
+
+def test_top_k_bounds_drop_pairs_before_the_full_score():
+    rng = np.random.default_rng(3)
+    v = np.floor(rng.normal(0, 1, (6000, 64)) * np.geomspace(200, 1, 64) * rng.uniform(0.2, 1, (6000, 1)))
+    rotation = np.linalg.eigh(v.T @ v)[1][:, ::-1].copy()
+    c = op2_topk.Candidates(np.arange(6000), list(range(6000)), v, rotation)
+    ask, place, _, scored = op2_topk.best(v[:100], np.arange(100), np.full(100, -math.inf), rotation, c, 5)
+    assert scored < 0.5 * 100 * 6000
+    scores = v[:100] @ v.T
+    scores[np.arange(100), np.arange(100)] = -math.inf
+    for i in range(100):
+        found = np.sort(scores[i, c.rid[place[ask == i]]])[::-1][:5]
+        assert np.array_equal(found, np.sort(scores[i])[::-1][:5])
+
+
 def test_top_k_keeps_vectors_of_great_length(spark):
     rng = random.Random(6)
     rows = [(i, [rng.choice([-2.0, 0.5, 1.0, 3.0]) * (1 + i % 9) for _ in range(40)]) for i in range(160)]
