@@ -162,10 +162,10 @@ def top_k(table: DataFrame, is_query: Column, k: int = K, vector: str = "embeddi
     spark = table.sparkSession
     ship_package(spark)
     base = store(prepared(table, vector, ids, is_query), "vectors")
-    figures = base.agg(F.count("*"), F.max(F.size("v")), F.sum(F.col("q").cast("long")), F.max("norm2")).first()
-    if figures[3] is not None and not math.isfinite(figures[3]):
+    figures = base.agg(F.count("*"), F.max(F.size("v")), F.max("norm2")).first()
+    if figures[2] is not None and not math.isfinite(figures[2]):
         raise ValueError("the length of a vector is beyond a 64-bit float")
-    count, size, queries = figures[0], figures[1] or 1, figures[2] or 0
+    count, size = figures[0], figures[1] or 1
     id_type = dict(table.dtypes)[ids]
     schema = f"query_rid bigint, query_id {id_type}, rid bigint, id {id_type}, score bigint"
     rotation = _rotation(base, max(size, 1))
@@ -191,10 +191,15 @@ def top_k(table: DataFrame, is_query: Column, k: int = K, vector: str = "embeddi
             last = np.where(near > 0, np.array(chunk_names)[near - 1], -1)
             yield some, {"least": pa.array(least, pa.float64()), "last": pa.array(last, pa.int32())}
 
-    # Queries of like reach share a block, and a chunk goes only to the blocks that have a query which reaches it.
-    blocks = max(1, math.ceil(queries / query_block))
+    # Queries of like reach (the same power of two of chunks) share a block, and a chunk goes only to the blocks that have a query which reaches it.
     asked = with_arrow(rows.where("q").select("rid", "id", "v"), routed, "least double, last int").where(F.col("last") >= 0)
-    asked = store(asked.repartitionByRange(blocks, F.desc("last"), F.col("rid")).withColumn("part", F.spark_partition_id()), "queries")
+    asked = store(asked.withColumn("level", F.floor(F.log2(F.col("last") + 1)).cast("int")), "queries")
+    # at most one number for each power of two up to MAX_CHUNKS
+    level_sizes = {r.level: r["count"] for r in asked.groupBy("level").count().collect()}
+    blocks = F.lit(1)
+    for level, queries in level_sizes.items():
+        blocks = F.when(F.col("level") == level, math.ceil(queries / query_block)).otherwise(blocks)
+    asked = asked.withColumn("part", F.pmod(F.xxhash64("rid"), blocks) * 32 + F.col("level"))
     chunks_upto = F.explode(F.sequence(F.lit(0), F.col("last"))).alias("chunk")
     wanted = asked.groupBy("part").agg(F.max("last").alias("last")).select(F.col("part").alias("part"), chunks_upto)
     against = rows.select("rid", "id", "v", "chunk").join(wanted, "chunk")
