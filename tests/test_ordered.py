@@ -115,6 +115,18 @@ def test_bracketed_column_quantiles_equal_numpy(spark, size):
         assert np.allclose(got[c], np.quantile([r[i] for r in rows], [0.25, 0.75]))
 
 
+@pytest.mark.parametrize("accuracy", [20, 100])
+def test_column_quantiles_of_many_ties_and_coarse_sketches(spark, accuracy):
+    from ledgerflow.sources.quality import column_quantiles
+
+    draw = random.Random(accuracy)
+    rows = [(draw.choice([1.0, 2.0, 2.0, 50.0]), draw.gauss(0, 1), draw.choice([-0.0, 0.0, float(draw.randrange(9))])) for _ in range(5000)]
+    df = spark.createDataFrame(rows, "a double, b double, c double").repartition(5)
+    levels = [0.0, 0.25, 0.5, 0.75, 1.0]
+    for r in column_quantiles(df, ["a", "b", "c"], levels, accuracy).collect():
+        assert np.allclose([r[f"q{i}"] for i in range(5)], np.quantile([x["abc".index(r.column)] for x in rows], levels))
+
+
 def test_missed_bracket_falls_back_to_ranking_all_values(spark, monkeypatch):
     from ledgerflow.sources import quality
 
