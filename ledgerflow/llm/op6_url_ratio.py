@@ -9,7 +9,8 @@ highest balanced accuracy on the calibration rows. A URL at or above the cut is
 The n-gram table has at most 2 * FIT_ROWS * (bytes of a URL) * 5 entries whatever the input; scoring is one narrow pass over all rows.
 
 Rules: a null URL, or one without ``://``, has empty host and path and fits no rule; an empty URL scores 0; with no rows of
-one class there is no model and the verdict is allow; equal URLs get equal verdicts.
+one class there is no model and the verdict is allow; equal URLs get equal verdicts, and a repeated row stays repeated; a URL of any length is scored whole;
+an empty table gives an empty result. Columns of the table named host, path, rule, ratio or verdict are replaced, all others are kept.
 """
 
 from __future__ import annotations

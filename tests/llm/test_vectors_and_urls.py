@@ -107,3 +107,25 @@ def test_no_labelled_class_and_empty_table(spark):
     df = spark.createDataFrame([(1, "http://a.org/x"), (1, "http://a.org/x")], "page_id bigint, url string")
     assert [r.verdict for r in op6_url_ratio.judge(df).collect()] == ["allow", "allow"]
     assert op6_url_ratio.judge(df.where("false")).count() == 0
+
+
+def test_judge_with_repeated_rows_very_long_urls_and_clashing_columns(spark):
+    rng = random.Random(4)
+    rows = [(i, f"http://{rng.choice(['garden', 'museum'])}{i}.com/a") for i in range(0, 400, 2)]
+    rows += [(i, f"http://{rng.choice(['casino', 'pills'])}{i}.net/es/") for i in range(1, 400, 2)]
+    long = "http://museum.org/" + "garden" * 40_000
+    rows += [(900, long), (900, long), (901, "http://pills.org/casino"), (901, "http://pills.org/casino"), (902, None), (903, "")]
+    plain = spark.createDataFrame(rows, "page_id bigint, url string")
+    clash = plain.select("page_id", "url", *[F.lit("other").alias(c) for c in ("host", "path", "rule", "ratio", "verdict", "kept")])
+    columns = ["page_id", "host", "path", "rule", "ratio", "verdict"]
+    want = sorted((tuple(r) for r in op6_url_ratio.judge(plain).select(columns).collect()), key=str)
+    judged = op6_url_ratio.judge(clash)
+    assert sorted((tuple(r) for r in judged.select(columns).collect()), key=str) == want
+    assert {r.kept for r in judged.select("kept").distinct().collect()} == {"other"}
+    assert len(want) == len(rows)
+    by_id = {}
+    for r in want:
+        by_id.setdefault(r[0], []).append(r[1:])
+    assert by_id[900][0] == by_id[900][1] and by_id[900][0][4] == "allow" and len(by_id[900][0][1]) == 240_001
+    assert by_id[901][0] == by_id[901][1] and by_id[901][0][4] == "block"
+    assert by_id[902][0][:3] == by_id[903][0][:3] == ("", "", None)
