@@ -7,11 +7,16 @@ window only ever covers one chunk of one series, so a single account may hold an
 The chunked rows are written to the shared folder first: range bounds come from sampling, and the
 totals and the rows must see the same chunk for the same row even if an executor is lost.
 
+With ``block`` (leading columns of ``order``, such as the day) the blocks are the chunks. They are known before any row moves, so
+nothing is written, the rows are dealt once, and the number of partitions follows the number of rows. What is carried into a block comes
+as one more row at its head. The input is read twice: pass a stored table. A block above ``BLOCK_ROWS`` sends the call the plain way.
+
 ``order`` must be unique within a series.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -20,6 +25,9 @@ from ledgerflow.functions.keyed import attach_stats, join_series
 from ledgerflow.sources.shared import store
 
 CHUNK = "__chunk"
+#: Rows of one range partition of blocks, and the most rows that one block (one sort) may have.
+PART_ROWS = 200_000
+BLOCK_ROWS = 2_000_000
 
 
 def chunked(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -33,10 +41,44 @@ def _carried(df: DataFrame, carry: DataFrame, keys: Sequence[str]) -> DataFrame:
     return join_series(df, F.broadcast(carry), keys, "left", [CHUNK])
 
 
+def _heads(df: DataFrame, keys: Sequence[str], block: Sequence[str], figures: dict[str, Column]) -> tuple[DataFrame, int] | None:
+    """One row per block of each series with its figures, and the number of range partitions; none if a block is too large."""
+    heads = store(df.groupBy(*keys, *block).agg(F.count("*").alias("__rows"), *[c.alias(n) for n, c in figures.items()]), "blocks")
+    size = heads.agg(F.max("__rows").alias("most"), F.sum("__rows").alias("all")).first()
+    if (size.most or 0) > BLOCK_ROWS:
+        return None
+    return heads, max(1, math.ceil((size.all or 0) / PART_ROWS))
+
+
+def _headed(df: DataFrame, heads: DataFrame, parts: int, keys: Sequence[str], block: Sequence[str]) -> DataFrame:
+    """Rows and heads in range partitions of whole blocks, which a window over (series, block) takes as they are."""
+    both = df.withColumn("__row", F.lit(1)).unionByName(heads.withColumn("__row", F.lit(0)), allowMissingColumns=True)
+    return both.repartitionByRange(parts, *keys, *block)
+
+
+def _block_totals(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], totals: dict[str, Column], block: Sequence[str]
+) -> DataFrame | None:
+    names = list(totals)
+    found = _heads(df, keys, block, {f"__sum_{n}": F.sum(c) for n, c in totals.items()})
+    if found is None:
+        return None
+    before = Window.partitionBy(*keys).orderBy(*block).rowsBetween(Window.unboundedPreceding, -1)
+    heads = found[0].select(*keys, *block, *[F.coalesce(F.sum(f"__sum_{n}").over(before), F.lit(0)).alias(f"__open_{n}") for n in names])
+    rows = _headed(df, heads, found[1], keys, block)
+    within = Window.partitionBy(*keys, *block).orderBy("__row", *[c for c in order if c not in block]).rowsBetween(Window.unboundedPreceding, 0)
+    summed = rows.withColumns({f"__run_{n}": F.sum(F.when(F.col("__row") == 0, F.col(f"__open_{n}")).otherwise(totals[n])).over(within) for n in names})
+    return summed.where("__row = 1").select(*[c for c in df.columns if c not in names], *[F.col(f"__run_{n}").alias(n) for n in names])
+
+
 def running_totals(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], totals: dict[str, Column]
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], totals: dict[str, Column], block: Sequence[str] = ()
 ) -> DataFrame:
     """Add one cumulative sum per entry of ``totals``, current row included; nulls add nothing."""
+    if block:
+        summed = _block_totals(df, keys, order, totals, block)
+        if summed is not None:
+            return summed
     names = list(totals)
     rows = chunked(df.withColumns({f"__in_{n}": totals[n] for n in names}), keys, order)
     per_chunk = rows.groupBy(*keys, CHUNK).agg(*[F.sum(f"__in_{n}").alias(n) for n in names], F.lit(True).alias("__seen"))
@@ -63,10 +105,30 @@ def row_numbers(df: DataFrame, keys: Sequence[str], order: Sequence[str], name:
     return numbered.withColumn(name, F.col(name).cast("bigint"))
 
 
+def _block_previous(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str], block: Sequence[str]
+) -> DataFrame | None:
+    rest = [c for c in order if c not in block]
+    packed = F.struct(*columns)
+    # a null in the order must not hide its row, and a struct is never null
+    found = _heads(df, keys, block, {"__last": F.max_by(packed, F.struct(*rest))})
+    if found is None:
+        return None
+    carried = F.lag("__last").over(Window.partitionBy(*keys).orderBy(*block))
+    rows = _headed(df, found[0].select(*keys, *block, carried.alias("__carry")), found[1], keys, block)
+    within = Window.partitionBy(*keys, *block).orderBy("__row", *rest)
+    seen = rows.withColumn("__prev", F.lag(F.when(F.col("__row") == 0, F.col("__carry")).otherwise(packed)).over(within))
+    return seen.where("__row = 1").select(*df.columns, *[F.col("__prev")[c].alias(f"prev_{c}") for c in columns])
+
+
 def previous_values(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str]
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str], block: Sequence[str] = ()
 ) -> DataFrame:
     """Add ``prev_<column>`` from the row before in the same series; null on its first row."""
+    if block:
+        seen = _block_previous(df, keys, order, columns, block)
+        if seen is not None:
+            return seen
     rows = chunked(df, keys, order)
     packed = F.struct(*columns)
     last = rows.groupBy(*keys, CHUNK).agg(F.max_by(packed, F.struct(*order)).alias("__last"))

@@ -133,9 +133,13 @@ def running_balance(
     opening=0,
     order: Sequence[str] = ("date", "movement_id"),
     name: str = "balance_after",
+    block: Sequence[str] = (),
 ) -> DataFrame:
-    """Opening balance plus the cumulative amount, in order; any account may hold most rows."""
-    summed = running_totals(movements, keys, order, {name: F.col("amount")})
+    """Opening balance plus the cumulative amount, in order; any account may hold most rows.
+
+    ``block``: see ``ordered``; the movements are then a stored table.
+    """
+    summed = running_totals(movements, keys, order, {name: F.col("amount")}, block)
     return summed.withColumn(name, (F.lit(opening).cast(MONEY) + F.col(name)).cast(MONEY))
 
 

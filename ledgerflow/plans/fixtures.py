@@ -8,10 +8,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ledgerflow.config import INITIAL_BALANCE, MONEY, STAGE_PROBABILITY
 from ledgerflow.functions.measures import literal_map
-from ledgerflow.operators.ordered import row_numbers
+from ledgerflow.operators.ordered import running_totals
 from ledgerflow.operators.series import running_balance
 from ledgerflow.sources.events import event_ledger
-from ledgerflow.sources.shared import stored_once
+from ledgerflow.sources.shared import store, stored_once
 
 
 def _str(c: Column | str) -> Column:
@@ -105,10 +105,24 @@ class Fixtures:
         return collections.unionByName(payments)
 
     def _bank_ledger(self) -> DataFrame:
-        ledger = running_balance(self.bank_base(), opening=INITIAL_BALANCE)
-        shifted = F.when(F.col("movement_id").like("%77"), F.date_add("date", 30)).otherwise(F.col("date"))
-        numbered = row_numbers(ledger.withColumn("__seen_on", shifted), [], ["__seen_on", "movement_id"])
-        return numbered.select(
+        base = store(self.bank_base(), "movements")
+        # a row stands at its day for the balance and at the day it is seen for the number: two halves if these days differ
+        half = lambda day, paid, seen: F.struct(day.alias("day"), F.lit(paid).alias("paid"), F.lit(seen).alias("seen"))
+        day = F.col("date")
+        at = F.when(F.col("movement_id").like("%77"), F.array(half(day, True, False), half(F.date_add(day, 30), False, True))).otherwise(F.array(half(day, True, True)))
+        halves = base.select("*", F.inline(at))
+        totals = {"balance_after": F.when(F.col("paid"), F.col("amount")), "load_seq": F.when(F.col("seen"), F.lit(1).cast("bigint"))}
+        summed = running_totals(halves, [], ["day", "movement_id"], totals, ["day"])
+        whole = summed.where("paid AND seen").select(*base.columns, *totals)
+        ends = [F.array_sort(F.collect_list(F.when(F.col(side), F.col(n)))).alias(n) for n, side in zip(totals, ("paid", "seen"), strict=True)]
+        pairs = summed.where("NOT (paid AND seen)").groupBy(*base.columns).agg(*ends)
+        joined = pairs.select(*base.columns, F.inline(F.arrays_zip(*totals)))
+        balance = (F.lit(INITIAL_BALANCE).cast(MONEY) + F.col("balance_after")).cast(MONEY)
+        return whole.unionByName(joined).withColumn("balance_after", balance)
+
+    def bank(self) -> DataFrame:
+        stored = stored_once(self.spark, ("bank", self.folder), self._bank_ledger)
+        return stored.select(
             "movement_id",
             "date",
             F.col("date").alias("value_date"),
@@ -121,9 +135,6 @@ class Fixtures:
             "load_seq",
         )
 
-    def bank(self) -> DataFrame:
-        return stored_once(self.spark, ("bank", self.folder), self._bank_ledger)
-
     def _account_ledger(self) -> DataFrame:
         split = self.bank().select(
             "movement_id",
@@ -134,7 +145,7 @@ class Fixtures:
             "load_seq",
             F.concat(F.lit("ACC-"), F.right("movement_id", F.lit(1))).alias("bank_account"),
         )
-        return running_balance(split, ["bank_account"], opening=INITIAL_BALANCE // 10)
+        return running_balance(split, ["bank_account"], opening=INITIAL_BALANCE // 10, block=["date"])
 
     def bank_multi(self) -> DataFrame:
         return stored_once(self.spark, ("bank_multi", self.folder), self._account_ledger)

@@ -65,13 +65,13 @@ def _(fx):
 
 @query("t07_running_balance", "movement_id:s date:d amount:m balance_after:m", "SELECT movement_id, date, amount, balance_after FROM fx_bank")
 def _(fx):
-    return series.running_balance(fx.bank_base(), opening=INITIAL_BALANCE)
+    return series.running_balance(store(fx.bank_base(), "movements"), opening=INITIAL_BALANCE, block=["date"])
 
 
 @query("t07_running_balance_by_account", "bank_account:s movement_id:s date:d amount:m balance_after:m", "SELECT bank_account, movement_id, date, amount, balance_after FROM fx_bank_multi")
 def _(fx):
-    split = fx.bank_base().withColumn("bank_account", F.concat(F.lit("ACC-"), F.right("movement_id", F.lit(1))))
-    return series.running_balance(split, ACCOUNT, opening=INITIAL_BALANCE // 10)
+    split = store(fx.bank_base(), "movements").withColumn("bank_account", F.concat(F.lit("ACC-"), F.right("movement_id", F.lit(1))))
+    return series.running_balance(split, ACCOUNT, opening=INITIAL_BALANCE // 10, block=["date"])
 
 
 @query("t08_target_series", "ds:d y:m", "SELECT ds, y FROM v_full")

@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerflow.operators import ordered
 from ledgerflow.operators.ordered import exact_quantiles, previous_values, row_numbers, running_totals
 
 
@@ -134,3 +135,57 @@ def test_missed_bracket_falls_back_to_ranking_all_values(spark, monkeypatch):
     df = spark.range(1, 101).select(F.col("id").cast("double").alias("a"))
     row = quality.column_quantiles(df, ["a"], [0.25, 0.75]).first()
     assert (row.q0, row.q1) == (25.75, 75.25)
+
+
+def days(n=3000, seed=5):
+    draw = random.Random(seed)
+    day = lambda: draw.choice([None, *range(12)])
+    return [(draw.choice([None, "a", "b"]), day(), draw.choice([None, f"m{i}"]) if i == 7 else f"m{i}", draw.choice([None, draw.randrange(-50, 50)])) for i in range(n)]
+
+
+@pytest.mark.parametrize("most", [10**6, 50])  # 50: every day is too large, the plain way is taken
+def test_blocks_give_what_chunks_give(spark, monkeypatch, most):
+    monkeypatch.setattr(ordered, "PART_ROWS", 100)
+    monkeypatch.setattr(ordered, "BLOCK_ROWS", most)
+    df = spark.createDataFrame(days(), "acc string, day int, id string, amount int").repartition(7)
+    totals = {"total": F.col("amount"), "n": F.lit(1)}
+    want = running_totals(df, ["acc"], ["day", "id"], totals)
+    got = running_totals(df, ["acc"], ["day", "id"], totals, ["day"])
+    assert got.columns == want.columns
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    before = previous_values(df, ["acc"], ["day", "id"], ["amount", "id"])
+    assert sorted(map(str, previous_values(df, ["acc"], ["day", "id"], ["amount", "id"], ["day"]).collect())) == sorted(map(str, before.collect()))
+
+
+def test_blocks_deal_the_rows_once_by_their_number(spark, monkeypatch):
+    monkeypatch.setattr(ordered, "PART_ROWS", 100)
+    stored = []
+    monkeypatch.setattr(ordered, "store", lambda df, name, plain=ordered.store: stored.append(name) or plain(df, name))
+    df = spark.createDataFrame(days(), "acc string, day int, id string, amount int").localCheckpoint()
+    found = running_totals(df, ["acc"], ["day", "id"], {"total": F.col("amount")}, ["day"])
+    assert stored == ["blocks"]  # no copy of the rows is written
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange rangepartitioning") == 1 and "rangepartitioning(acc#" in plan
+    assert found.rdd.getNumPartitions() > 8  # 3000 rows, whatever the shuffle setting
+
+
+def test_ledger_of_movements_seen_later_and_repeated(spark, tmp_path):
+    from datetime import datetime
+
+    from ledgerflow.plans.fixtures import Fixtures
+
+    orders = [(k, 1, "F", 121.0 + k, datetime(1995, 1, 1 + k % 20), "1-URGENT") for k in [77, 77, 77, 177, 1, 2, 3, 77, 1]]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp, o_orderpriority string").write.parquet(f"{tmp_path}/orders.parquet")
+    lines = [(5, 2, 77, 1, 10.0, "N", datetime(1995, 1, 3)), (5, 2, 8, 1, 11.0, "R", datetime(1995, 1, 3)), (5, 2, 8, 1, 1.0, "N", datetime(1995, 2, 9))]
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_extendedprice double, l_returnflag string, l_shipdate timestamp").write.parquet(f"{tmp_path}/lineitem.parquet")
+    rows = Fixtures(spark, str(tmp_path)).bank().collect()
+    assert len(rows) == 11 and sorted(r.load_seq for r in rows) == list(range(1, 12))
+    total, balances = 450000, []
+    for r in sorted(rows, key=lambda r: (r.date, r.movement_id)):
+        total += r.amount
+        balances.append(total)
+    assert sorted(balances) == sorted(r.balance_after for r in rows)
+    from datetime import timedelta
+
+    seen = [(r.date + timedelta(30 if r.movement_id.endswith("77") else 0), r.movement_id) for r in sorted(rows, key=lambda r: r.load_seq)]
+    assert seen == sorted(seen)
