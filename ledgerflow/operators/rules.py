@@ -89,7 +89,8 @@ def r2_deals_to_invoices(deals: DataFrame, invoices: DataFrame) -> DataFrame:
 def bank_figures(bank: DataFrame, limits: Thresholds = Thresholds(), keys: Sequence[str] = (), falls: bool = True) -> DataFrame:
     """Everything the ledger-only rules need, per series; the period sets are bounded by the calendar.
 
-    The drop check looks at each row and the one before, over the whole ledger, on narrow columns in chunks.
+    The drop check looks at each row and the one before, over the whole ledger, on narrow columns in blocks of days. The ledger is
+    read three times: pass a stored table.
     """
     order = F.struct("date", "movement_id")
 
@@ -110,7 +111,7 @@ def bank_figures(bank: DataFrame, limits: Thresholds = Thresholds(), keys: Seque
     if not falls:
         return figures
     narrow = bank.select(*keys, "date", "movement_id", "balance_after")
-    steps = previous_values(narrow, keys, ["date", "movement_id"], ["balance_after"])
+    steps = previous_values(narrow, keys, ["date", "movement_id"], ["balance_after"], ["date"])
     fall = F.col("prev_balance_after") - F.col("balance_after")
     steady = steps.groupBy(*keys).agg((F.count_if(fall > limits.drop_tolerance) == 0).cast("int").alias("balance_monotonic"))
     return attach_stats(figures, steady, keys)
@@ -282,9 +283,9 @@ def won_deal_followups(deals: DataFrame, invoices: DataFrame, after: int = 30, u
 
 
 def balance_breaks(bank: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """Movements whose balance is not the previous balance plus their amount."""
+    """Movements whose balance is not the previous balance plus their amount. The ledger is read twice: pass a stored table."""
     rows = bank.select(*keys, "date", "movement_id", "amount", "balance_after")
-    seen = previous_values(rows, keys, ["date", "movement_id"], ["balance_after", "movement_id"])
+    seen = previous_values(rows, keys, ["date", "movement_id"], ["balance_after", "movement_id"], ["date"])
     step = F.col("balance_after") - F.col("prev_balance_after")
     return seen.where(F.col("prev_movement_id").isNotNull() & ~step.eqNullSafe(F.col("amount")))
 

@@ -25,11 +25,16 @@ def deals(fx):
     return clean.clean_crm_deals(fx.deals_raw())
 
 
+def clean_ledger(fx):
+    """What the rules use of the clean movements; stored, as cleaning shuffles and the rules read them several times."""
+    return store(bank(fx).select("movement_id", "date", "amount", "balance_after", "category"), "bank_clean")
+
+
 def datasets(fx):
     """What the rules use of the clean tables; stored where cleaning shuffles, as several rules read it."""
     return {
         "invoices_clean": store(invoices(fx).select("status", "paid_date", "total"), "invoices_clean"),
-        "bank_clean": store(bank(fx).select("movement_id", "date", "amount", "balance_after", "category"), "bank_clean"),
+        "bank_clean": clean_ledger(fx),
         "crm_deals_clean": deals(fx),
     }
 
@@ -133,7 +138,7 @@ def _(fx):
 @query("v03_r3_balance", HEAD + "initial_balance:m final_balance_actual:m final_balance_expected:m difference:m balance_monotonic:i", R3)
 def _(fx):
     names = ["initial_balance", "final_balance_actual", "final_balance_expected", "difference", "balance_monotonic"]
-    return flat(rules.r3_balance(bank(fx)), *names)
+    return flat(rules.r3_balance(clean_ledger(fx)), *names)
 
 
 @query("v03_r3_balance_by_account", "bank_account:s rule:s status:s initial_balance:m final_balance_actual:m final_balance_expected:m balance_monotonic:i", R3_BY_ACCOUNT)

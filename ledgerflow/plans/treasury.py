@@ -41,7 +41,7 @@ def plan(cleaned: dict[str, DataFrame], limits: Thresholds = Thresholds(), keys:
 
     ``model``: ``full`` (trend with bends, seasons, holidays) or ``base`` (weekday and month effects).
 
-    The daily series feeds every later step, so it alone is stored (one small row per day); the rest
+    The daily series feeds every later step and the rules read the ledger several times, so these are stored; the rest
     is lazy. KPIs and alerts use a fit on the whole series, the report a fit on its training part.
     """
     keys = list(keys)
@@ -54,9 +54,10 @@ def plan(cleaned: dict[str, DataFrame], limits: Thresholds = Thresholds(), keys:
     report = evaluate.evaluation_report(parts["test"], _predict(_fit(parts["train"], keys, model), keys, model), keys)
     latest = kpi.current_balance(daily, keys)
     horizon = forecast.forecast_at(ahead, keys, as_of=series.latest_day(daily, keys))
+    ledger = store(cleaned["bank_clean"].select(*keys, "movement_id", "date", "amount", "balance_after", "category"), "rules_ledger")
     return TreasuryRun(
         daily=daily,
-        rules=rules.all_rules(cleaned, keys),
+        rules=rules.all_rules({**cleaned, "bank_clean": ledger}, keys),
         model=fitted,
         forecast=ahead,
         report=report,
