@@ -10,7 +10,8 @@ and where both end, the two words are neighbours. The first edit stands at the f
 a prefix has at most a few states per letter of the alphabet and position, whatever the data.
 
 Early edits would pair most of the trie's upper levels before the rest of the words tells them apart. So edits at the
-first ``EARLY`` letters are left to a second trie, over the words read backwards, where they come late.
+first ``EARLY`` letters are left to a second trie, over the words read backwards, where they come late. Both tries stand under one
+root (a mark before the word) and are walked together, so a level is one job and the driver plans half as many.
 
 Words above ``LEVELS`` letters leave the trie: one row per letter with the hash of the word without it, joined on hash,
 length and place, and every pair that meets is compared letter by letter.
@@ -37,6 +38,8 @@ LEAST_COUNT = 2
 RATIO = 10
 LEVELS = 40
 EARLY = 4
+#: The letter before a word that names its trie: as it is written, or read backwards.
+FORWARD, BACKWARD = ">", "<"
 RUN = rf"([A-Za-z\u00C0-\u00FF]{{{LEAST_LETTERS},}})"
 _PIECE = 1 << 16
 
@@ -69,10 +72,11 @@ def edges(spelled: DataFrame) -> str:
     return path
 
 
-def trie_pairs(spelled: DataFrame, first: int, steps: int | None = None) -> DataFrame:
-    """``word``, ``other``, ``n``, ``other_n`` of all words one edit apart whose first difference is at letter ``first``
-    (from 0) or later and, with ``steps``, whose rest after it has at most so many letters.
+def trie_pairs(spelled: DataFrame, tries: dict[str, tuple[int, int | None]]) -> DataFrame:
+    """``word``, ``other``, ``n``, ``other_n`` of all words one edit apart in the same trie.
 
+    A word begins with the mark of its trie, so one walk down the levels serves all tries. Per mark: the letter (the mark is
+    letter 0) at or after which the first difference stands, and the most letters of the rest after it (or no limit).
     ``other`` is the longer one or has the greater letter at the difference.
     """
     spark = spelled.sparkSession
@@ -93,9 +97,10 @@ def trie_pairs(spelled: DataFrame, first: int, steps: int | None = None) -> Data
 
     waiting, found = None, fresh_path(spark, "frontier")
     state = "word string, node string, edits int, place int, barred string, n bigint, other_n bigint, done boolean"
-    for depth in range(first, deepest + 1):
+    for depth in range(min(first for first, _ in tries.values()), deepest + 1):
         here = level(depth)
-        letters = here.where("letter <> ''")
+        started = [mark for mark, (first, _) in tries.items() if first <= depth]
+        letters = here.where("letter <> ''").where(F.substring("node", 1, 1).isin(started))
         inserted = letters.select(F.col("node").alias("word"), F.concat("node", "letter").alias("node"), "letter")
         states = fresh(inserted, depth, F.col("letter"))
         states = states if waiting is None else states.unionByName(waiting)
@@ -111,8 +116,9 @@ def trie_pairs(spelled: DataFrame, first: int, steps: int | None = None) -> Data
         moved.unionByName(replaced.withColumns(bare)).write.parquet(f"{found}/depth={depth}")
         made = spark.read.schema(state).parquet(f"{found}/depth={depth}")
         waiting = made.where("NOT done").select("word", "node", "edits", "place", "barred")
-        if steps is not None:
-            waiting = waiting.where(F.col("place") + steps >= depth)
+        for mark, (_, steps) in tries.items():
+            if steps is not None:
+                waiting = waiting.where((F.substring("word", 1, 1) != mark) | (F.col("place") + steps >= depth))
     if waiting is None:
         return spelled.where("false").select("word", none.alias("other"), "n", F.col("n").alias("other_n"))
     return spark.read.schema(state).parquet(found).where("done").select("word", F.col("node").alias("other"), "n", "other_n")
@@ -163,11 +169,14 @@ def long_pairs(spelled: DataFrame, above: int) -> DataFrame:
 def neighbours(spelled: DataFrame) -> DataFrame:
     """All pairs of words one edit apart, each in both directions: ``word``, ``other``, ``n``, ``other_n``."""
     short = store(spelled.where(F.char_length("word") <= LEVELS), "short_words")
-    forward = trie_pairs(short, EARLY)
-    turned = trie_pairs(short.withColumn("word", F.reverse("word")), LEAST_LETTERS - EARLY, EARLY)
-    turned = turned.withColumns({"word": F.reverse("word"), "other": F.reverse("other")})
-    early = turned.where(F.substring("word", F.lit(1), F.lit(EARLY)) != F.substring("other", F.lit(1), F.lit(EARLY)))
-    pairs = forward.unionByName(early).unionByName(long_pairs(spelled, LEVELS))
+    marked = short.select(F.concat(F.lit(FORWARD), "word").alias("word"), "n")
+    turned = short.select(F.concat(F.lit(BACKWARD), F.reverse("word")).alias("word"), "n")
+    met = trie_pairs(marked.unionByName(turned), {FORWARD: (1 + EARLY, None), BACKWARD: (1 + LEAST_LETTERS - EARLY, EARLY)})
+    back = F.substring("word", 1, 1) == BACKWARD
+    bare = {c: F.substring(c, F.lit(2), F.char_length(c)) for c in ("word", "other")}
+    plain = met.select(back.alias("back"), *[F.when(back, F.reverse(c)).otherwise(c).alias(name) for name, c in bare.items()], "n", "other_n")
+    early = F.substring("word", F.lit(1), F.lit(EARLY)) != F.substring("other", F.lit(1), F.lit(EARLY))
+    pairs = plain.where(~F.col("back") | early).drop("back").unionByName(long_pairs(spelled, LEVELS))
     back = pairs.select(F.col("other").alias("word"), F.col("word").alias("other"), F.col("other_n").alias("n"), F.col("n").alias("other_n"))
     return pairs.unionByName(back)
 

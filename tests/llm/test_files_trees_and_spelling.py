@@ -246,6 +246,14 @@ def test_spelling_of_few_letters_and_long_words(spark, monkeypatch):
     assert spelling(df) == want
 
 
+def test_both_directions_share_one_walk(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr(op13_spelling, "fresh_path", lambda session, name: made.append(name) or fresh_path(session, name))
+    rows = [(None, "balance balanse xalance balanced zzbalance " * 2)]
+    assert spelling(spark.createDataFrame(rows, "doc_id bigint, text string")) == spelling_rows(rows)
+    assert sorted(made) == ["frontier", "trie"]
+
+
 def test_spelling_of_odd_documents(spark, odd_documents, no_documents):
     rows = [(r.doc_id, r.text) for r in odd_documents.collect()]
     assert spelling(odd_documents) == spelling_rows(rows)
