@@ -10,7 +10,7 @@ Sorting all suffixes of a corpus in one array would need many times its size, so
    suffix array with the difference cover {1, 2} mod 3: sort sampled triples, name them, recurse on the names until they reach
    200 bytes, merge the remaining suffixes. Prefixes of neighbours are then compared byte by byte.
    A class above ``HOT_BYTES`` (a passage that a large share of all documents holds) is split: its windows are dealt once more by
-   their 128-bit hashes and counted, so no task holds the class.
+   their 128-bit hashes and counted, so no task holds the class; neighbouring windows that repeat leave as one stretch.
 4. *Mark.* Repeated windows go back to all runs and to their documents, overlaps are joined, and the bytes between are kept.
 
 Rules: null is empty; a text under 200 bytes can't lose anything; strings never cross documents; all copies lose the string, none is kept;
@@ -26,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ledgerflow.llm import arrays
 from ledgerflow.llm.frames import documents, with_arrow
@@ -251,6 +251,13 @@ def _window_hashes(window: int):
     return run
 
 
+def _joined_windows(windows: DataFrame) -> DataFrame:
+    """Neighbouring windows ``w0`` of a run as one stretch (``w0`` to ``w1``), so a run leaves a row per stretch and not per window."""
+    nth = F.row_number().over(Window.partitionBy("m", "f", "n").orderBy("w0"))
+    stretches = windows.select("m", "f", "n", "w0", (F.col("w0") - nth).alias("stretch")).groupBy("m", "f", "n", "stretch")
+    return stretches.agg(F.min("w0").alias("w0"), (F.max("w0") + 1).alias("w1")).select("m", "f", "n", "w0", "w1")
+
+
 def _beside(docs: DataFrame, other: DataFrame) -> DataFrame:
     """Join by ``rid``; the other side (stored, array column ``c``) is broadcast only when it is known to be small."""
     bytes_ = other.agg(F.sum(F.lit(40) + F.size("c") * 40)).first()[0] or 0
@@ -282,8 +289,9 @@ def repeated_spans(docs: DataFrame, text: str = "text", window: int = WINDOW, gr
         cut = store(cut, "cut")
         names = cut.where("shard = -1").mapInArrow(_window_hashes(window), "m bigint, f bigint, n int, w0 int, name binary")
         names = store(names, "names")
-        again = names.groupBy("m", "name").count().where("count > 1").select("m", "name")
-        hot = names.join(again, ["m", "name"], "left_semi").select("m", "f", "n", "w0", (F.col("w0") + 1).alias("w1"))
+        # stored, so that the join's skewed partitions can be split: one window may stand in very many runs
+        again = store(names.groupBy("m", "name").count().where("count > 1").select("m", "name"), "again")
+        hot = _joined_windows(names.join(again, ["m", "name"], "left_semi"))
     else:
         hot = spark.createDataFrame([], found)
     cold = cut.where("shard >= 0").groupBy("shard").applyInArrow(_sorted_shard(window), found)

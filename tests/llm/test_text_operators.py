@@ -203,6 +203,20 @@ def test_repeated_strings_equal_brute_force(spark, hot):
     assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in out.drop("text").collect()} == dict(enumerate(repeated_bytes(texts, 20)))
 
 
+def test_windows_of_split_classes_leave_as_stretches(spark, monkeypatch):
+    rng = random.Random(4)
+    passage = " ".join(rng.choice(["alpha", "beta", "gamma", "delta"]) for _ in range(60))
+    texts = [f"{k} before {passage} after {k * 7}" for k in range(40)]
+    stored = {}
+    monkeypatch.setattr(op10_suffix_dedup, "store", lambda df, name, plain=op10_suffix_dedup.store: stored.setdefault(name, plain(df, name)))
+    out = op10_suffix_dedup.dedup(frame(spark, texts), window=20, gram=8, hot_bytes=0)
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in out.drop("text").collect()} == dict(enumerate(repeated_bytes(texts, 20)))
+    parts = stored["parts"]
+    assert parts.count() < parts.agg(F.sum(F.col("w1") - F.col("w0"))).first()[0] / 2  # fewer rows than windows
+    touching = parts.alias("a").join(parts.alias("b"), ["m", "f", "n"]).where("a.w1 = b.w0")
+    assert touching.count() == 0
+
+
 def test_suffix_dedup_edge_cases(odd_documents, no_documents):
     out = op10_suffix_dedup.dedup(odd_documents).collect()
     assert {r.n_removed == r.n_bytes for r in out if r.doc_id in (6, 7)} == {True} and len(out) == 9
