@@ -28,6 +28,8 @@ CHUNK = "__chunk"
 #: Rows of one range partition of blocks, and the most rows that one block (one sort) may have.
 PART_ROWS = 200_000
 BLOCK_ROWS = 2_000_000
+#: Rows of one partition that is grouped by a key which nearly every row has for itself.
+GROUP_ROWS = 1_000_000
 
 
 def chunked(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -35,6 +37,15 @@ def chunked(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFra
     return store(ranged.withColumn(CHUNK, F.spark_partition_id()), "chunks")
 
 
+def dealt(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows dealt by ``keys``, at most about ``GROUP_ROWS`` to a partition whatever the shuffle setting; a grouping by ``keys`` takes them as they are.
+
+    For keys that nearly every row has for itself: sums before the shuffle would only fill memory there. The rows are counted first.
+    """
+    parts = max(df.sparkSession.sparkContext.defaultParallelism, math.ceil(df.count() / GROUP_ROWS))
+    return df.repartition(parts, *keys)
+
+
 def _carried(df: DataFrame, carry: DataFrame, keys: Sequence[str]) -> DataFrame:
     # At most one series continues into any chunk, so ``carry`` has at most one row per chunk:
     # its size is bounded by the partition count, whatever the data.

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ledgerflow.config import INITIAL_BALANCE, MONEY, STAGE_PROBABILITY
 from ledgerflow.functions.measures import literal_map
-from ledgerflow.operators.ordered import running_totals
+from ledgerflow.operators.ordered import dealt, running_totals
 from ledgerflow.operators.series import running_balance
 from ledgerflow.sources.events import event_ledger
 from ledgerflow.sources.shared import store, stored_once
@@ -90,10 +90,11 @@ class Fixtures:
         key = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
         kind = F.col("l_suppkey") % 10
         price = F.col("l_extendedprice")
+        signed = F.when(F.col("l_returnflag") == "R", -price).otherwise(price)
         payments = (
-            self.table("lineitem")
+            dealt(self.table("lineitem").select(*key, "l_shipdate", signed.alias("paid")), key)
             .groupBy(*key)
-            .agg(F.min("l_shipdate").alias("l_shipdate"), F.sum(F.when(F.col("l_returnflag") == "R", -price).otherwise(price)).alias("paid"))
+            .agg(F.min("l_shipdate").alias("l_shipdate"), F.sum("paid").alias("paid"))
             .select(
                 F.concat_ws("-", F.lit("S"), *[_str(c) for c in key]).alias("movement_id"),
                 F.col("l_shipdate").cast("date").alias("date"),

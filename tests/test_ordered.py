@@ -189,3 +189,25 @@ def test_ledger_of_movements_seen_later_and_repeated(spark, tmp_path):
 
     seen = [(r.date + timedelta(30 if r.movement_id.endswith("77") else 0), r.movement_id) for r in sorted(rows, key=lambda r: r.load_seq)]
     assert seen == sorted(seen)
+
+
+def test_movements_are_grouped_in_partitions_by_their_number(spark, monkeypatch, tmp_path):
+    from datetime import datetime
+
+    from ledgerflow.plans.fixtures import Fixtures
+
+    monkeypatch.setattr(ordered, "GROUP_ROWS", 100, raising=False)
+    orders = [(1, 1, "F", 121.0, datetime(1995, 1, 1), "1-URGENT")]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp, o_orderpriority string").write.parquet(f"{tmp_path}/orders.parquet")
+    lines = [(k // 2 if k % 5 else None, k // 2, 7, 1, 10.0 + k, "NR"[k % 3 == 0], datetime(1995, 1, 1 + k % 9)) for k in range(3000)]
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_extendedprice double, l_returnflag string, l_shipdate timestamp").write.parquet(f"{tmp_path}/lineitem.parquet")
+    base = Fixtures(spark, str(tmp_path)).bank_base().where("movement_id LIKE 'S-%'")
+    plan = base._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and ", 30), REPARTITION_BY_NUM" in plan  # not 8, the shuffle setting
+    want = {}
+    for order, part, supplier, number, price, flag, day in lines:
+        key = "-".join(str(c) for c in ("S", order, number, part, supplier) if c is not None)
+        paid, first = want.get(key, (0, day))
+        want[key] = paid + (-price if flag == "R" else price), min(first, day)
+    got = {r.movement_id: (-float(r.amount), r.date) for r in base.collect()}
+    assert got == {key: (paid, day.date()) for key, (paid, day) in want.items()}
