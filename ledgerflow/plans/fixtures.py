@@ -14,6 +14,10 @@ from ledgerflow.sources.events import event_ledger
 from ledgerflow.sources.shared import store, stored_once
 
 
+#: Columns of a movement before its balance and number.
+MOVEMENT = ["movement_id", "date", "amount", "category", "reference"]
+
+
 def _str(c: Column | str) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("string")
 
@@ -105,7 +109,7 @@ class Fixtures:
         )
         return collections.unionByName(payments)
 
-    def _bank_ledger(self) -> DataFrame:
+    def _summed_movements(self) -> DataFrame:
         base = store(self.bank_base(), "movements")
         # a row stands at its day for the balance and at the day it is seen for the number: two halves if these days differ
         half = lambda day, paid, seen: F.struct(day.alias("day"), F.lit(paid).alias("paid"), F.lit(seen).alias("seen"))
@@ -113,16 +117,26 @@ class Fixtures:
         at = F.when(F.col("movement_id").like("%77"), F.array(half(day, True, False), half(F.date_add(day, 30), False, True))).otherwise(F.array(half(day, True, True)))
         halves = base.select("*", F.inline(at))
         totals = {"balance_after": F.when(F.col("paid"), F.col("amount")), "load_seq": F.when(F.col("seen"), F.lit(1).cast("bigint"))}
-        summed = running_totals(halves, [], ["day", "movement_id"], totals, ["day"])
-        whole = summed.where("paid AND seen").select(*base.columns, *totals)
-        ends = [F.array_sort(F.collect_list(F.when(F.col(side), F.col(n)))).alias(n) for n, side in zip(totals, ("paid", "seen"), strict=True)]
-        pairs = summed.where("NOT (paid AND seen)").groupBy(*base.columns).agg(*ends)
-        joined = pairs.select(*base.columns, F.inline(F.arrays_zip(*totals)))
         balance = (F.lit(INITIAL_BALANCE).cast(MONEY) + F.col("balance_after")).cast(MONEY)
-        return whole.unionByName(joined).withColumn("balance_after", balance)
+        summed = running_totals(halves, [], ["day", "movement_id"], totals, ["day"]).drop("day")
+        return summed.withColumns({"balance_after": F.when(F.col("paid"), balance), "load_seq": F.when(F.col("seen"), F.col("load_seq"))})
+
+    def _bank_halves(self) -> DataFrame:
+        return stored_once(self.spark, ("bank_halves", self.folder), self._summed_movements)
+
+    def _joined_halves(self) -> DataFrame:
+        halves = self._bank_halves().where("NOT (paid AND seen)")
+        totals = ["balance_after", "load_seq"]
+        pairs = halves.groupBy(*MOVEMENT).agg(*[F.array_sort(F.collect_list(n)).alias(n) for n in totals])
+        return pairs.select(*MOVEMENT, F.inline(F.arrays_zip(*totals)))
+
+    def _bank_ledger(self) -> DataFrame:
+        """The sums are stored once, and the few movements whose halves are put together again beside them: neither is written or summed twice."""
+        joined = stored_once(self.spark, ("bank_joined", self.folder), self._joined_halves)
+        return self._bank_halves().where("paid AND seen").select(*joined.columns).unionByName(joined)
 
     def bank(self) -> DataFrame:
-        stored = stored_once(self.spark, ("bank", self.folder), self._bank_ledger)
+        stored = self._bank_ledger()
         return stored.select(
             "movement_id",
             "date",

@@ -191,6 +191,36 @@ def test_ledger_of_movements_seen_later_and_repeated(spark, tmp_path):
     assert seen == sorted(seen)
 
 
+def test_bank_ledger_is_dealt_and_summed_once(spark, monkeypatch, tmp_path):
+    from datetime import datetime
+
+    from ledgerflow.plans import fixtures
+
+    orders = [(k, 1, "F", 121.0 + k, datetime(1995, 1, 1 + k % 20), "1-URGENT") for k in [77, 177, 1, 2, 77]]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp, o_orderpriority string").write.parquet(f"{tmp_path}/orders.parquet")
+    lines = [(5, 2, 77, 1, 10.0, "N", datetime(1995, 1, 3)), (5, 2, 8, 1, 11.0, "R", datetime(1995, 1, 3))]
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_extendedprice double, l_returnflag string, l_shipdate timestamp").write.parquet(f"{tmp_path}/lineitem.parquet")
+    monkeypatch.setattr(ordered, "PART_ROWS", 3)
+    plans = []
+
+    def watched(spark, key, build, plain=fixtures.stored_once):
+        def built():
+            df = build()
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+            return df
+
+        return plain(spark, key, built)
+
+    monkeypatch.setattr(fixtures, "stored_once", watched)
+    ledger = fixtures.Fixtures(spark, str(tmp_path)).bank()
+    plans.append(ledger._jdf.queryExecution().executedPlan().toString())
+    assert sum(p.count("Exchange rangepartitioning") for p in plans) == 1  # two branches read and sort the dealt rows twice
+    assert "Exchange" not in plans[-1] and "Window" not in plans[-1]
+    rows = sorted(ledger.collect(), key=lambda r: r.load_seq)
+    assert [r.load_seq for r in rows] == list(range(1, 8)) and [r.movement_id[-2:] for r in rows[3:]] == ["77"] * 4
+    assert len({r.balance_after for r in rows}) == 7
+
+
 def test_movements_are_grouped_in_partitions_by_their_number(spark, monkeypatch, tmp_path):
     from datetime import datetime
 
