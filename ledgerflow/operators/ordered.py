@@ -19,7 +19,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ledgerflow.functions.keyed import attach_stats, join_series
 from ledgerflow.sources.shared import store
@@ -30,6 +30,8 @@ PART_ROWS = 200_000
 BLOCK_ROWS = 2_000_000
 #: Rows of one partition that is grouped by a key which nearly every row has for itself.
 GROUP_ROWS = 1_000_000
+#: Most rows of either kind of partition, if that keeps their number small enough for rows to be dealt unsorted.
+FULL_ROWS = 2_000_000
 
 
 def chunked(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -37,13 +39,24 @@ def chunked(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFra
     return store(ranged.withColumn(CHUNK, F.spark_partition_id()), "chunks")
 
 
+def _parts(spark: SparkSession, rows: int, part_rows: int) -> int:
+    """Partitions of ``part_rows`` rows, or of up to ``FULL_ROWS`` where more of them would have the rows sorted on the way.
+
+    Up to ``spark.shuffle.sort.bypassMergeThreshold`` partitions, a task that deals rows writes them to their partitions as they come; above,
+    it holds and sorts all rows of its input split first, and with splits of millions of rows that spills.
+    """
+    unsorted = int(spark.sparkContext.getConf().get("spark.shuffle.sort.bypassMergeThreshold", "200"))
+    few = max(unsorted, spark.sparkContext.defaultParallelism)
+    return max(1, math.ceil(rows / FULL_ROWS), min(math.ceil(rows / part_rows), few))
+
+
 def dealt(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows dealt by ``keys``, at most about ``GROUP_ROWS`` to a partition whatever the shuffle setting; a grouping by ``keys`` takes them as they are.
+    """Rows dealt by ``keys``, about ``GROUP_ROWS`` to a partition whatever the shuffle setting; a grouping by ``keys`` takes them as they are.
 
     For keys that nearly every row has for itself: sums before the shuffle would only fill memory there. The rows are counted first.
     """
-    parts = max(df.sparkSession.sparkContext.defaultParallelism, math.ceil(df.count() / GROUP_ROWS))
-    return df.repartition(parts, *keys)
+    spark = df.sparkSession
+    return df.repartition(max(spark.sparkContext.defaultParallelism, _parts(spark, df.count(), GROUP_ROWS)), *keys)
 
 
 def _carried(df: DataFrame, carry: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -58,7 +71,7 @@ def _heads(df: DataFrame, keys: Sequence[str], block: Sequence[str], figures: di
     size = heads.agg(F.max("__rows").alias("most"), F.sum("__rows").alias("all")).first()
     if (size.most or 0) > BLOCK_ROWS:
         return None
-    return heads, max(1, math.ceil((size.all or 0) / PART_ROWS))
+    return heads, _parts(df.sparkSession, size.all or 0, PART_ROWS)
 
 
 def _headed(df: DataFrame, heads: DataFrame, parts: int, keys: Sequence[str], block: Sequence[str]) -> DataFrame:

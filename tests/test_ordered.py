@@ -169,6 +169,19 @@ def test_blocks_deal_the_rows_once_by_their_number(spark, monkeypatch):
     assert found.rdd.getNumPartitions() > 8  # 3000 rows, whatever the shuffle setting
 
 
+def test_rows_are_dealt_unsorted_while_partitions_stay_small(spark, monkeypatch):
+    monkeypatch.setattr(ordered, "PART_ROWS", 5)  # 600 partitions of 3000 rows; from 201 on Spark holds and sorts a split before it writes it
+    monkeypatch.setattr(ordered, "GROUP_ROWS", 5)
+    df = spark.createDataFrame(days(), "acc string, day int, id string, amount int").localCheckpoint()
+    totals = {"total": F.col("amount")}
+    found = running_totals(df, ["acc"], ["day", "id"], totals, ["day"])
+    assert ", 200), REPARTITION_BY_NUM" in found._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(str, found.collect())) == sorted(map(str, running_totals(df, ["acc"], ["day", "id"], totals).collect()))
+    assert ordered.dealt(df, ["id"]).rdd.getNumPartitions() == 200
+    monkeypatch.setattr(ordered, "FULL_ROWS", 10)  # unless partitions get too large by it
+    assert ordered.dealt(df, ["id"]).rdd.getNumPartitions() == 300
+
+
 def test_ledger_of_movements_seen_later_and_repeated(spark, tmp_path):
     from datetime import datetime
 
